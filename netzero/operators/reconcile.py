@@ -7,18 +7,21 @@ entry set is kept one-to-one.
 
 Plan shape (``strategy="join"``, the default):
 
-* rows with a null key are split off before any shuffle and marked pending —
-  they can never match, and would otherwise all hash to one task;
 * the group balance is a hash aggregate with map-side partial sums, so a hot
   group reaches the final aggregate as at most one row per map task;
-* only balanced groups are joined back (left join on the keys).  Spark
-  broadcasts that side when its runtime size allows (AQE), otherwise it is a
-  sort-merge join whose skewed partitions AQE splits.
-
-``strategy="salted"`` does the same without relying on AQE: every entry gets a
-salt from a hash of its own content, partial balances are summed per
-(keys, salt), the group total is attached per (keys, salt) row and the entries
-are joined back on (keys, salt), so one group is spread over ``salts`` tasks.
+* only balanced groups are joined back (left join).  Spark broadcasts that
+  side when its estimated or (AQE) runtime size allows, otherwise it is a
+  sort-merge join whose skewed partitions AQE splits;
+* rows with a null key can never match; instead of all hashing to one task
+  they carry a spread value (hash of the row) as an extra join column, which
+  is 0 for keyed rows.  The aggregate groups by the same columns, so the
+  aggregate's exchange is reused by the join and each side shuffles once.
+
+``strategy="salted"`` spreads every group without relying on AQE: each entry
+gets a salt from a hash of its own content, partial balances are summed per
+(keys, salt), the group total is attached to each (keys, salt) row (a window
+over at most ``salts`` rows per group) and the entries are joined back on
+(keys, salt), so one hot group is spread over ``salts`` tasks.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from ..functions import all_present, group_uuid, is_zero, status_label
 from ..spec import ReconSpec
 
 DEFAULT_SALTS = 32
+DEFAULT_NULL_SPREAD = 1024
 _SALT = "_nz_salt"
 _PART = "_nz_part"
 _GID = "_nz_gid"
@@ -58,12 +62,13 @@ def _finish(df: DataFrame, spec: ReconSpec) -> DataFrame:
     ).withColumnRenamed(_GID, spec.group_id)
 
 
-def _pending(unkeyed: DataFrame, spec: ReconSpec) -> DataFrame:
-    return _finish(unkeyed.withColumn(_GID, F.lit(None).cast("string")), spec)
+def _spread(has_keys, cols: list[str], buckets: int):
+    """0 for keyed rows; a content hash bucket for rows with a null key."""
+    return F.when(has_keys, F.lit(0)).otherwise(F.pmod(F.xxhash64(*cols), F.lit(buckets)))
 
 
 def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str = "join",
-              salts: int = DEFAULT_SALTS) -> DataFrame:
+              salts: int = DEFAULT_SALTS, null_spread: int = DEFAULT_NULL_SPREAD) -> DataFrame:
     """Entries with ``reconciliation_status`` and ``conciliation_id`` added.
 
     ``entries`` must already be typed and cleaned (see ``normalize``).
@@ -73,28 +78,25 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
     keys = spec.keys
     others = [c for c in entries.columns if c not in keys]
     has_keys = all_present(keys)
-    keyed = entries.where(has_keys)
-    unkeyed = entries.where(~has_keys)
 
     if strategy == "join":
+        spread = entries.withColumn(_SALT, _spread(has_keys, entries.columns, null_spread))
         balanced = (
-            keyed.groupBy(*keys).agg(F.sum(spec.amount).alias(spec.balance))
-            .where(is_zero(spec.balance))
-            .select(*keys, group_uuid(keys).alias(_GID))
+            spread.groupBy(*keys, _SALT).agg(F.sum(spec.amount).alias(spec.balance))
+            .where(has_keys & is_zero(spec.balance))
+            .select(*keys, _SALT, group_uuid(keys).alias(_GID))
         )
-        matched = keyed.join(balanced, keys, "left")
     elif strategy == "salted":
-        salted = keyed.withColumn(_SALT, F.pmod(F.xxhash64(*entries.columns), F.lit(salts)))
-        by_group = Window.partitionBy(*keys)
+        spread = entries.withColumn(_SALT, F.pmod(F.xxhash64(*entries.columns), F.lit(salts)))
         balanced = (
-            salted.groupBy(*keys, _SALT).agg(F.sum(spec.amount).alias(_PART))
-            .withColumn(spec.balance, F.sum(_PART).over(by_group))
+            spread.where(has_keys)
+            .groupBy(*keys, _SALT).agg(F.sum(spec.amount).alias(_PART))
+            .withColumn(spec.balance, F.sum(_PART).over(Window.partitionBy(*keys)))
             .where(is_zero(spec.balance))
             .select(*keys, _SALT, group_uuid(keys).alias(_GID))
         )
-        matched = salted.join(balanced, keys + [_SALT], "left").drop(_SALT)
     else:
         raise ValueError(f"unknown strategy {strategy!r}; use 'join' or 'salted'")
 
-    result = _finish(matched, spec).unionByName(_pending(unkeyed, spec))
-    return result.select(*keys, *others, spec.status, spec.group_id)
+    matched = spread.join(balanced, keys + [_SALT], "left")
+    return _finish(matched, spec).select(*keys, *others, spec.status, spec.group_id)

@@ -9,9 +9,42 @@ the cluster's shared checkpoint dir and return a DataFrame reading them back.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators import normalize, reconcile
-from ..sources import ledger_from_tables
+from ..functions import all_present
+from ..operators import (apply_contract, file_plan, normalize, order_entries, project, reconcile,
+                         rejected_amounts, txn_summary, type_and_clean)
+from ..sources import (ledger_from_tables, read_slices, requests_from_tables, scratch_path,
+                       text_ledger_from_tables)
+from ..spec import ReconSpec
+from ..streaming import start_request_stream
+from .sink import write_result
+from .worker import dead_letters, reconcile_default_source, reconcile_requested
+
+SPEC = ReconSpec()
+PARTS = SPEC.partition_keys
+# Slices of one account: what a request for the urgent-orders account reads.
+URGENT_ACCOUNT = "1-URGENT"
+# Small file target so that the file plan differs from one file per slice at test scale.
+SMALL_FILE_ROWS = 500
+
+# Written results read back: partition keys typed as strings.
+RESULT_SCHEMA = T.StructType([
+    T.StructField("data_contabil", T.StringType()),
+    T.StructField("transactionID", T.StringType()),
+    T.StructField("valor_net", T.DecimalType(18, 2)),
+    T.StructField("reconciliation_status", T.StringType()),
+    T.StructField("conciliation_id", T.StringType()),
+    T.StructField("empresa", T.StringType()),
+    T.StructField("conta_contabil", T.StringType()),
+])
+DEAD_LETTER_SCHEMA = T.StructType([
+    T.StructField("partition_id", T.StringType()),
+    T.StructField("reject_reason", T.StringType()),
+    T.StructField("body", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +52,171 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(ledger_from_tables(spark, sf_dir))
 
 
-def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def written_ledger(spark: SparkSession, sf_dir: str) -> str:
+    """The raw ledger written as a Hive-partitioned dataset; returns its root
+    (shared scratch folder), under which it is named ``ledger``."""
+    root = scratch_path(spark, "source")
+    (ledger_from_tables(spark, sf_dir).hint("rebalance", *PARTS)
+     .write.partitionBy(*PARTS).parquet(f"{root}/ledger"))
+    return root
+
+
+# --- operators over the whole ledger -----------------------------------------
+
+def q_ledger_source(spark, sf_dir):
+    return ledger_from_tables(spark, sf_dir)
+
+
+def q_normalize(spark, sf_dir):
+    return entries(spark, sf_dir)
+
+
+def q_map_unknown_dataset(spark, sf_dir):
+    # Unknown dataset name: projection keeps every column, cleaning still applies.
+    return type_and_clean(project(ledger_from_tables(spark, sf_dir), "lancamentos"))
+
+
+def q_txn_summary(spark, sf_dir):
+    s = txn_summary(entries(spark, sf_dir))
+    return s.withColumn(SPEC.balance, F.col(SPEC.balance).cast("decimal(38,2)"))
+
+
+def q_reconcile(spark, sf_dir):
     return reconcile(entries(spark, sf_dir))
 
 
-def q_reconcile_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_reconcile_salted(spark, sf_dir):
     return reconcile(entries(spark, sf_dir), strategy="salted")
+
+
+def q_reconcile_null_keys(spark, sf_dir):
+    return reconcile(entries(spark, sf_dir)).where(~all_present(SPEC.keys))
+
+
+def q_output_contract(spark, sf_dir):
+    return apply_contract(reconcile(entries(spark, sf_dir)))
+
+
+def q_ordered_entries(spark, sf_dir):
+    return order_entries(entries(spark, sf_dir))
+
+
+def q_rejected_amounts(spark, sf_dir):
+    return rejected_amounts(text_ledger_from_tables(spark, sf_dir))
+
+
+def q_reconcile_text_amounts(spark, sf_dir):
+    return reconcile(normalize(text_ledger_from_tables(spark, sf_dir)))
+
+
+def q_file_plan(spark, sf_dir):
+    return file_plan(reconcile(entries(spark, sf_dir)), PARTS, SMALL_FILE_ROWS)
+
+
+# --- sources and requests ----------------------------------------------------
+
+def q_slice_scan(spark, sf_dir):
+    root = written_ledger(spark, sf_dir)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    cust = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    wanted = (
+        orders.where(F.col("o_orderpriority") == URGENT_ACCOUNT)
+        .join(cust, orders.o_custkey == cust.c_custkey)
+        .select(F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")).alias("empresa"),
+                F.col("o_orderpriority").alias("conta_contabil"))
+    )
+    return read_slices(spark, "ledger", wanted, root=root)
+
+
+def q_request_rejects(spark, sf_dir):
+    return dead_letters(requests_from_tables(spark, sf_dir))
+
+
+def q_reconcile_requested(spark, sf_dir):
+    root = written_ledger(spark, sf_dir)
+    return reconcile_requested(spark, requests_from_tables(spark, sf_dir), root=root)
+
+
+def q_reconcile_default_source(spark, sf_dir):
+    root = written_ledger(spark, sf_dir)
+    out = scratch_path(spark, "results")
+    result = reconcile_default_source(spark, requests_from_tables(spark, sf_dir), "ledger", root=root)
+    write_result(result, f"{out}/results_by_partition")
+    return spark.read.schema(RESULT_SCHEMA).parquet(f"{out}/results_by_partition")
+
+
+# --- sinks -------------------------------------------------------------------
+
+def q_sink_roundtrip(spark, sf_dir):
+    """Two writes into one folder (urgent account, then the others, then the
+    urgent account again, as a replay): dynamic overwrite keeps all slices
+    exactly once.  Keys also stay inside the files (``*_part`` directories)."""
+    out = scratch_path(spark, "sink")
+    result = reconcile(entries(spark, sf_dir))
+    urgent = F.col("conta_contabil") == F.lit(URGENT_ACCOUNT)
+    for batch in (result.where(urgent), result.where(~urgent), result.where(urgent)):
+        write_result(batch, out, copy_partition_columns=True, compression="zstd")
+    schema = T.StructType(
+        [f for f in RESULT_SCHEMA.fields]
+        + [T.StructField(c + "_part", T.StringType()) for c in PARTS])
+    return spark.read.schema(schema).parquet(out)
+
+
+def q_run_metrics(spark, sf_dir):
+    out = scratch_path(spark, "metrics")
+    m = write_result(reconcile(entries(spark, sf_dir)), out)
+    return spark.createDataFrame(
+        [(m["rows"], m["reconciled_rows"], m["pending_rows"])],
+        "rows bigint, reconciled_rows bigint, pending_rows bigint")
+
+
+# --- streaming ---------------------------------------------------------------
+
+def run_request_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Feed the request messages through the streaming consumer until the
+    input is drained; returns (result path, dead-letter path)."""
+    root = written_ledger(spark, sf_dir)
+    base = scratch_path(spark, "stream")
+    inbox = f"{base}/inbox"
+    requests_from_tables(spark, sf_dir).select("body").write.text(inbox)
+    q = start_request_stream(
+        spark, inbox, f"{base}/results", f"{base}/dead_letters", f"{base}/_checkpoint",
+        max_files_per_trigger=4, available_now=True, root=root)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return f"{base}/results", f"{base}/dead_letters"
+
+
+def q_stream_requests(spark, sf_dir):
+    results, _ = run_request_stream(spark, sf_dir)
+    return spark.read.schema(RESULT_SCHEMA).parquet(results)
+
+
+def q_stream_dead_letters(spark, sf_dir):
+    _, letters = run_request_stream(spark, sf_dir)
+    return spark.read.schema(DEAD_LETTER_SCHEMA).parquet(letters).select("partition_id", "reject_reason")
+
+
+QUERIES = {
+    "ledger_source": q_ledger_source,
+    "normalize": q_normalize,
+    "map_unknown_dataset": q_map_unknown_dataset,
+    "txn_summary": q_txn_summary,
+    "reconcile": q_reconcile,
+    "reconcile_salted": q_reconcile_salted,
+    "reconcile_null_keys": q_reconcile_null_keys,
+    "output_contract": q_output_contract,
+    "ordered_entries": q_ordered_entries,
+    "rejected_amounts": q_rejected_amounts,
+    "reconcile_text_amounts": q_reconcile_text_amounts,
+    "file_plan": q_file_plan,
+    "slice_scan": q_slice_scan,
+    "request_rejects": q_request_rejects,
+    "reconcile_requested": q_reconcile_requested,
+    "reconcile_default_source": q_reconcile_default_source,
+    "sink_roundtrip": q_sink_roundtrip,
+    "run_metrics": q_run_metrics,
+    "stream_requests": q_stream_requests,
+    "stream_dead_letters": q_stream_dead_letters,
+}

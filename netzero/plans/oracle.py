@@ -2,23 +2,26 @@
 
 Written independently of the Spark code, from the rules in the module
 docstrings: it is the correctness reference the driver compares against.
-Sums are cast to decimal(38,2) on both sides (Spark and DuckDB give the sum
-of decimal(18,2) different precisions).
+Sums are cast to decimal(38,2) (Spark and DuckDB give the sum of
+decimal(18,2) different precisions).  Request bodies are built with DuckDB's
+own JSON functions and parsed back, so request handling is checked against
+an independent JSON parser.
 """
 
 from __future__ import annotations
 
 # Raw ledger over the TPC-H-style tables (debits per line item, credits per
-# settled order, null transaction key on every 97th order).
-LEDGER = """
-ledger AS (
+# settled order, null transaction key on every 97th order); keeps o_orderkey.
+LEDGER_K = """
+ledger_k AS (
   SELECT concat(' ', lower(c.c_mktsegment), ' ') AS empresa,
          o.o_orderpriority AS conta_contabil,
          CASE WHEN o.o_orderkey % 97 = 0 THEN NULL
               ELSE concat('t', cast(o.o_orderkey AS varchar)) END AS "transactionID",
          cast(l.l_shipdate AS date) AS data_contabil,
          cast(l.l_extendedprice AS decimal(18,2)) AS valor_net,
-         c.c_name AS cliente_nome
+         c.c_name AS cliente_nome,
+         o.o_orderkey
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -29,7 +32,8 @@ ledger AS (
               ELSE concat('T', cast(o.o_orderkey AS varchar), ' ') END,
          cast(o.o_orderdate AS date),
          cast(-p.paid AS decimal(18,2)),
-         c.c_name
+         c.c_name,
+         o.o_orderkey
   FROM (SELECT l.l_orderkey, sum(cast(l.l_extendedprice AS decimal(18,2))) AS paid
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
         WHERE o.o_orderstatus = 'F'
@@ -39,7 +43,79 @@ ledger AS (
   JOIN customer c ON o.o_custkey = c.c_custkey
 )"""
 
-# Mapping of dataset lancamentos_cj, amounts typed, keys trimmed and upper-cased.
+LEDGER = """
+ledger AS (
+  SELECT empresa, conta_contabil, "transactionID", data_contabil, valor_net, cliente_nome
+  FROM ledger_k
+)"""
+
+# Upstream text export: amounts as text, decimal comma on every 101st order.
+TEXT_LEDGER = """
+text_ledger AS (
+  SELECT empresa, conta_contabil, "transactionID", data_contabil,
+         CASE WHEN o_orderkey % 101 = 0 THEN replace(cast(valor_net AS varchar), '.', ',')
+              ELSE cast(valor_net AS varchar) END AS valor_net,
+         cliente_nome
+  FROM ledger_k
+)"""
+
+# One request message per order; broken bodies on every 79th (not JSON),
+# no account on every 89th, no dataset path on every 83rd order.
+REQUESTS = """
+requests AS (
+  SELECT o.o_orderkey AS seq,
+         CASE WHEN o.o_orderkey % 79 = 0 THEN concat('not json o', cast(o.o_orderkey AS varchar))
+         ELSE CAST(json_object(
+           'partition_id', concat('o', cast(o.o_orderkey AS varchar)),
+           'data', json_object(
+              'empresa', concat(' ', lower(c.c_mktsegment), ' '),
+              'conta_contabil', CASE WHEN o.o_orderkey % 89 <> 0 THEN o.o_orderpriority END,
+              'data_source_path', CASE WHEN o.o_orderkey % 83 <> 0 THEN 'ledger' END)) AS varchar)
+         END AS body
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+),
+req_fields AS (
+  SELECT seq, body,
+         coalesce(CASE WHEN json_valid(body) THEN json_type(body) = 'OBJECT' END, false) AS is_obj
+  FROM requests
+),
+req_values AS (
+  SELECT seq, body, is_obj,
+         CASE WHEN is_obj THEN json_extract_string(body, '$.partition_id') END AS partition_id,
+         CASE WHEN is_obj THEN json_extract_string(body, '$.data.empresa') END AS empresa,
+         CASE WHEN is_obj THEN json_extract_string(body, '$.data.conta_contabil') END AS conta_contabil,
+         CASE WHEN is_obj THEN json_extract_string(body, '$.data.data_source_path') END AS data_source_path
+  FROM req_fields
+),
+parsed AS (
+  SELECT *,
+         CASE WHEN NOT is_obj THEN 'invalid_json'
+              WHEN coalesce(trim(empresa) = '', true) THEN 'missing_empresa'
+              WHEN coalesce(trim(conta_contabil) = '', true) THEN 'missing_conta_contabil'
+              WHEN coalesce(trim(data_source_path) = '', true) THEN 'missing_data_source_path'
+         END AS reject_reason
+  FROM req_values
+)"""
+
+# Raw ledger restricted to the slices named by valid requests.
+REQUESTED_LEDGER = """
+requested_ledger AS (
+  SELECT * FROM ledger l
+  WHERE EXISTS (SELECT 1 FROM parsed r
+                WHERE r.reject_reason IS NULL
+                  AND r.empresa = l.empresa AND r.conta_contabil = l.conta_contabil)
+)"""
+
+# Variant without a dataset path in the message: a missing path is fine.
+DEFAULT_SOURCE_LEDGER = """
+default_source_ledger AS (
+  SELECT * FROM ledger l
+  WHERE EXISTS (SELECT 1 FROM parsed r
+                WHERE (r.reject_reason IS NULL OR r.reject_reason = 'missing_data_source_path')
+                  AND r.empresa = l.empresa AND r.conta_contabil = l.conta_contabil)
+)"""
+
+# Mapping lancamentos_cj, amounts typed, keys trimmed and upper-cased.
 ENTRIES = """
 entries AS (
   SELECT upper(trim(empresa)) AS empresa,
@@ -47,17 +123,15 @@ entries AS (
          data_contabil,
          upper(trim(conta_contabil)) AS conta_contabil,
          upper(trim("transactionID")) AS "transactionID"
-  FROM ledger
+  FROM {src}
 )"""
 
-UUID_OF_KEYS = """concat_ws('-',
-    substr(md5(concat_ws(chr(31), {k})), 1, 8),
-    substr(md5(concat_ws(chr(31), {k})), 9, 4),
-    substr(md5(concat_ws(chr(31), {k})), 13, 4),
-    substr(md5(concat_ws(chr(31), {k})), 17, 4),
-    substr(md5(concat_ws(chr(31), {k})), 21, 12))"""
 
-KEYS = 'empresa, conta_contabil, "transactionID"'
+def uuid_of(k: str) -> str:
+    h = f"md5(concat_ws(chr(31), {k}))"
+    return (f"concat_ws('-', substr({h}, 1, 8), substr({h}, 9, 4), substr({h}, 13, 4), "
+            f"substr({h}, 17, 4), substr({h}, 21, 12))")
+
 
 GROUPS = """
 groups AS (
@@ -71,7 +145,7 @@ RECONCILED = f"""
 reconciled AS (
   SELECT e.empresa, e.conta_contabil, e."transactionID", e.valor_net, e.data_contabil,
          CASE WHEN g.saldo = 0 THEN 'CONCILIADO' ELSE 'PENDENTE' END AS reconciliation_status,
-         CASE WHEN g.saldo = 0 THEN {UUID_OF_KEYS.format(k='g.empresa, g.conta_contabil, g."transactionID"')}
+         CASE WHEN g.saldo = 0 THEN {uuid_of('g.empresa, g.conta_contabil, g."transactionID"')}
          END AS conciliation_id
   FROM entries e
   LEFT JOIN groups g
@@ -79,9 +153,83 @@ reconciled AS (
    AND e."transactionID" = g."transactionID"
 )"""
 
+CONTRACT_COLUMNS = """empresa, conta_contabil, cast(data_contabil AS varchar) AS data_contabil,
+       "transactionID", cast(valor_net AS decimal(18,2)) AS valor_net,
+       reconciliation_status, conciliation_id"""
+
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
 
-RECONCILE = with_ctes(LEDGER, ENTRIES, GROUPS, RECONCILED) + "SELECT * FROM reconciled"
+def reconciled_over(*ctes: str, src: str = "ledger") -> str:
+    """CTE list ending in ``reconciled`` computed over the raw source ``src``."""
+    return with_ctes(LEDGER_K, LEDGER, *ctes, ENTRIES.format(src=src), GROUPS, RECONCILED)
+
+
+RECONCILE = reconciled_over() + "SELECT * FROM reconciled"
+
+SQL = {
+    "ledger_source": with_ctes(LEDGER_K, LEDGER) + "SELECT * FROM ledger",
+    "normalize": with_ctes(LEDGER_K, LEDGER, ENTRIES.format(src="ledger")) + "SELECT * FROM entries",
+    "map_unknown_dataset": with_ctes(LEDGER_K, LEDGER) + """
+SELECT upper(trim(empresa)) AS empresa, upper(trim(conta_contabil)) AS conta_contabil,
+       upper(trim("transactionID")) AS "transactionID", data_contabil,
+       TRY_CAST(valor_net AS decimal(18,2)) AS valor_net,
+       upper(trim(cliente_nome)) AS cliente_nome
+FROM ledger""",
+    "txn_summary": with_ctes(LEDGER_K, LEDGER, ENTRIES.format(src="ledger"), GROUPS) + f"""
+SELECT empresa, conta_contabil, "transactionID",
+       cast(saldo AS decimal(38,2)) AS saldo_transacional, n_entries,
+       (empresa IS NOT NULL AND conta_contabil IS NOT NULL AND "transactionID" IS NOT NULL
+        AND coalesce(saldo = 0, false)) AS is_reconciled,
+       CASE WHEN empresa IS NOT NULL AND conta_contabil IS NOT NULL
+             AND "transactionID" IS NOT NULL AND saldo = 0
+            THEN {uuid_of('empresa, conta_contabil, "transactionID"')} END AS conciliation_id
+FROM groups""",
+    "reconcile": RECONCILE,
+    "reconcile_salted": RECONCILE,
+    "reconcile_null_keys": reconciled_over() + """
+SELECT * FROM reconciled
+WHERE empresa IS NULL OR conta_contabil IS NULL OR "transactionID" IS NULL""",
+    "output_contract": reconciled_over() + f"""
+SELECT {CONTRACT_COLUMNS} FROM reconciled
+ORDER BY empresa NULLS FIRST, conta_contabil NULLS FIRST, data_contabil NULLS FIRST""",
+    "ordered_entries": with_ctes(LEDGER_K, LEDGER, ENTRIES.format(src="ledger")) + """
+SELECT * FROM entries
+ORDER BY empresa NULLS FIRST, conta_contabil NULLS FIRST, data_contabil NULLS FIRST""",
+    "rejected_amounts": with_ctes(LEDGER_K, TEXT_LEDGER) + """
+SELECT empresa, conta_contabil, "transactionID", data_contabil,
+       'valor_net' AS amount_column, valor_net AS raw_amount
+FROM text_ledger
+WHERE valor_net IS NOT NULL AND TRY_CAST(valor_net AS decimal(18,2)) IS NULL""",
+    "reconcile_text_amounts": reconciled_over(TEXT_LEDGER, src="text_ledger")
+    + "SELECT * FROM reconciled",
+    "file_plan": reconciled_over() + """
+SELECT empresa, conta_contabil, count(*) AS n_rows,
+       cast(greatest(1, ceil(count(*) / 500)) AS bigint) AS n_files
+FROM reconciled GROUP BY empresa, conta_contabil""",
+    "slice_scan": with_ctes(LEDGER_K, LEDGER) + """
+SELECT * FROM ledger WHERE conta_contabil = '1-URGENT'""",
+    "request_rejects": with_ctes(REQUESTS) + """
+SELECT seq, partition_id, reject_reason FROM parsed WHERE reject_reason IS NOT NULL""",
+    "reconcile_requested": reconciled_over(REQUESTS, REQUESTED_LEDGER, src="requested_ledger")
+    + "SELECT * FROM reconciled",
+    "reconcile_default_source": reconciled_over(REQUESTS, DEFAULT_SOURCE_LEDGER,
+                                                src="default_source_ledger")
+    + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "sink_roundtrip": reconciled_over() + f"""
+SELECT {CONTRACT_COLUMNS}, empresa AS empresa_part, conta_contabil AS conta_contabil_part
+FROM reconciled""",
+    "run_metrics": reconciled_over() + """
+SELECT count(*) AS rows,
+       cast(sum(CASE WHEN reconciliation_status = 'CONCILIADO' THEN 1 ELSE 0 END) AS bigint)
+         AS reconciled_rows,
+       cast(sum(CASE WHEN reconciliation_status = 'CONCILIADO' THEN 0 ELSE 1 END) AS bigint)
+         AS pending_rows
+FROM reconciled""",
+    "stream_requests": reconciled_over(REQUESTS, REQUESTED_LEDGER, src="requested_ledger")
+    + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "stream_dead_letters": with_ctes(REQUESTS) + """
+SELECT partition_id, reject_reason FROM parsed WHERE reject_reason IS NOT NULL""",
+}

@@ -21,6 +21,9 @@ NULL_KEY_EVERY = 97
 BAD_JSON_EVERY = 79
 NO_ACCOUNT_EVERY = 89
 NO_PATH_EVERY = 83
+# Text ledger: amounts of orders whose key is divisible by this are exported
+# with a decimal comma ("1234,56"), which does not type as a number.
+COMMA_DECIMAL_EVERY = 101
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +31,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ledger_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ledger entries (see ``_ledger``)."""
+    return _ledger(spark, sf_dir).drop("o_orderkey")
+
+
+def text_ledger_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger as an upstream text export: ``valor_net`` is a string, and
+    on some orders it uses a decimal comma (``COMMA_DECIMAL_EVERY``)."""
+    led = _ledger(spark, sf_dir)
+    text = F.col("valor_net").cast("string")
+    comma = F.col("o_orderkey") % COMMA_DECIMAL_EVERY == 0
+    return led.withColumn(
+        "valor_net", F.when(comma, F.translate(text, ".", ",")).otherwise(text)
+    ).drop("o_orderkey")
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ledger entries: empresa, conta_contabil, transactionID,
     data_contabil (date), valor_net (decimal(18,2)), cliente_nome.
 
@@ -74,6 +93,7 @@ def ledger_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "data_contabil",
         "valor_net",
         F.col("c_name").alias("cliente_nome"),
+        "o_orderkey",
     )
 
 
