@@ -90,4 +90,15 @@ def write_result(
     if part_cols:
         writer = writer.partitionBy(*part_cols)
     writer.parquet(path)
-    return dict(obs.get)
+    return observed(obs)
+
+
+def observed(obs: Observation) -> dict:
+    """Metrics of a finished action.  When Catalyst proved the input empty it
+    drops the observation with the rest of the plan: that is zero rows."""
+    try:
+        return dict(obs.get)
+    except Exception:
+        if obs._jo is not None and obs._jo.getRow().size() == 0:
+            return {name: 0 for name in ("rows", "reconciled_rows", "pending_rows")}
+        raise
