@@ -64,6 +64,25 @@ def status_label(is_reconciled: Column, reconciled: str, pending: str) -> Column
     return F.when(is_reconciled, F.lit(reconciled)).otherwise(F.lit(pending))
 
 
+_TIEBREAK = "_nz_tiebreak"
+
+
+def spread_sort(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Global ascending sort on ``cols`` that a hot sort key cannot pin to one task.
+
+    A range partitioner never splits equal keys, so a (company, account,
+    date) holding a third of the rows would land in a single reduce task.
+    Rows are tie-broken by the index of the input partition they come from
+    (the same on a task retry), so the sampled range bounds can cut through a
+    hot key and no sort key carries more than one input split per task.  The
+    order on ``cols`` is unchanged.
+    """
+    if not cols:
+        return df
+    return (df.withColumn(_TIEBREAK, F.spark_partition_id())
+            .orderBy(*cols, _TIEBREAK).drop(_TIEBREAK))
+
+
 def resolve(df: DataFrame, name: str) -> str | None:
     """Actual column name in ``df`` matching ``name`` case-insensitively."""
     lowered = {c.lower(): c for c in df.columns}

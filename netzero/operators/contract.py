@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import present, resolve
+from ..functions import present, resolve, spread_sort
 from ..spec import DEFAULT_OUTPUT, MONEY_TYPE, OutputContract, output_contracts
 
 log = logging.getLogger("netzero")
@@ -47,7 +47,7 @@ def apply_contract(df: DataFrame, schema: str = DEFAULT_OUTPUT,
         return df
     out = df.select(*contract_columns(df, contract))
     order = [resolve(out, c) for c in contract.order_by if resolve(out, c)]
-    return out.orderBy(*order) if sort and order else out
+    return spread_sort(out, order) if sort else out
 
 
 def contract_order(df: DataFrame, schema: str = DEFAULT_OUTPUT,

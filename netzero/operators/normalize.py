@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clean_text, present, to_money
+from ..functions import clean_text, present, spread_sort, to_money
 from ..spec import DEFAULT_DATASET, DatasetMapping, ReconSpec, dataset_mappings
 
 log = logging.getLogger("netzero")
@@ -47,12 +47,11 @@ def order_entries(df: DataFrame, dataset: str = DEFAULT_DATASET,
                   mappings: Mapping[str, DatasetMapping] | None = None) -> DataFrame:
     """Global ascending sort by the dataset's ``order_by`` columns that exist.
 
-    Meant as the last step of a returned result: Spark range-partitions the
-    rows (sampled bounds), so it scales, but any later shuffle drops the order.
+    Meant as the last step of a returned result (any later shuffle drops the
+    order); hot sort keys are split across tasks (see ``spread_sort``).
     """
     m = _mapping(dataset, mappings)
-    cols = present(df, m.order_by) if m is not None else []
-    return df.orderBy(*cols) if cols else df
+    return spread_sort(df, present(df, m.order_by) if m is not None else [])
 
 
 def rejected_amounts(raw: DataFrame, spec: ReconSpec = ReconSpec()) -> DataFrame:

@@ -72,3 +72,21 @@ def test_partition_keys_stay_strings(spark, scratch):
     assert [r.conta_contabil for r in only_digits.collect()] == ["0011"]
     assert read_slices(spark, path, [("B", "X1")]).count() == 1
     assert read_slices(spark, path, [("Z", "none")]).count() == 0
+
+
+def test_global_sort_splits_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from netzero.functions import spread_sort
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(0, 30000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"))
+        out = spread_sort(df, ["k"])
+        keys = [r.k for r in out.collect()]
+        assert keys == sorted(keys)
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 10000  # the 10,000 hot rows do not share one task
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
