@@ -45,7 +45,7 @@ def parse_requests(raw: DataFrame, body: str = "body", spec: ReconSpec = ReconSp
     parsed = raw.withColumn("_nz_v", F.try_parse_json(F.col(body))).withColumns({
         "partition_id": _field(v, "$.partition_id"),
         **{out: _field(v, f"$.data.{name}") for name, out in outputs.items()},
-        "_nz_obj": F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)),
+        "_nz_obj": F.try_variant_get(v, "$", "map<string,variant>").isNotNull(),
     })
     reason = F.when(~F.col("_nz_obj"), F.lit(REASON_NOT_JSON))
     for name, out in outputs.items():

@@ -8,6 +8,8 @@ the cluster's shared checkpoint dir and return a DataFrame reading them back.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,8 +17,8 @@ from pyspark.sql import types as T
 from ..functions import all_present
 from ..operators import (apply_contract, file_plan, normalize, order_entries, project, reconcile,
                          rejected_amounts, txn_summary, type_and_clean)
-from ..sources import (ledger_from_tables, read_slices, requests_from_tables, scratch_path,
-                       text_ledger_from_tables)
+from ..sources import (LEDGER_SCHEMA, ledger_from_tables, read_ledger, read_slices, requests_from_tables,
+                       scratch_path, text_ledger_from_tables)
 from ..spec import ReconSpec
 from ..streaming import start_request_stream
 from .sink import write_result
@@ -47,18 +49,35 @@ DEAD_LETTER_SCHEMA = T.StructType([
 ])
 
 
-def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed, cleaned ledger entries (mapping ``lancamentos_cj``)."""
-    return normalize(ledger_from_tables(spark, sf_dir))
+# Source ledgers already written in this session, by (application, tables dir).
+_SOURCES: dict[tuple[str, str], str] = {}
 
 
 def written_ledger(spark: SparkSession, sf_dir: str) -> str:
-    """The raw ledger written as a Hive-partitioned dataset; returns its root
-    (shared scratch folder), under which it is named ``ledger``."""
-    root = scratch_path(spark, "source")
-    (ledger_from_tables(spark, sf_dir).hint("rebalance", *PARTS)
-     .write.partitionBy(*PARTS).parquet(f"{root}/ledger"))
-    return root
+    """Root folder (under the shared checkpoint dir) holding the raw ledger
+    derived from the tables as a Hive-partitioned dataset named ``ledger`` —
+    the layout the reconciliation worker reads.
+
+    It is written once per session and tables dir: the ledger is the input
+    dataset of every request, and deriving it (two large joins) inside each
+    query would run those joins again for both sides of the reconcile plan.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _SOURCES:
+        root = scratch_path(spark, "source")
+        (ledger_from_tables(spark, sf_dir).hint("rebalance", *PARTS)
+         .write.partitionBy(*PARTS).parquet(f"{root}/ledger"))
+        _SOURCES[key] = root
+    return _SOURCES[key]
+
+
+def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_ledger(spark, "ledger", LEDGER_SCHEMA, root=written_ledger(spark, sf_dir))
+
+
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed, cleaned ledger entries (mapping ``lancamentos_cj``)."""
+    return normalize(raw_ledger(spark, sf_dir))
 
 
 # --- operators over the whole ledger -----------------------------------------
@@ -73,7 +92,7 @@ def q_normalize(spark, sf_dir):
 
 def q_map_unknown_dataset(spark, sf_dir):
     # Unknown dataset name: projection keeps every column, cleaning still applies.
-    return type_and_clean(project(ledger_from_tables(spark, sf_dir), "lancamentos"))
+    return type_and_clean(project(raw_ledger(spark, sf_dir), "lancamentos"))
 
 
 def q_txn_summary(spark, sf_dir):
@@ -125,7 +144,7 @@ def q_slice_scan(spark, sf_dir):
         .select(F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")).alias("empresa"),
                 F.col("o_orderpriority").alias("conta_contabil"))
     )
-    return read_slices(spark, "ledger", wanted, root=root)
+    return read_slices(spark, "ledger", wanted, LEDGER_SCHEMA, root=root)
 
 
 def q_request_rejects(spark, sf_dir):
@@ -134,13 +153,15 @@ def q_request_rejects(spark, sf_dir):
 
 def q_reconcile_requested(spark, sf_dir):
     root = written_ledger(spark, sf_dir)
-    return reconcile_requested(spark, requests_from_tables(spark, sf_dir), root=root)
+    return reconcile_requested(spark, requests_from_tables(spark, sf_dir), root=root,
+                               schema=LEDGER_SCHEMA)
 
 
 def q_reconcile_default_source(spark, sf_dir):
     root = written_ledger(spark, sf_dir)
     out = scratch_path(spark, "results")
-    result = reconcile_default_source(spark, requests_from_tables(spark, sf_dir), "ledger", root=root)
+    result = reconcile_default_source(spark, requests_from_tables(spark, sf_dir), "ledger",
+                                      root=root, schema=LEDGER_SCHEMA)
     write_result(result, f"{out}/results_by_partition")
     return spark.read.schema(RESULT_SCHEMA).parquet(f"{out}/results_by_partition")
 
@@ -181,7 +202,7 @@ def run_request_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     requests_from_tables(spark, sf_dir).select("body").write.text(inbox)
     q = start_request_stream(
         spark, inbox, f"{base}/results", f"{base}/dead_letters", f"{base}/_checkpoint",
-        max_files_per_trigger=4, available_now=True, root=root)
+        max_files_per_trigger=4, available_now=True, root=root, schema=LEDGER_SCHEMA)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

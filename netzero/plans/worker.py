@@ -39,7 +39,29 @@ def requested_paths(valid: DataFrame, max_paths: int = MAX_PATHS) -> list[str]:
     return sorted(paths)
 
 
-def reconcile_path(spark: SparkSession, path: str, slices: DataFrame, root: str | None = None,
+def request_targets(valid: DataFrame, spec: ReconSpec = ReconSpec(),
+                    max_inline: int = MAX_INLINE_SLICES) -> list[tuple[str, object]]:
+    """[(dataset path, requested slices)] of valid requests.
+
+    The distinct (path, company, account) targets are fetched in one bounded
+    job and the slices come back as lists of key pairs (they become a
+    partition filter).  Above ``max_inline`` targets only the distinct paths
+    are fetched and each path gets a DataFrame of its slices (semi-join).
+    """
+    targets = valid.select("data_source_path", *spec.partition_keys).distinct()
+    head = targets.take(max_inline + 1)
+    if len(head) > max_inline:
+        return [(p, targets.where(F.col("data_source_path") == p)) for p in requested_paths(valid)]
+    by_path: dict[str, list[tuple[str, str]]] = {}
+    for path, company, account in head:
+        by_path.setdefault(path, []).append((company, account))
+    if len(by_path) > MAX_PATHS:
+        raise ValueError(f"requests name more than {MAX_PATHS} dataset paths")
+    return sorted(by_path.items())
+
+
+def reconcile_path(spark: SparkSession, path: str, slices: DataFrame | list[tuple[str, str]],
+                   root: str | None = None,
                    schema: T.StructType | str | None = None, dataset: str = DEFAULT_DATASET,
                    spec: ReconSpec = ReconSpec(), strategy: str = "join",
                    mappings: Mapping[str, DatasetMapping] | None = None,
@@ -52,18 +74,21 @@ def reconcile_path(spark: SparkSession, path: str, slices: DataFrame, root: str
 def reconcile_requested(spark: SparkSession, requests: DataFrame, root: str | None = None,
                         schema: T.StructType | str | None = None, dataset: str = DEFAULT_DATASET,
                         spec: ReconSpec = ReconSpec(), strategy: str = "join",
-                        mappings: Mapping[str, DatasetMapping] | None = None) -> DataFrame:
+                        mappings: Mapping[str, DatasetMapping] | None = None,
+                        max_inline: int = MAX_INLINE_SLICES) -> DataFrame:
     """Reconciled entries of all slices named by valid requests.
 
     ``requests`` holds message bodies (column ``body``) or already parsed
     requests.  Paths are resolved against ``root`` (see ``resolve_path``).
+    The distinct (path, company, account) targets are fetched in one bounded
+    job; only when they exceed ``max_inline`` does each dataset filter its
+    slices with a semi-join against the request table instead.
     """
     valid = valid_requests(parsed(requests, spec))
-    targets = valid.select("data_source_path", *spec.partition_keys).distinct()
+    slices = request_targets(valid, spec, max_inline)
     parts = [
-        reconcile_path(spark, p, targets.where(F.col("data_source_path") == p), root, schema,
-                       dataset, spec, strategy, mappings)
-        for p in requested_paths(valid)
+        reconcile_path(spark, p, wanted, root, schema, dataset, spec, strategy, mappings, max_inline)
+        for p, wanted in slices
     ]
     if not parts:
         return reconcile(normalize(spark.createDataFrame([], schema or LEDGER_SCHEMA),

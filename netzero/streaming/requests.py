@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import parse_requests, rejected_requests, valid_requests
 from ..plans.sink import write_result
-from ..plans.worker import reconcile_path, requested_paths
+from ..plans.worker import reconcile_path, request_targets
 from ..spec import DEFAULT_DATASET, DEFAULT_OUTPUT, ROWS_PER_FILE, DatasetMapping, ReconSpec
 
 log = logging.getLogger("netzero")
@@ -60,9 +60,7 @@ def process_batch(batch: DataFrame, batch_id: int, *, output_path: str, dead_let
     try:
         letters = [rejected_requests(parsed)]
         valid = valid_requests(parsed)
-        targets = valid.select("data_source_path", *spec.partition_keys).distinct()
-        for path in requested_paths(valid):
-            mine = targets.where(F.col("data_source_path") == path)
+        for path, mine in request_targets(valid, spec):
             try:
                 result = reconcile_path(spark, path, mine, root, schema, dataset, spec,
                                         strategy, mappings)
