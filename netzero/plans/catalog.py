@@ -41,6 +41,8 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("empresa", T.StringType()),
     T.StructField("conta_contabil", T.StringType()),
 ])
+TEXT_LEDGER_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.StringType()) if f.name == "valor_net" else f for f in LEDGER_SCHEMA.fields])
 DEAD_LETTER_SCHEMA = T.StructType([
     T.StructField("partition_id", T.StringType()),
     T.StructField("reject_reason", T.StringType()),
@@ -71,6 +73,22 @@ def written_ledger(spark: SparkSession, sf_dir: str) -> str:
     return _SOURCES[key]
 
 
+def written_text_ledger(spark: SparkSession, sf_dir: str) -> str:
+    """Like ``written_ledger``, for the upstream text export of the ledger
+    (amounts as text); written once per session and tables dir."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#text")
+    if key not in _SOURCES:
+        root = scratch_path(spark, "source-text")
+        (text_ledger_from_tables(spark, sf_dir).hint("rebalance", *PARTS)
+         .write.partitionBy(*PARTS).parquet(f"{root}/ledger"))
+        _SOURCES[key] = root
+    return _SOURCES[key]
+
+
+def raw_text_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_ledger(spark, "ledger", TEXT_LEDGER_SCHEMA, root=written_text_ledger(spark, sf_dir))
+
+
 def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ledger(spark, "ledger", LEDGER_SCHEMA, root=written_ledger(spark, sf_dir))
 
@@ -121,11 +139,11 @@ def q_ordered_entries(spark, sf_dir):
 
 
 def q_rejected_amounts(spark, sf_dir):
-    return rejected_amounts(text_ledger_from_tables(spark, sf_dir))
+    return rejected_amounts(raw_text_ledger(spark, sf_dir))
 
 
 def q_reconcile_text_amounts(spark, sf_dir):
-    return reconcile(normalize(text_ledger_from_tables(spark, sf_dir)))
+    return reconcile(normalize(raw_text_ledger(spark, sf_dir)))
 
 
 def q_file_plan(spark, sf_dir):

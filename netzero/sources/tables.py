@@ -106,7 +106,10 @@ def requests_from_tables(spark: SparkSession, sf_dir: str, source_path: str = "l
     on purpose (see the ``*_EVERY`` rules) so that dead-lettering has work.
     Null fields are left out of the JSON text.
     """
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    # Messages arrive spread over many partitions, as from a partitioned queue
+    # topic; hash on the order key keeps the assignment the same on a retry.
+    orders = (table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+              .repartition("o_orderkey"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     k = F.col("o_orderkey")
     data = F.struct(
