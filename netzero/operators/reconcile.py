@@ -68,12 +68,17 @@ def _spread(has_keys, cols: list[str], buckets: int):
 
 
 def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str = "join",
-              salts: int = DEFAULT_SALTS, null_spread: int = DEFAULT_NULL_SPREAD) -> DataFrame:
+              salts: int = DEFAULT_SALTS, null_spread: int = DEFAULT_NULL_SPREAD,
+              join_hint: str | None = None) -> DataFrame:
     """Entries with ``reconciliation_status`` and ``conciliation_id`` added.
 
     ``entries`` must already be typed and cleaned (see ``normalize``).
     Output columns: the group keys first, then the other entry columns, then
-    status and id.
+    status and id.  ``join_hint`` (``"shuffle_hash"``, ``"shuffle_merge"``,
+    ``"broadcast"``) pins the join-back strategy; by default Spark chooses by
+    size.  ``shuffle_hash`` is the at-scale plan: the balanced-group side is
+    unique per key, so each task hashes its share of it and streams the
+    entries through without sorting them.
     """
     keys = spec.keys
     others = [c for c in entries.columns if c not in keys]
@@ -98,5 +103,7 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
     else:
         raise ValueError(f"unknown strategy {strategy!r}; use 'join' or 'salted'")
 
+    if join_hint:
+        balanced = balanced.hint(join_hint)
     matched = spread.join(balanced, keys + [_SALT], "left")
     return _finish(matched, spec).select(*keys, *others, spec.status, spec.group_id)

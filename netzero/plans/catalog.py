@@ -122,6 +122,11 @@ def q_reconcile(spark, sf_dir):
     return reconcile(entries(spark, sf_dir))
 
 
+def q_reconcile_join(spark, sf_dir):
+    # the at-scale plan shape: both sides shuffled, no broadcast, no sort of entries
+    return reconcile(entries(spark, sf_dir), join_hint="shuffle_hash")
+
+
 def q_reconcile_salted(spark, sf_dir):
     return reconcile(entries(spark, sf_dir), strategy="salted")
 
@@ -243,6 +248,7 @@ QUERIES = {
     "map_unknown_dataset": q_map_unknown_dataset,
     "txn_summary": q_txn_summary,
     "reconcile": q_reconcile,
+    "reconcile_join": q_reconcile_join,
     "reconcile_salted": q_reconcile_salted,
     "reconcile_null_keys": q_reconcile_null_keys,
     "output_contract": q_output_contract,

@@ -188,6 +188,7 @@ SELECT empresa, conta_contabil, "transactionID",
             THEN {uuid_of('empresa, conta_contabil, "transactionID"')} END AS conciliation_id
 FROM groups""",
     "reconcile": RECONCILE,
+    "reconcile_join": RECONCILE,
     "reconcile_salted": RECONCILE,
     "reconcile_null_keys": reconciled_over() + """
 SELECT * FROM reconciled

@@ -17,6 +17,10 @@ RECOMMENDED_SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # AQE turns a sort-merge join into a shuffled hash join when every
+    # partition of the measured build side fits this size: no sort of the
+    # entries side when joining balanced groups back.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

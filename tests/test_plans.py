@@ -90,3 +90,20 @@ def test_global_sort_splits_hot_key(spark):
         assert max(sizes) < 10000  # the 10,000 hot rows do not share one task
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_adaptive_join_back_needs_no_sort(spark, ledger_path):
+    """Without broadcast (large data), AQE turns the join-back into a shuffled
+    hash join once it has measured the balanced-group side."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = reconcile(normalize(read_ledger(spark, ledger_path)))
+        df.collect()
+        final = plan_of(df).split("== Initial Plan ==")[0]
+        assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+        hinted = reconcile(normalize(read_ledger(spark, ledger_path)), join_hint="shuffle_hash")
+        assert "ShuffledHashJoin" in plan_of(hinted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
