@@ -78,15 +78,39 @@ def process_batch(batch: DataFrame, batch_id: int, *, output_path: str, dead_let
         parsed.unpersist()
 
 
-def start_request_stream(spark: SparkSession, source_dir: str, output_path: str,
+def request_source(spark: SparkSession, source: str | None = None, *, source_format: str = "text",
+                   source_options: Mapping[str, str] | None = None,
+                   max_per_trigger: int = 1) -> DataFrame:
+    """Streaming DataFrame of request bodies (column ``body``).
+
+    ``text``: files under ``source``, one JSON request per line,
+    ``max_per_trigger`` files per micro-batch.  ``kafka``: the message value
+    (needs the Kafka connector on the classpath), ``max_per_trigger`` offsets
+    per micro-batch; ``source_options`` carries the broker and topic options.
+    """
+    opts = dict(source_options or {})
+    if source_format == "kafka":
+        opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger))
+        raw = spark.readStream.format("kafka").options(**opts).load()
+        return raw.select(F.col("value").cast("string").alias("body"))
+    opts.setdefault("maxFilesPerTrigger", str(max_per_trigger))
+    return (spark.readStream.format(source_format).options(**opts).load(source)
+            .withColumnRenamed("value", "body"))
+
+
+def start_request_stream(spark: SparkSession, source_dir: str | None, output_path: str,
                          dead_letter_path: str, checkpoint: str, *,
                          max_files_per_trigger: int = 1, available_now: bool = False,
-                         processing_time: str | None = None, **batch_options) -> StreamingQuery:
-    """Start the consumer; returns the running ``StreamingQuery``."""
-    requests = (
-        spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
-        .text(source_dir).withColumnRenamed("value", "body")
-    )
+                         processing_time: str | None = None, source_format: str = "text",
+                         source_options: Mapping[str, str] | None = None,
+                         **batch_options) -> StreamingQuery:
+    """Start the consumer; returns the running ``StreamingQuery``.
+
+    ``checkpoint`` must be on storage shared by the cluster (it replaces the
+    queue acknowledgement: a batch is committed only after it was written).
+    """
+    requests = request_source(spark, source_dir, source_format=source_format,
+                              source_options=source_options, max_per_trigger=max_files_per_trigger)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, output_path=output_path,
