@@ -86,10 +86,14 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
 
     if strategy == "join":
         spread = entries.withColumn(_SALT, _spread(has_keys, entries.columns, null_spread))
+        # Aggregated on the keys alone, so the join on (keys, spread) gets its
+        # own exchange on this side: both join inputs are then plain shuffle
+        # stages, which is what lets AQE split a hot entries partition.
         balanced = (
-            spread.groupBy(*keys, _SALT).agg(F.sum(spec.amount).alias(spec.balance))
-            .where(has_keys & is_zero(spec.balance))
-            .select(*keys, _SALT, group_uuid(keys).alias(_GID))
+            entries.where(has_keys).groupBy(*keys).agg(F.sum(spec.amount).alias(spec.balance))
+            .where(is_zero(spec.balance))
+            .select(*keys, _spread(all_present(keys), keys, null_spread).alias(_SALT),
+                    group_uuid(keys).alias(_GID))
         )
     elif strategy == "salted":
         spread = entries.withColumn(_SALT, F.pmod(F.xxhash64(*entries.columns), F.lit(salts)))

@@ -52,9 +52,9 @@ def test_reconcile_shuffles_and_no_python(spark, ledger_path):
     try:
         df = reconcile(normalize(read_ledger(spark, ledger_path)))
         plan = plan_of(df)
-        # one exchange for the partial aggregates, one for the entries; the
-        # join reuses the aggregate's partitioning
-        assert plan.count("Exchange hashpartitioning") == 2
+        # partial sums on the keys; the balanced groups and the entries each
+        # shuffled once on the join keys (so AQE can split a skewed side)
+        assert plan.count("Exchange hashpartitioning") == 3
         assert "partial_sum" in plan and "SortMergeJoin" in plan
         for python_node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas"):
             assert python_node not in plan
@@ -107,3 +107,43 @@ def test_adaptive_join_back_needs_no_sort(spark, ledger_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_hot_group_is_split_by_aqe(spark):
+    """One transaction with a third of the rows: AQE splits its entries
+    partition in the join-back (both join inputs are plain shuffle stages)."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             # a cluster has thousands of partitions; with 8 the hot one is only
+             # ~5x the median, right at AQE's skew factor
+             "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        n = 300_000
+        from netzero.sources import scratch_path
+
+        path = scratch_path(spark, "hot")
+        spark.range(0, n, 1, 8).select(
+            F.lit("E").alias("empresa"), F.lit("C").alias("conta_contabil"),
+            F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+             .otherwise((F.col("id") / 2).cast("long").cast("string")).alias("transactionID"),
+            F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.lit(-1)).cast("decimal(18,2)").alias("valor_net"),
+            F.col("id").alias("seq")).write.parquet(path)
+        out = reconcile(spark.read.parquet(path))
+
+        def count(it):
+            yield pd.DataFrame({"n": [sum(len(b) for b in it)]})
+        sizes = [r.n for r in out.mapInPandas(count, "n long").collect()]
+        assert sum(sizes) == n
+        assert max(sizes) < n // 3  # the 100,000 hot rows are spread over several tasks
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
