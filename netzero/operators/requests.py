@@ -9,7 +9,7 @@ the others.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,28 +30,30 @@ REASON_MISSING = "missing_"  # + field name: missing_empresa, missing_conta_cont
 REQUIRED_FIELDS = ("empresa", "conta_contabil", "data_source_path")
 
 
-def _field(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "string")
-
-
 def parse_requests(raw: DataFrame, body: str = "body", spec: ReconSpec = ReconSpec()) -> DataFrame:
     """Add ``partition_id``, the request fields (named after ``spec``'s
     partition keys, plus ``data_source_path``) and ``reject_reason`` (null
-    for a valid request).  Other input columns are kept.  The body is parsed
-    once (to a VARIANT) and the fields are read from it."""
+    for a valid request).  Other input columns are kept.
+
+    The body is parsed once into a typed struct (JSON values of any type are
+    read as their text); ``json_object_keys`` tells a JSON object from
+    anything else (malformed text, arrays, scalars, empty).
+    """
     company, account = spec.partition_keys
     outputs = dict(zip(REQUIRED_FIELDS, (company, account, "data_source_path")))
-    v = F.col("_nz_v")
-    parsed = raw.withColumn("_nz_v", F.try_parse_json(F.col(body))).withColumns({
-        "partition_id": _field(v, "$.partition_id"),
-        **{out: _field(v, f"$.data.{name}") for name, out in outputs.items()},
-        "_nz_obj": F.try_variant_get(v, "$", "map<string,variant>").isNotNull(),
+    msg = F.col("_nz_msg")
+    parsed = raw.withColumns({
+        "_nz_msg": F.from_json(F.col(body), REQUEST_SCHEMA),
+        "_nz_obj": F.coalesce(F.json_object_keys(F.col(body)).isNotNull(), F.lit(False)),
+    }).withColumns({
+        "partition_id": msg["partition_id"],
+        **{out: msg["data"][name] for name, out in outputs.items()},
     })
     reason = F.when(~F.col("_nz_obj"), F.lit(REASON_NOT_JSON))
     for name, out in outputs.items():
         reason = reason.when(F.coalesce(F.trim(F.col(out)) == "", F.lit(True)),
                              F.lit(REASON_MISSING + name))
-    return parsed.withColumn("reject_reason", reason).drop("_nz_v", "_nz_obj")
+    return parsed.withColumn("reject_reason", reason).drop("_nz_msg", "_nz_obj")
 
 
 def valid_requests(parsed: DataFrame) -> DataFrame:
