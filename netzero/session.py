@@ -40,11 +40,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("NETZERO_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # a long-lived driver running many jobs: keep little job history
-        .config("spark.sql.ui.retainedExecutions", "50")
-        .config("spark.ui.retainedJobs", "100")
-        .config("spark.ui.retainedStages", "100")
-        .config("spark.sql.streaming.ui.retainedQueries", "10")
     )
     for k, v in {**RECOMMENDED_SQL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
