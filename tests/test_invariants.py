@@ -119,3 +119,27 @@ def test_hot_group_spread(spark):
         out = reconcile(hot, strategy=strategy)
         counts = {r[0]: r[1] for r in out.groupBy("reconciliation_status").count().collect()}
         assert counts == {"CONCILIADO": 15000, "PENDENTE": 5000}
+
+
+def test_null_key_rows_are_spread(spark):
+    """Rows with a null key (never reconciled) do not all go to one task."""
+    import pandas as pd
+
+    n = 40_000
+    df = spark.range(0, n, 1, 4).select(
+        F.lit("E").alias("empresa"), F.lit("C").alias("conta_contabil"),
+        F.lit(None).cast("string").alias("transactionID"),
+        (F.col("id") % 1000).cast("decimal(18,2)").alias("valor_net"), F.col("id").alias("seq"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = reconcile(df)
+
+        def count(it):
+            yield pd.DataFrame({"n": [sum(len(b) for b in it)]})
+        sizes = [r.n for r in out.mapInPandas(count, "n long").collect()]
+        assert sum(sizes) == n and max(sizes) < n / 2
+        assert out.where("reconciliation_status = 'PENDENTE'").count() == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -75,3 +75,55 @@ def test_default_source_variant(spark, ledger_root):
     out = reconcile_default_source(spark, req, "ledger", root=ledger_root)
     assert out.count() > 0
     assert {r.conta_contabil for r in out.select("conta_contabil").distinct().collect()} == {"5-LOW"}
+
+
+# --- property test: request parsing against Python's json module -------------
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_MISSING = object()
+value = st.sampled_from([_MISSING, None, "", "  ", "X", " a b ", 12])
+data_part = st.one_of(
+    st.fixed_dictionaries({}, optional={"empresa": value, "conta_contabil": value,
+                                        "data_source_path": value}),
+    st.sampled_from([None, "x", [1]]))
+message = st.fixed_dictionaries({}, optional={"partition_id": st.sampled_from(["p", 5, None]),
+                                              "data": data_part})
+garbage = st.sampled_from(["", "not json", "[1, 2]", "1", "null", '"s"', "{", "{}"])
+
+
+def _dump(obj):
+    if isinstance(obj, dict):
+        return json.dumps({k: _dump_v(v) for k, v in obj.items() if v is not _MISSING})
+    return obj
+
+
+def _dump_v(v):
+    if isinstance(v, dict):
+        return {k: x for k, x in v.items() if x is not _MISSING}
+    return v
+
+
+def model(text):
+    try:
+        obj = json.loads(text)
+    except ValueError:
+        return "invalid_json"
+    if not isinstance(obj, dict):
+        return "invalid_json"
+    data = obj.get("data")
+    data = data if isinstance(data, dict) else {}
+    for name in ("empresa", "conta_contabil", "data_source_path"):
+        v = data.get(name)
+        if v is None or str(v).strip(" ") == "":
+            return "missing_" + name
+    return None
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(message.map(_dump), garbage), min_size=1, max_size=40))
+def test_parse_matches_json_module(spark, bodies):
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    got = [r.reject_reason for r in parse_requests(df).collect()]
+    assert got == [model(b) for b in bodies]

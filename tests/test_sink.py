@@ -86,3 +86,31 @@ def test_contract_types_and_unknown(spark, result):
     assert dict(typed.dtypes)["valor_net"] == "decimal(18,2)"
     assert typed.columns[:2] == ["empresa", "conta_contabil"]
     assert apply_contract(result, "no_such_schema") is result
+
+
+def test_hot_slice_written_by_several_tasks(spark, scratch):
+    """A (company, account) slice holding most rows is split over several
+    writers by the adaptive rebalance (one file per writer)."""
+    from pyspark.sql import functions as F
+
+    confs = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        n = 200_000
+        df = spark.range(0, n, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit("B")).otherwise(F.lit("HOT")).alias("empresa"),
+            F.lit("C").alias("conta_contabil"), F.col("id").cast("string").alias("transactionID"),
+            F.lit("2024-01-01").alias("data_contabil"),
+            F.lit(1).cast("decimal(18,2)").alias("valor_net"),
+            F.lit("PENDENTE").alias("reconciliation_status"), F.lit(None).cast("string").alias("conciliation_id"))
+        out = scratch("hot-sink")
+        assert write_result(df, out)["rows"] == n
+        hot_files = files_under(os.path.join(out, "empresa=HOT"))
+        assert len(hot_files) > 1
+        assert spark.read.schema(RESULT_SCHEMA).parquet(out).count() == n
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
