@@ -16,7 +16,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans.jobs import reconcile_dataset, reconcile_request_log
-from .session import tune
+from .session import shuffle_partitions_for, tune
 from .spec import ROWS_PER_FILE
 from .streaming import start_request_stream
 
@@ -29,6 +29,10 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--output", required=True)
         p.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
         p.add_argument("--strategy", choices=["join", "salted"], default="join")
+        p.add_argument("--schema", default=None,
+                       help="ledger schema as DDL (saves a listing + footer read)")
+        p.add_argument("--input-bytes", type=int, default=None,
+                       help="ledger size; sizes the initial shuffle partition count")
         if name == "ledger":
             p.add_argument("--source", required=True)
         else:
@@ -44,18 +48,20 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--per-trigger", type=int, default=1)
     args = ap.parse_args(argv)
 
-    spark = tune(SparkSession.builder.appName(f"netzero-{args.mode}").getOrCreate())
+    parts = shuffle_partitions_for(args.input_bytes) if args.input_bytes else None
+    spark = tune(SparkSession.builder.appName(f"netzero-{args.mode}").getOrCreate(),
+                 shuffle_partitions=parts, cluster=True)
     if args.mode == "ledger":
         m = reconcile_dataset(spark, args.source, args.output, rows_per_file=args.rows_per_file,
-                              strategy=args.strategy)
+                              strategy=args.strategy, schema=args.schema)
     elif args.mode == "requests":
         m = reconcile_request_log(spark, args.requests, args.output, args.dead_letters,
                                   root=args.root, rows_per_file=args.rows_per_file,
-                                  strategy=args.strategy)
+                                  strategy=args.strategy, schema=args.schema)
     else:
         q = start_request_stream(spark, args.inbox, args.output, args.dead_letters, args.checkpoint,
                                  max_files_per_trigger=args.per_trigger, available_now=args.once,
-                                 processing_time=args.interval, root=args.root,
+                                 processing_time=args.interval, root=args.root, schema=args.schema,
                                  rows_per_file=args.rows_per_file, strategy=args.strategy)
         q.awaitTermination()
         m = {"batches": len(q.recentProgress)}

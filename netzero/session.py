@@ -23,10 +23,36 @@ RECOMMENDED_SQL_CONF = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
+# Sizes for cluster runs (not set in local sessions): scan splits of 256 MiB,
+# ~128 MB shuffle partitions / output files after AQE coalescing and splitting.
+CLUSTER_SQL_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+}
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Initial shuffle partition count for a job reading ``input_bytes``.
+
+    AQE can merge small partitions but only splits skewed ones, so the
+    initial count must be large enough that an average partition fits a task
+    comfortably (no spill): about one per ``target_bytes`` of input.
+    """
+    return max(200, -(-input_bytes // target_bytes))
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    for k, v in RECOMMENDED_SQL_CONF.items():
+def tune(spark: SparkSession, shuffle_partitions: int | None = None,
+         cluster: bool = False) -> SparkSession:
+    """Set the SQL options the plans rely on; with ``cluster`` also the split
+    and partition sizes, and ``shuffle_partitions`` (see
+    ``shuffle_partitions_for``) as the initial partition count."""
+    conf = dict(RECOMMENDED_SQL_CONF)
+    if cluster:
+        conf.update(CLUSTER_SQL_CONF)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in conf.items():
         spark.conf.set(k, v)
     return spark
 

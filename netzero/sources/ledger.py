@@ -53,10 +53,10 @@ def read_ledger(
     url = resolve_path(path, root)
     reader = spark.read.option("mergeSchema", "false")
     if schema is None:
-        schema = _with_string_partitions(reader.parquet(url).schema, spec.partition_keys)
-    elif isinstance(schema, T.StructType):
-        schema = _with_string_partitions(schema, spec.partition_keys)
-    return reader.schema(schema).parquet(url)
+        schema = reader.parquet(url).schema
+    elif isinstance(schema, str):
+        schema = T.DataType.fromDDL(schema)
+    return reader.schema(_with_string_partitions(schema, spec.partition_keys)).parquet(url)
 
 
 def slice_predicate(slices: Sequence[tuple[str, str]], spec: ReconSpec = ReconSpec()) -> Column:

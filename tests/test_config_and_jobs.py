@@ -85,7 +85,23 @@ def test_request_log_and_cli(spark, scratch, ledger_root):
     assert m["rows"] > 0
     assert {r.reject_reason: r.n for r in dead_letter_counts(spark, dlq).collect()} == {"invalid_json": 1}
 
+    from netzero.session import CLUSTER_SQL_CONF
+
     out2, dlq2, ck = scratch("cli-out"), scratch("cli-dlq"), scratch("cli-ck")
-    assert main(["stream", "--inbox", inbox, "--output", out2, "--dead-letters", dlq2,
-                 "--checkpoint", ck, "--root", ledger_root, "--once"]) == 0
+    saved = {k: spark.conf.get(k, None) for k in [*CLUSTER_SQL_CONF, "spark.sql.shuffle.partitions"]}
+    try:
+        assert main(["stream", "--inbox", inbox, "--output", out2, "--dead-letters", dlq2,
+                     "--checkpoint", ck, "--root", ledger_root, "--once", "--input-bytes", "1000",
+                     "--schema", "transactionID string, data_contabil date, valor_net decimal(18,2), "
+                                 "empresa int, conta_contabil string"]) == 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert spark.read.schema(RESULT_SCHEMA).parquet(out2).count() == m["rows"]
+
+
+def test_partition_sizing():
+    from netzero.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(10) == 200
+    assert shuffle_partitions_for(100 * 2**40) == 819200  # 100 TiB / 128 MiB
