@@ -7,15 +7,18 @@ entry set is kept one-to-one.
 
 Plan shape (``strategy="join"``, the default):
 
-* the group balance is a hash aggregate with map-side partial sums, so a hot
-  group reaches the final aggregate as at most one row per map task;
-* only balanced groups are joined back (left join).  Spark broadcasts that
-  side when its estimated or (AQE) runtime size allows, otherwise it is a
-  sort-merge join whose skewed partitions AQE splits;
-* rows with a null key can never match; instead of all hashing to one task
-  they carry a spread value (hash of the row) as an extra join column, which
-  is 0 for keyed rows.  The aggregate groups by the same columns, so the
-  aggregate's exchange is reused by the join and each side shuffles once.
+* the group balance is a hash aggregate on the keys with map-side partial
+  sums, so a hot group reaches the final aggregate as at most one row per map
+  task; only balanced groups are kept;
+* the entries are joined back (left join) on (keys, spread).  Rows with a null
+  key can never match; instead of all hashing to one task they carry a spread
+  value (a content-hash bucket) as that extra join column, 0 for keyed rows;
+* the balanced groups get their own narrow exchange for the join, so both
+  join inputs are plain shuffle stages and AQE can split a hot entries
+  partition (skew join).  Spark broadcasts the balanced side when its
+  estimated or measured size allows; otherwise AQE picks a shuffled hash join
+  when each measured build partition fits (no sort of the entries), else a
+  sort-merge join.
 
 ``strategy="salted"`` spreads every group without relying on AQE: each entry
 gets a salt from a hash of its own content, partial balances are summed per
