@@ -45,7 +45,8 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--checkpoint", required=True)
             p.add_argument("--once", action="store_true", help="drain the inbox and stop")
             p.add_argument("--interval", default=None)
-            p.add_argument("--per-trigger", type=int, default=1)
+            p.add_argument("--per-trigger", type=int, default=None,
+                           help="files (text) or offsets (kafka) per micro-batch")
     args = ap.parse_args(argv)
 
     parts = shuffle_partitions_for(args.input_bytes) if args.input_bytes else None

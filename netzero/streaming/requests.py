@@ -78,29 +78,36 @@ def process_batch(batch: DataFrame, batch_id: int, *, output_path: str, dead_let
         parsed.unpersist()
 
 
+# Kafka back-pressure default: messages per micro-batch (one batch reconciles
+# all slices its messages name, so batches should hold many messages).
+KAFKA_OFFSETS_PER_TRIGGER = 100_000
+
+
 def request_source(spark: SparkSession, source: str | None = None, *, source_format: str = "text",
                    source_options: Mapping[str, str] | None = None,
-                   max_per_trigger: int = 1) -> DataFrame:
+                   max_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of request bodies (column ``body``).
 
     ``text``: files under ``source``, one JSON request per line,
-    ``max_per_trigger`` files per micro-batch.  ``kafka``: the message value
-    (needs the Kafka connector on the classpath), ``max_per_trigger`` offsets
-    per micro-batch; ``source_options`` carries the broker and topic options.
+    ``max_per_trigger`` files per micro-batch (default 1).  ``kafka``: the
+    message value (needs the Kafka connector on the classpath),
+    ``max_per_trigger`` offsets per micro-batch (default
+    ``KAFKA_OFFSETS_PER_TRIGGER``); ``source_options`` carries the broker and
+    topic options.
     """
     opts = dict(source_options or {})
     if source_format == "kafka":
-        opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger))
+        opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger or KAFKA_OFFSETS_PER_TRIGGER))
         raw = spark.readStream.format("kafka").options(**opts).load()
         return raw.select(F.col("value").cast("string").alias("body"))
-    opts.setdefault("maxFilesPerTrigger", str(max_per_trigger))
+    opts.setdefault("maxFilesPerTrigger", str(max_per_trigger or 1))
     return (spark.readStream.format(source_format).options(**opts).load(source)
             .withColumnRenamed("value", "body"))
 
 
 def start_request_stream(spark: SparkSession, source_dir: str | None, output_path: str,
                          dead_letter_path: str, checkpoint: str, *,
-                         max_files_per_trigger: int = 1, available_now: bool = False,
+                         max_files_per_trigger: int | None = None, available_now: bool = False,
                          processing_time: str | None = None, source_format: str = "text",
                          source_options: Mapping[str, str] | None = None,
                          **batch_options) -> StreamingQuery:
