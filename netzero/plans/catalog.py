@@ -51,38 +51,41 @@ DEAD_LETTER_SCHEMA = T.StructType([
 ])
 
 
-# Source ledgers already written in this session, by (application, tables dir).
-_SOURCES: dict[tuple[str, str], str] = {}
+# Input datasets already written in this session: (application, tables dir, kind) -> path.
+_SOURCES: dict[tuple[str, str, str], str] = {}
+
+
+def _written_once(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
+    """Path of an input dataset derived from the tables, written on first use
+    in this session (``write(path)``) under the shared checkpoint dir."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), kind)
+    if key not in _SOURCES:
+        path = scratch_path(spark, kind)
+        write(path)
+        _SOURCES[key] = path
+    return _SOURCES[key]
+
+
+def _write_partitioned(df: DataFrame, path: str) -> None:
+    df.hint("rebalance", *PARTS).write.partitionBy(*PARTS).parquet(path)
 
 
 def written_ledger(spark: SparkSession, sf_dir: str) -> str:
-    """Root folder (under the shared checkpoint dir) holding the raw ledger
-    derived from the tables as a Hive-partitioned dataset named ``ledger`` —
-    the layout the reconciliation worker reads.
+    """Root folder holding the raw ledger derived from the tables as a
+    Hive-partitioned dataset named ``ledger`` — the layout the worker reads.
 
-    It is written once per session and tables dir: the ledger is the input
-    dataset of every request, and deriving it (two large joins) inside each
-    query would run those joins again for both sides of the reconcile plan.
+    Written once per session and tables dir: the ledger is the input dataset
+    of every request, and deriving it (two large joins) inside each query
+    would run those joins again for both sides of the reconcile plan.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _SOURCES:
-        root = scratch_path(spark, "source")
-        (ledger_from_tables(spark, sf_dir).hint("rebalance", *PARTS)
-         .write.partitionBy(*PARTS).parquet(f"{root}/ledger"))
-        _SOURCES[key] = root
-    return _SOURCES[key]
+    return _written_once(spark, sf_dir, "source", lambda root: _write_partitioned(
+        ledger_from_tables(spark, sf_dir), f"{root}/ledger"))
 
 
 def written_text_ledger(spark: SparkSession, sf_dir: str) -> str:
-    """Like ``written_ledger``, for the upstream text export of the ledger
-    (amounts as text); written once per session and tables dir."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#text")
-    if key not in _SOURCES:
-        root = scratch_path(spark, "source-text")
-        (text_ledger_from_tables(spark, sf_dir).hint("rebalance", *PARTS)
-         .write.partitionBy(*PARTS).parquet(f"{root}/ledger"))
-        _SOURCES[key] = root
-    return _SOURCES[key]
+    """Like ``written_ledger``, for the upstream text export (amounts as text)."""
+    return _written_once(spark, sf_dir, "source-text", lambda root: _write_partitioned(
+        text_ledger_from_tables(spark, sf_dir), f"{root}/ledger"))
 
 
 def raw_text_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,12 +222,8 @@ def q_run_metrics(spark, sf_dir):
 def written_inbox(spark: SparkSession, sf_dir: str) -> str:
     """Folder of request messages (text, one JSON body per line) derived from
     the tables — the stream's input, written once per session and tables dir."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#inbox")
-    if key not in _SOURCES:
-        inbox = scratch_path(spark, "inbox")
-        requests_from_tables(spark, sf_dir).select("body").write.text(inbox)
-        _SOURCES[key] = inbox
-    return _SOURCES[key]
+    return _written_once(spark, sf_dir, "inbox", lambda path: (
+        requests_from_tables(spark, sf_dir).select("body").write.text(path)))
 
 
 def run_request_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
