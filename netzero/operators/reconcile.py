@@ -29,6 +29,8 @@ over at most ``salts`` rows per group) and the entries are joined back on
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,7 +74,8 @@ def _spread(has_keys, cols: list[str], buckets: int):
 
 def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str = "join",
               salts: int = DEFAULT_SALTS, null_spread: int = DEFAULT_NULL_SPREAD,
-              join_hint: str | None = None) -> DataFrame:
+              join_hint: str | None = None,
+              salt_columns: Sequence[str] | None = None) -> DataFrame:
     """Entries with ``reconciliation_status`` and ``conciliation_id`` added.
 
     ``entries`` must already be typed and cleaned (see ``normalize``).
@@ -81,14 +84,17 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
     ``"broadcast"``) pins the join-back strategy; by default Spark chooses by
     size.  ``shuffle_hash`` is the at-scale plan: the balanced-group side is
     unique per key, so each task hashes its share of it and streams the
-    entries through without sorting them.
+    entries through without sorting them.  ``salt_columns`` (default: every
+    column) feed the salt and null-key spread hashes; pass an entry id to
+    spread even exact duplicate rows.
     """
     keys = spec.keys
     others = [c for c in entries.columns if c not in keys]
     has_keys = all_present(keys)
+    hashed = list(salt_columns or entries.columns)
 
     if strategy == "join":
-        spread = entries.withColumn(_SALT, _spread(has_keys, entries.columns, null_spread))
+        spread = entries.withColumn(_SALT, _spread(has_keys, hashed, null_spread))
         # Aggregated on the keys alone, so the join on (keys, spread) gets its
         # own exchange on this side: both join inputs are then plain shuffle
         # stages, which is what lets AQE split a hot entries partition.
@@ -99,7 +105,7 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
                     group_uuid(keys).alias(_GID))
         )
     elif strategy == "salted":
-        spread = entries.withColumn(_SALT, F.pmod(F.xxhash64(*entries.columns), F.lit(salts)))
+        spread = entries.withColumn(_SALT, F.pmod(F.xxhash64(*hashed), F.lit(salts)))
         balanced = (
             spread.where(has_keys)
             .groupBy(*keys, _SALT).agg(F.sum(spec.amount).alias(_PART))

@@ -143,3 +143,29 @@ def test_null_key_rows_are_spread(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_salt_columns_spread_copies(spark, scratch):
+    """Exact copies share a content hash; an entry id spreads them."""
+    import pandas as pd
+
+    n = 30_000
+    path = scratch("copies")  # read back from files: literals would be constant-folded
+    spark.range(0, n, 1, 4).select(
+        F.lit("E").alias("empresa"), F.lit("C").alias("conta_contabil"), F.lit("HOT").alias("transactionID"),
+        F.lit(0).cast("decimal(18,2)").alias("valor_net"), F.col("id").alias("entry_id")).write.parquet(path)
+    df = spark.read.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def count(it):
+            yield pd.DataFrame({"n": [sum(len(b) for b in it)]})
+        copies = df.drop("entry_id")
+        by_content = reconcile(copies, strategy="salted")
+        by_id = reconcile(df, strategy="salted", salt_columns=["entry_id"])
+        assert max(r.n for r in by_content.mapInPandas(count, "n long").collect()) == n
+        assert max(r.n for r in by_id.mapInPandas(count, "n long").collect()) < n / 4
+        assert by_id.where("reconciliation_status = 'CONCILIADO'").count() == n
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
