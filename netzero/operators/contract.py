@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import present, resolve, spread_sort
 from ..spec import DEFAULT_OUTPUT, MONEY_TYPE, OutputContract, output_contracts
@@ -50,6 +52,29 @@ def apply_contract(df: DataFrame, schema: str = DEFAULT_OUTPUT,
     return spread_sort(out, order) if sort else out
 
 
+def contract_schema(schema: str = DEFAULT_OUTPUT,
+                    contracts: Mapping[str, OutputContract] | None = None) -> T.StructType:
+    """Spark schema of results written under a contract — for reading them
+    back with partition keys as strings (no type inference)."""
+    contract = _contract(schema, contracts)
+    if contract is None:
+        raise KeyError(f"no output contract {schema!r}")
+    return T.StructType([
+        T.StructField(c, _spark_type(contract_type(contract.types.get(c, "string"))))
+        for c in contract.columns
+    ])
+
+
+def _spark_type(ddl: str) -> T.DataType:
+    # the contract's own types need no JVM (usable before a session exists)
+    m = re.fullmatch(r"\s*decimal\((\d+),\s*(\d+)\)\s*", ddl, re.IGNORECASE)
+    if m:
+        return T.DecimalType(int(m.group(1)), int(m.group(2)))
+    if ddl.strip().lower() == "string":
+        return T.StringType()
+    return T.DataType.fromDDL(ddl)
+
+
 def contract_order(df: DataFrame, schema: str = DEFAULT_OUTPUT,
                    contracts: Mapping[str, OutputContract] | None = None) -> list[str]:
     contract = _contract(schema, contracts)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import all_present
-from ..operators import (apply_contract, file_plan, normalize, order_entries, project, reconcile,
+from ..operators import (apply_contract, contract_schema, file_plan, normalize, order_entries, project, reconcile,
                          rejected_amounts, txn_summary, type_and_clean)
 from ..sources import (LEDGER_SCHEMA, ledger_from_tables, read_ledger, read_slices, requests_from_tables,
                        scratch_path, text_ledger_from_tables)
@@ -31,16 +31,8 @@ URGENT_ACCOUNT = "1-URGENT"
 # Small file target so that the file plan differs from one file per slice at test scale.
 SMALL_FILE_ROWS = 500
 
-# Written results read back: partition keys typed as strings.
-RESULT_SCHEMA = T.StructType([
-    T.StructField("data_contabil", T.StringType()),
-    T.StructField("transactionID", T.StringType()),
-    T.StructField("valor_net", T.DecimalType(18, 2)),
-    T.StructField("reconciliation_status", T.StringType()),
-    T.StructField("conciliation_id", T.StringType()),
-    T.StructField("empresa", T.StringType()),
-    T.StructField("conta_contabil", T.StringType()),
-])
+# Written results read back: the contract's schema, partition keys as strings.
+RESULT_SCHEMA = contract_schema()
 TEXT_LEDGER_SCHEMA = T.StructType(
     [T.StructField(f.name, T.StringType()) if f.name == "valor_net" else f for f in LEDGER_SCHEMA.fields])
 DEAD_LETTER_SCHEMA = T.StructType([

@@ -105,3 +105,14 @@ def test_partition_sizing():
 
     assert shuffle_partitions_for(10) == 200
     assert shuffle_partitions_for(100 * 2**40) == 819200  # 100 TiB / 128 MiB
+
+
+def test_contract_schema(spark):
+    from netzero.operators import contract_schema
+
+    s = contract_schema()
+    assert dict((f.name, f.dataType.simpleString()) for f in s.fields)["valor_net"] == "decimal(18,2)"
+    custom = output_contracts({"x": {"columns": ["a", "b"], "types": {"a": "int"}}})
+    assert contract_schema("x", custom).simpleString() == "struct<a:int,b:string>"
+    with pytest.raises(KeyError):
+        contract_schema("nope")
