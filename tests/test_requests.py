@@ -127,3 +127,23 @@ def test_parse_matches_json_module(spark, bodies):
     df = spark.createDataFrame([(b,) for b in bodies], "body string")
     got = [r.reject_reason for r in parse_requests(df).collect()]
     assert got == [model(b) for b in bodies]
+
+
+def test_absent_slice_and_two_datasets(spark, ledger_root):
+    from netzero.sources import ledger_from_tables as ledger
+
+    absent = spark.createDataFrame([(body(empresa="nobody", conta_contabil="0", data_source_path="ledger"),)],
+                                   "body string")
+    assert reconcile_requested(spark, absent, root=ledger_root).count() == 0
+
+    # a second dataset under the same root: each path is reconciled on its own
+    ledger(spark, SF_SMALL).where("conta_contabil = '5-LOW'") \
+        .write.partitionBy("empresa", "conta_contabil").parquet(f"{ledger_root}/ledger_copy")
+    both = spark.createDataFrame(
+        [(body(empresa=" building ", conta_contabil="5-LOW", data_source_path=p),) for p in ("ledger", "ledger_copy")],
+        "body string")
+    out = reconcile_requested(spark, both, root=ledger_root)
+    one = reconcile_requested(spark, both.limit(1), root=ledger_root)
+    assert out.count() == 2 * one.count() > 0
+    assert out.where("reconciliation_status = 'CONCILIADO'").count() == \
+        2 * one.where("reconciliation_status = 'CONCILIADO'").count()
