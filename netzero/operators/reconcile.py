@@ -89,6 +89,8 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
     spread even exact duplicate rows.
     """
     keys = spec.keys
+    # a status from an earlier run (results fed back in) is recomputed
+    entries = entries.drop(spec.status, spec.group_id)
     others = [c for c in entries.columns if c not in keys]
     has_keys = all_present(keys)
     hashed = list(salt_columns or entries.columns)

@@ -85,3 +85,14 @@ def test_typed_amount_rounding(spark):
                                "empresa string, conta_contabil string, transactionID string, valor_net string")
     vals = sorted(r.valor_net for r in normalize(df).collect())
     assert vals == [Decimal("-2.34"), Decimal("1.01")]
+
+
+def test_reconcile_results_again(spark, raw):
+    """Earlier results plus a late entry: statuses are recomputed."""
+    first = reconcile(normalize(raw))
+    late = spark.createDataFrame([("E", "C", "T2", "-5.00")],
+                                 "empresa string, conta_contabil string, transactionID string, valor_net string")
+    again = reconcile(first.unionByName(normalize(late), allowMissingColumns=True))
+    t2 = {r.reconciliation_status for r in again.where("transactionID = 'T2'").collect()}
+    assert t2 == {"CONCILIADO"} and again.count() == len(ROWS) + 1
+    assert again.columns == first.columns
