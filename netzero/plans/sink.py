@@ -18,6 +18,7 @@ Row counts are collected with ``observe`` during the write — no extra job.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -30,7 +31,8 @@ PART_SUFFIX = "_part"
 
 
 def run_metrics(df: DataFrame, spec: ReconSpec = ReconSpec()) -> list:
-    """Aggregate expressions for ``observe``: rows, reconciled, pending, groups."""
+    """Aggregate expressions for ``observe``: rows, and reconciled / pending
+    rows when the frame has a status column."""
     done = F.col(spec.status) == F.lit(spec.reconciled_label)
     cols = []
     if spec.status in df.columns:
@@ -78,7 +80,7 @@ def write_result(
     if copy_partition_columns:
         out = out.withColumns({c + PART_SUFFIX: F.col(c) for c in part_cols})
         part_cols = [c + PART_SUFFIX for c in part_cols]
-    obs = Observation("netzero_write")
+    obs = Observation(f"netzero_write_{uuid.uuid4().hex[:12]}")  # unique per write
     out = out.observe(obs, *run_metrics(out, spec))
     out = layout(out, part_cols, contract_order(out, schema, contracts), num_partitions)
     writer = (
