@@ -21,6 +21,9 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("conta_contabil", T.StringType()),
 ])
 
+# A dataset reference starting with this names a catalog table instead of a path.
+TABLE_PREFIX = "table:"
+
 # Above this many requested slices the key set is not inlined into the scan
 # predicate; a semi-join against the request table is used instead.
 MAX_INLINE_SLICES = 1000
@@ -49,7 +52,15 @@ def read_ledger(
     zeros survive and a non-numeric key never fails a numeric cast).  Without
     an explicit ``schema`` the data columns come from one Parquet footer
     (no schema merge).
+
+    ``path`` may instead be ``table:<name>``, a partitioned catalog table
+    (types as declared there).  Slice filters on a table are pruned by the
+    catalog, so only the requested partitions are listed — with a path, Spark
+    lists the whole dataset tree before pruning, which dominates on a ledger
+    with very many partition directories.
     """
+    if path.startswith(TABLE_PREFIX):
+        return spark.table(path[len(TABLE_PREFIX):])
     url = resolve_path(path, root)
     reader = spark.read.option("mergeSchema", "false")
     if schema is None:
