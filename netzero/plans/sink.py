@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.contract import apply_contract, contract_order
+from ..sources.ledger import TABLE_PREFIX
 from ..spec import DEFAULT_OUTPUT, ROWS_PER_FILE, OutputContract, ReconSpec
 
 PART_SUFFIX = "_part"
@@ -71,6 +72,9 @@ def write_result(
 ) -> dict:
     """Write ``df`` under ``path``; returns the observed row counts.
 
+    ``path`` may be ``table:<name>``: the table is created partitioned on
+    first write, later writes replace only their partitions (``insertInto``
+    with dynamic overwrite), so readers get catalog partition pruning.
     ``copy_partition_columns`` keeps the keys inside the files as well: the
     directories are built from ``<key>_part`` copies.  ``num_partitions``
     forces an exact write parallelism instead of the adaptive rebalance.
@@ -83,15 +87,24 @@ def write_result(
     obs = Observation(f"netzero_write_{uuid.uuid4().hex[:12]}")  # unique per write
     out = out.observe(obs, *run_metrics(out, spec))
     out = layout(out, part_cols, contract_order(out, schema, contracts), num_partitions)
+    table = path[len(TABLE_PREFIX):] if path.startswith(TABLE_PREFIX) else None
+    spark = df.sparkSession
+    if table is not None and spark.catalog.tableExists(table):
+        out = out.select(*spark.table(table).columns)  # insertInto is by position
     writer = (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .option("compression", compression)
     )
-    if part_cols:
-        writer = writer.partitionBy(*part_cols)
-    writer.parquet(path)
+    if table is None:
+        writer = writer.partitionBy(*part_cols) if part_cols else writer
+        writer.parquet(path)
+    elif spark.catalog.tableExists(table):
+        writer.insertInto(table, overwrite=True)
+    else:
+        writer = writer.partitionBy(*part_cols) if part_cols else writer
+        writer.format("parquet").saveAsTable(table)
     return observed(obs)
 
 

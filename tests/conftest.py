@@ -13,9 +13,13 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from netzero.session import local_session
 
-    s = local_session("*", shuffle_partitions=8, app="netzero-tests")
+    # managed test tables go to a throwaway warehouse, not the working dir
+    s = local_session("*", shuffle_partitions=8, app="netzero-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="netzero-wh-")})
     yield s
     s.stop()
 
