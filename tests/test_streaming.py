@@ -57,3 +57,19 @@ def test_stream_end_to_end(spark, scratch):
     # restart with nothing new: the checkpoint skips processed files
     run(spark, base, root)
     assert spark.read.schema(DEAD_LETTER_SCHEMA).parquet(f"{base}/dlq").count() == 3
+
+
+def test_back_pressure_one_file_per_batch(spark, scratch):
+    root = scratch("bp-src")
+    ledger_from_tables(spark, SF_SMALL).where("conta_contabil = '5-LOW'") \
+        .write.partitionBy("empresa", "conta_contabil").parquet(f"{root}/ledger")
+    base = scratch("bp")
+    for i, seg in enumerate([" building ", " machinery ", " household "]):
+        drop(f"{base}/inbox", f"{i}.json", [req(seg, "5-LOW", "ledger")])
+    q = start_request_stream(spark, f"{base}/inbox", f"{base}/out", f"{base}/dlq", f"{base}/ckpt",
+                             max_files_per_trigger=1, available_now=True, root=root)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3 and all(p["numInputRows"] == 1 for p in batches)
+    slices = {r[0] for r in spark.read.schema(RESULT_SCHEMA).parquet(f"{base}/out").select("empresa").distinct().collect()}
+    assert slices == {"BUILDING", "MACHINERY", "HOUSEHOLD"}
