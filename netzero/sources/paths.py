@@ -34,8 +34,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="netzero-")
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="netzero-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root
 
 
