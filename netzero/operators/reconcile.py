@@ -67,6 +67,20 @@ def _finish(df: DataFrame, spec: ReconSpec) -> DataFrame:
     ).withColumnRenamed(_GID, spec.group_id)
 
 
+# Exact amount types: a balance of floating-point or text amounts would not
+# be an exact sum, so "equals zero" would not mean balanced.
+_EXACT_TYPES = ("decimal", "bigint", "int", "smallint", "tinyint")
+
+
+def _check_amount_type(entries: DataFrame, spec: ReconSpec) -> None:
+    dtype = dict(entries.dtypes).get(spec.amount)
+    if dtype is None:
+        raise ValueError(f"no amount column {spec.amount!r}")
+    if not dtype.startswith(_EXACT_TYPES):
+        raise TypeError(f"amount column {spec.amount!r} is {dtype}; type it first "
+                        f"(normalize / to_money give {spec.money_type})")
+
+
 def _spread(has_keys, cols: list[str], buckets: int):
     """0 for keyed rows; a content hash bucket for rows with a null key."""
     return F.when(has_keys, F.lit(0)).otherwise(F.pmod(F.xxhash64(*cols), F.lit(buckets)))
@@ -88,6 +102,7 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
     column) feed the salt and null-key spread hashes; pass an entry id to
     spread even exact duplicate rows.
     """
+    _check_amount_type(entries, spec)
     keys = spec.keys
     # a status from an earlier run (results fed back in) is recomputed
     entries = entries.drop(spec.status, spec.group_id)

@@ -96,3 +96,11 @@ def test_reconcile_results_again(spark, raw):
     t2 = {r.reconciliation_status for r in again.where("transactionID = 'T2'").collect()}
     assert t2 == {"CONCILIADO"} and again.count() == len(ROWS) + 1
     assert again.columns == first.columns
+
+
+def test_untyped_amounts_rejected(spark, raw):
+    with pytest.raises(TypeError):
+        reconcile(raw)  # amounts still text
+    cents = spark.createDataFrame([("E", "C", "T", 100), ("E", "C", "T", -100)],
+                                  "empresa string, conta_contabil string, transactionID string, valor_net bigint")
+    assert {r.reconciliation_status for r in reconcile(cents).collect()} == {"CONCILIADO"}
