@@ -73,3 +73,42 @@ def test_back_pressure_one_file_per_batch(spark, scratch):
     assert len(batches) == 3 and all(p["numInputRows"] == 1 for p in batches)
     slices = {r[0] for r in spark.read.schema(RESULT_SCHEMA).parquet(f"{base}/out").select("empresa").distinct().collect()}
     assert slices == {"BUILDING", "MACHINERY", "HOUSEHOLD"}
+
+
+def test_replay_after_failure_is_idempotent(spark, scratch):
+    """The batch fails after writing (lost driver): the restart replays it from
+    the checkpoint, and results and dead letters come out exactly once."""
+    from netzero.streaming import process_batch, request_source
+
+    root = scratch("replay-src")
+    ledger_from_tables(spark, SF_SMALL).where("conta_contabil = '2-HIGH'") \
+        .write.partitionBy("empresa", "conta_contabil").parquet(f"{root}/ledger")
+    base = scratch("replay")
+    drop(f"{base}/inbox", "a.json", [req(" building ", "2-HIGH", "ledger"), "oops"])
+    state = {"fail": True}
+
+    def handle(batch, batch_id):
+        process_batch(batch, batch_id, output_path=f"{base}/out",
+                      dead_letter_path=f"{base}/dlq", root=root)
+        if state["fail"]:
+            state["fail"] = False
+            raise RuntimeError("lost after the write")
+
+    def run_once():
+        q = (request_source(spark, f"{base}/inbox").writeStream.foreachBatch(handle)
+             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+        try:
+            q.awaitTermination()
+        except Exception:
+            pass
+        return q
+
+    first = run_once()
+    assert first.exception() is not None  # the batch was not committed
+    second = run_once()
+    assert second.exception() is None
+    out = spark.read.schema(RESULT_SCHEMA).parquet(f"{base}/out")
+    expected = ledger_from_tables(spark, SF_SMALL).where(
+        "empresa = ' building ' and conta_contabil = '2-HIGH'").count()
+    assert out.count() == expected
+    assert spark.read.schema(DEAD_LETTER_SCHEMA).parquet(f"{base}/dlq").count() == 1
