@@ -26,14 +26,17 @@ def resolve_path(path: str, root: str | None = None) -> str:
 def shared_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors for written intermediates.
 
-    It is the cluster's ``spark.checkpoint.dir``.  Only when the session has
-    none (local tests) a fresh local folder is made and registered as the
-    checkpoint dir, so later calls agree.
+    It is the cluster's ``spark.checkpoint.dir``.  Only a local-mode session
+    without one (tests) gets a fresh local folder, registered as the
+    checkpoint dir so later calls agree; on a cluster a machine-local folder
+    would not be shared, so a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="netzero-"))
         root = spark.sparkContext.getCheckpointDir()
     return root
