@@ -50,9 +50,9 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ledger entries: empresa, conta_contabil, transactionID,
     data_contabil (date), valor_net (decimal(18,2)), cliente_nome.
 
-    One shuffle join of line items with orders on the order key; the credits
-    are aggregated on that same key (no second exchange), the two branches are
-    unioned and joined to customers once.
+    Debits: line items joined with orders on the order key.  Credits: line
+    items pre-aggregated per order, then joined with orders.  The two
+    branches are unioned and joined to customers once.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_extendedprice", "l_linestatus", "l_shipdate")
@@ -69,16 +69,22 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         price.alias("valor_net"),
         F.lit("t").alias("_prefix"), F.lit("").alias("_suffix"),
     )
-    settled = (F.col("o_orderstatus") == "F") | (
-        (F.col("o_orderstatus") == "P") & (F.col("l_linestatus") == "F"))
+    # Credits: line items are first summed per order (all lines, and lines
+    # with status F) — one row per order, already partitioned on the join key
+    # — so this branch joins a fraction of the rows.  F orders are paid in
+    # full, P orders for their F lines; an order with nothing paid has none.
+    per_order = li.groupBy("l_orderkey").agg(
+        F.sum(price).alias("all_lines"),
+        F.sum(F.when(F.col("l_linestatus") == "F", price)).alias("f_lines"))
+    paid = (F.when(F.col("o_orderstatus") == "F", F.col("all_lines"))
+            .when(F.col("o_orderstatus") == "P", F.col("f_lines")))
     credits = (
-        lines.where(settled)
-        .groupBy("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
-        .agg(F.sum(price).alias("paid"))
+        per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
+        .where(paid.isNotNull())
         .select(
             "o_orderkey", "o_custkey", "o_orderpriority",
             F.col("o_orderdate").cast("date").alias("data_contabil"),
-            (-F.col("paid")).cast("decimal(18,2)").alias("valor_net"),
+            (-paid).cast("decimal(18,2)").alias("valor_net"),
             F.lit("T").alias("_prefix"), F.lit(" ").alias("_suffix"),
         )
     )
