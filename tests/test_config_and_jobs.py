@@ -116,3 +116,19 @@ def test_contract_schema(spark):
     assert contract_schema("x", custom).simpleString() == "struct<a:int,b:string>"
     with pytest.raises(KeyError):
         contract_schema("nope")
+
+
+def test_cli_ledger_mode(spark, scratch, ledger_root, capsys):
+    from netzero.session import CLUSTER_SQL_CONF
+
+    out = scratch("cli-ledger")
+    saved = {k: spark.conf.get(k, None) for k in CLUSTER_SQL_CONF}
+    try:
+        assert main(["ledger", "--source", f"{ledger_root}/ledger", "--output", out,
+                     "--rows-per-file", "1000"]) == 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    metrics = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert metrics == {"rows": 6898, "reconciled_rows": 2591, "pending_rows": 4307}
+    assert spark.read.schema(RESULT_SCHEMA).parquet(out).count() == 6898
