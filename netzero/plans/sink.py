@@ -84,9 +84,11 @@ def write_result(
     if copy_partition_columns:
         out = out.withColumns({c + PART_SUFFIX: F.col(c) for c in part_cols})
         part_cols = [c + PART_SUFFIX for c in part_cols]
+    out = layout(out, part_cols, contract_order(out, schema, contracts), num_partitions)
+    # observed in the writing (result) stage: Spark applies its accumulator
+    # updates once per partition even when map stages are re-run after a loss
     obs = Observation(f"netzero_write_{uuid.uuid4().hex[:12]}")  # unique per write
     out = out.observe(obs, *run_metrics(out, spec))
-    out = layout(out, part_cols, contract_order(out, schema, contracts), num_partitions)
     table = path[len(TABLE_PREFIX):] if path.startswith(TABLE_PREFIX) else None
     spark = df.sparkSession
     if table is not None and spark.catalog.tableExists(table):
