@@ -115,7 +115,8 @@ def reconcile_default_source(spark: SparkSession, requests: DataFrame, source_pa
 
 
 def dead_letters(requests: DataFrame, spec: ReconSpec = ReconSpec()) -> DataFrame:
-    """Requests that cannot be processed, with the reason."""
-    return rejected_requests(parsed(requests, spec)).select(
-        *[c for c in requests.columns if c != "body"], "partition_id", "reject_reason")
+    """Requests that cannot be processed, with the reason; other input
+    columns (not the body) are kept."""
+    extra = [c for c in requests.columns if c not in ("body", "partition_id", "reject_reason")]
+    return rejected_requests(parsed(requests, spec)).select(*extra, "partition_id", "reject_reason")
 

@@ -63,6 +63,8 @@ def test_requested_slices_only(spark, ledger_root):
     assert out.count() == expected  # duplicate request read once
     letters = dead_letters(req).collect()
     assert sorted(r.reject_reason for r in letters) == ["invalid_json", "missing_conta_contabil"]
+    again = dead_letters(parse_requests(req))  # already parsed: same letters, no duplicate columns
+    assert again.columns.count("partition_id") == 1 and again.count() == 2
 
 
 def test_no_valid_requests(spark, ledger_root):
