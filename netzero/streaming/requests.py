@@ -6,8 +6,8 @@ Source: text files, one JSON request per line (Kafka in production: swap the
 1. parses the bodies; malformed or incomplete requests go to the dead-letter
    sink with their reason;
 2. groups the valid requests by dataset path; for each path it reads only the
-   requested slices, reconciles them and writes the result with dynamic
-   partition overwrite;
+   requested slices and reconciles them; all results are written in one job
+   with dynamic partition overwrite;
 3. a path that cannot be read or written dead-letters its own requests
    (reason ``source_error``) and does not fail the batch.
 
@@ -54,33 +54,59 @@ def process_batch(batch: DataFrame, batch_id: int, *, output_path: str, dead_let
                   rows_per_file: int = ROWS_PER_FILE, spec: ReconSpec = ReconSpec(),
                   strategy: str = "join",
                   mappings: Mapping[str, DatasetMapping] | None = None) -> None:
-    """Handle one micro-batch of request bodies (column ``body``)."""
+    """Handle one micro-batch of request bodies (column ``body``).
+
+    Every requested dataset is planned first (a missing dataset fails here),
+    then all results are written in one job — so datasets sharing output
+    partitions add up instead of overwriting each other.  If that job fails,
+    each dataset is run once (``noop``) to find the failing ones, and the
+    others are written together.
+    """
     spark = batch.sparkSession
     parsed = parse_requests(batch, spec=spec).persist()
     try:
-        letters = [rejected_requests(parsed)]
         valid = valid_requests(parsed)
+        planned, failed = [], []
         for path, mine in request_targets(valid, spec):
             try:
-                result = reconcile_path(spark, path, mine, root, schema, dataset, spec,
-                                        strategy, mappings)
-                write_result(result, output_path, output_schema, partition_by, rows_per_file,
-                             spec=spec)
+                planned.append((path, reconcile_path(spark, path, mine, root, schema, dataset,
+                                                     spec, strategy, mappings)))
             except Exception as exc:  # one bad dataset must not fail the others
-                log.error("batch %s: dataset %s failed: %s", batch_id, path, exc)
-                letters.append(valid.where(F.col("data_source_path") == path)
-                               .withColumn("reject_reason", F.lit(REASON_SOURCE_ERROR)))
-        dead = letters[0]
-        for extra in letters[1:]:
-            dead = dead.unionByName(extra)
-        _write_dead_letters(dead, dead_letter_path, batch_id)
+                log.error("batch %s: dataset %s cannot be read: %s", batch_id, path, exc)
+                failed.append(path)
+
+        def write(df: DataFrame) -> None:
+            write_result(df, output_path, output_schema, partition_by, rows_per_file, spec=spec)
+
+        if planned:
+            try:
+                write(_union([r for _, r in planned]))
+            except Exception as exc:
+                # find the datasets that fail when run, write the others together
+                log.error("batch %s: combined write failed (%s); probing datasets", batch_id, exc)
+                good = []
+                for path, result in planned:
+                    try:
+                        result.write.format("noop").mode("overwrite").save()
+                        good.append(result)
+                    except Exception as exc2:
+                        log.error("batch %s: dataset %s failed: %s", batch_id, path, exc2)
+                        failed.append(path)
+                if good:
+                    write(_union(good))
+        letters = [rejected_requests(parsed)] + [
+            valid.where(F.col("data_source_path") == path)
+            .withColumn("reject_reason", F.lit(REASON_SOURCE_ERROR)) for path in failed]
+        _write_dead_letters(_union(letters), dead_letter_path, batch_id)
     finally:
         parsed.unpersist()
 
 
-# Kafka back-pressure default: messages per micro-batch (one batch reconciles
-# all slices its messages name, so batches should hold many messages).
-KAFKA_OFFSETS_PER_TRIGGER = 100_000
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def request_source(spark: SparkSession, source: str | None = None, *, source_format: str = "text",

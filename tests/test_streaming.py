@@ -112,3 +112,29 @@ def test_replay_after_failure_is_idempotent(spark, scratch):
         "empresa = ' building ' and conta_contabil = '2-HIGH'").count()
     assert out.count() == expected
     assert spark.read.schema(DEAD_LETTER_SCHEMA).parquet(f"{base}/dlq").count() == 1
+
+
+def test_shared_partitions_and_corrupt_dataset(spark, scratch):
+    """Two datasets with the same (company, account) in one batch: both land in
+    the output.  A dataset whose file is corrupt fails only at run time: it is
+    dead-lettered, the others are written."""
+    from netzero.plans.catalog import LEDGER_SCHEMA
+
+    root = scratch("multi-src")
+    part = ledger_from_tables(spark, SF_SMALL).where(
+        "empresa = ' building ' and conta_contabil = '3-MEDIUM'")
+    n = part.count()
+    for name in ("a", "b", "bad"):
+        part.write.partitionBy("empresa", "conta_contabil").parquet(f"{root}/{name}")
+    bad_dir = f"{root}/bad/empresa= building /conta_contabil=3-MEDIUM"
+    with open(os.path.join(bad_dir, "part-99999-corrupt.snappy.parquet"), "w") as fh:
+        fh.write("not parquet")
+    base = scratch("multi")
+    drop(f"{base}/inbox", "a.json", [req(" building ", "3-MEDIUM", p) for p in ("a", "b", "bad")])
+    q = start_request_stream(spark, f"{base}/inbox", f"{base}/out", f"{base}/dlq", f"{base}/ckpt",
+                             available_now=True, root=root, schema=LEDGER_SCHEMA)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert spark.read.schema(RESULT_SCHEMA).parquet(f"{base}/out").count() == 2 * n
+    dlq = spark.read.schema(DEAD_LETTER_SCHEMA).parquet(f"{base}/dlq").collect()
+    assert [r.reject_reason for r in dlq] == ["source_error"]
