@@ -18,7 +18,7 @@ from .worker import reconcile_requested
 def reconcile_dataset(spark: SparkSession, source: str, output: str, *, root: str | None = None,
                       schema: T.StructType | str | None = None, dataset: str = DEFAULT_DATASET,
                       output_schema: str = DEFAULT_OUTPUT,
-                      partition_by: Sequence[str] = ("empresa", "conta_contabil"),
+                      partition_by: Sequence[str] | None = None,
                       rows_per_file: int = ROWS_PER_FILE, strategy: str = "join",
                       spec: ReconSpec = ReconSpec(),
                       mappings: Mapping[str, DatasetMapping] | None = None) -> dict:
@@ -31,7 +31,7 @@ def reconcile_dataset(spark: SparkSession, source: str, output: str, *, root: st
 def reconcile_request_log(spark: SparkSession, requests: str, output: str, dead_letters: str, *,
                           root: str | None = None, schema: T.StructType | str | None = None,
                           dataset: str = DEFAULT_DATASET, output_schema: str = DEFAULT_OUTPUT,
-                          partition_by: Sequence[str] = ("empresa", "conta_contabil"),
+                          partition_by: Sequence[str] | None = None,
                           rows_per_file: int = ROWS_PER_FILE, strategy: str = "join",
                           spec: ReconSpec = ReconSpec()) -> dict:
     """Batch form of the consumer: a folder of request messages (one JSON per

@@ -62,7 +62,7 @@ def write_result(
     df: DataFrame,
     path: str,
     schema: str = DEFAULT_OUTPUT,
-    partition_by: Sequence[str] = ("empresa", "conta_contabil"),
+    partition_by: Sequence[str] | None = None,
     rows_per_file: int = ROWS_PER_FILE,
     num_partitions: int | None = None,
     copy_partition_columns: bool = False,
@@ -80,7 +80,7 @@ def write_result(
     forces an exact write parallelism instead of the adaptive rebalance.
     """
     out = apply_contract(df, schema, contracts, sort=False)
-    part_cols = list(partition_by)
+    part_cols = list(spec.partition_keys if partition_by is None else partition_by)
     if copy_partition_columns:
         out = out.withColumns({c + PART_SUFFIX: F.col(c) for c in part_cols})
         part_cols = [c + PART_SUFFIX for c in part_cols]

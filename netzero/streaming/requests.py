@@ -50,7 +50,7 @@ def _write_dead_letters(df: DataFrame, path: str, batch_id: int) -> None:
 def process_batch(batch: DataFrame, batch_id: int, *, output_path: str, dead_letter_path: str,
                   root: str | None = None, schema: T.StructType | str | None = None,
                   dataset: str = DEFAULT_DATASET, output_schema: str = DEFAULT_OUTPUT,
-                  partition_by: Sequence[str] = ("empresa", "conta_contabil"),
+                  partition_by: Sequence[str] | None = None,
                   rows_per_file: int = ROWS_PER_FILE, spec: ReconSpec = ReconSpec(),
                   strategy: str = "join",
                   mappings: Mapping[str, DatasetMapping] | None = None) -> None:
