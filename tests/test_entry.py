@@ -47,9 +47,16 @@ def canon(rows, cols):
     return sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+DUCK_TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DATE": "date",
+              "BOOLEAN": "boolean", "DOUBLE": "double"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = {c: DUCK_TYPES.get(str(t), str(t).lower().replace(" ", ""))
+                  for c, t in zip(rel.columns, rel.types)}
+    assert dict(df.dtypes) == duck_types
     assert canon(df.collect(), df.columns) == canon(rel.fetchall(), rel.columns)
