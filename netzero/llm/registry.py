@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import op2_exact_dedup
+from . import op2_exact_dedup, op6_mixing, op9_simhash
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup.op2_exact_dedup,
+    "op6_mixing": op6_mixing.op6_mixing,
+    "op9_simhash": op9_simhash.op9_simhash,
 }
 
 SQL = {
