@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from . import op2_exact_dedup, op6_mixing, op9_simhash
+from . import (op1_pii, op2_exact_dedup, op3_secrets, op4_toxicity, op6_mixing, op7_decontaminate, op8_warc,
+               op9_simhash, op10_chunks)
 
 QUERIES = {
+    "op1_pii": op1_pii.op1_pii,
     "op2_exact_dedup": op2_exact_dedup.op2_exact_dedup,
+    "op3_secrets": op3_secrets.op3_secrets,
+    "op4_toxicity": op4_toxicity.op4_toxicity,
     "op6_mixing": op6_mixing.op6_mixing,
+    "op7_decontaminate": op7_decontaminate.op7_decontaminate,
+    "op8_warc": op8_warc.op8_warc,
     "op9_simhash": op9_simhash.op9_simhash,
+    "op10_chunks": op10_chunks.op10_chunks,
 }
 
 SQL = {
