@@ -58,7 +58,8 @@ def repeated_positions(hashes: DataFrame, bits: int) -> DataFrame:
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_nz_bitmap"))
 
 
-def _bit(bitmap: Column, position: Column) -> Column:
+def bit_is_set(bitmap: Column, position: Column) -> Column:
+    """Bit of a 32,768-position bitmap; false where there is no bitmap."""
     at = F.bitmap_bit_position(position).cast("int")
     byte = F.conv(F.hex(bitmap.substr(F.shiftright(at, 3) + F.lit(1), F.lit(1))), 16, 10).cast("int")
     return F.coalesce(F.call_function("getbit", byte, at.bitwiseAND(F.lit(7))) == 1, F.lit(False))
@@ -71,7 +72,7 @@ def flag_possible_repeats(df: DataFrame, bitmaps: DataFrame, bits: int) -> DataF
         side = F.broadcast(bitmaps.select(F.col("_nz_bucket").alias(f"_nz_k{i}"),
                                           F.col("_nz_bitmap").alias(f"_nz_b{i}")))
         df = df.withColumn(f"_nz_k{i}", F.bitmap_bucket_number(p)).join(side, f"_nz_k{i}", "left")
-        found = found & _bit(F.col(f"_nz_b{i}"), p)
+        found = found & bit_is_set(F.col(f"_nz_b{i}"), p)
     df = df.withColumn("_nz_maybe", found)
     return df.drop(*[f"_nz_{x}{i}" for x in "kb" for i in range(HASHES)])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (op1_pii, op2_exact_dedup, op3_secrets, op4_toxicity, op6_mixing, op7_decontaminate, op8_warc,
+from . import (op1_pii, op2_exact_dedup, op3_secrets, op4_toxicity, op5_suffix, op6_mixing, op7_decontaminate, op8_warc,
                op9_simhash, op10_chunks)
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup.op2_exact_dedup,
     "op3_secrets": op3_secrets.op3_secrets,
     "op4_toxicity": op4_toxicity.op4_toxicity,
+    "op5_suffix": op5_suffix.op5_suffix,
     "op6_mixing": op6_mixing.op6_mixing,
     "op7_decontaminate": op7_decontaminate.op7_decontaminate,
     "op8_warc": op8_warc.op8_warc,
