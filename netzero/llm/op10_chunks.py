@@ -149,11 +149,14 @@ def cut(data: bytes, owners: dict[tuple[int, int], object], doc_id) -> tuple[lis
     return spans, b"".join([*kept, data[pos:]])
 
 
+_ADDED = ("n_bytes", "n_removed", "spans")
+
+
 def cut_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents that lose text: all columns, ``text`` after the cut, and
     ``n_bytes``, ``n_removed`` and ``spans`` of (start, end, first_doc_id), byte
-    offsets of the original text."""
-    names, kind = docs.columns, docs.schema[doc_id].dataType.simpleString()
+    offsets of the original text; columns of those names are replaced."""
+    names, kind = [c for c in docs.columns if c not in _ADDED], docs.schema[doc_id].dataType.simpleString()
     found = repeated_chunks(docs, text, doc_id).groupBy(F.col("doc_id").alias("_nz_id")).agg(
         F.collect_list(F.struct("d1", "d2", "owner")).alias("_nz_chunks"))
     rows = docs.select(F.col(doc_id).alias("_nz_key"), F.coalesce(F.col(text), F.lit("")).alias("_nz_text"),

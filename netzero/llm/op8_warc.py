@@ -190,8 +190,9 @@ def _order(r: tuple) -> tuple:
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    f = pd.DataFrame(rows, columns=names)
-    return f.astype({c: "Int64" for c in ("page_id", "refers_to")})
+    columns = dict(zip(names, zip(*rows))) if rows else dict.fromkeys(names, ())
+    # nullable longs column by column: a detour over floats would round large ids
+    return pd.DataFrame({c: pd.array(list(v), "Int64") if c in ("page_id", "refers_to") else list(v) for c, v in columns.items()})
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -240,11 +241,14 @@ def loser_tree_merge(runs: list[list[tuple]], key: Callable[[tuple], tuple] = _o
 def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Captures in global order: ``merge_range`` and ``merge_pos`` are added."""
     names = runs.columns
+    # ids travel as text: Arrow hands nullable longs to pandas as floats
+    text = lambda c: F.col(c).cast("string").alias(c) if c in ("page_id", "refers_to") else F.col(c)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces: dict[str, list[tuple]] = {}
         for f in frames:  # a range holds about range_rows index rows
-            for r in f.astype(object).where(f.notna(), None).itertuples(index=False, name=None):
+            number = {c: [None if x is None else int(x) for x in f[c]] for c in ("page_id", "refers_to")}
+            for r in zip(*(number.get(c, f[c]) for c in [*names, "merge_range"])):
                 pieces.setdefault(r[7], []).append(r)
         merged = list(loser_tree_merge(list(pieces.values())))
         out = _frame([r[:len(names)] for r in merged], names)
@@ -255,7 +259,7 @@ def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     n = max(1, -(-runs.count() // range_rows), runs.sparkSession.sparkContext.defaultParallelism)
     order = ["urlkey", "timestamp", F.col("page_id").isNull(), "page_id", "run", "offset"]
     dealt = runs.repartitionByRange(n, *order).sortWithinPartitions("run", *order[:4], "offset")
-    return dealt.withColumn("merge_range", F.spark_partition_id()).mapInPandas(
+    return dealt.withColumn("merge_range", F.spark_partition_id()).select(*map(text, names), "merge_range").mapInPandas(
         run, f"{CAPTURE}, merge_range int, merge_pos long")
 
 

@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import random
+
+import pytest
+
+from netzero.llm import op8_warc as m
+from netzero.sources import scratch_path
+
+from .common import read
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(pages):
+    """The contract by hand."""
+    first = {}
+    for r in sorted(pages, key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault((r[2] or ""), r[0])
+    out = []
+    for i, _, html in pages:
+        p = (html or "").encode()
+        f = first[html or ""]
+        again = f is not None and i != f
+        out.append((i, len(p), base64.b32encode(hashlib.sha1(p).digest()).decode(), "revisit" if again else "response", f if again else None))
+    return sorted(map(str, out))
+
+
+def test_edge_cases(spark):
+    big = 2 ** 60 + 1  # not exact as a float
+    pages = [(1, "http://a.example/x y\r\nz", "<p>é\r\n\r\nWARC/1.1\r\n</p>"), (2, None, None), (3, "", ""), (big, "http://WWW.b.example:80/", "same"),
+             (7, "https://b.example/", "same"), (None, "http://[bad", "same"), (None, None, "other"), (7, "https://b.example/", "same"),
+             (9, "http://b.example/" + "q" * 3000, "long " * 50_000)]
+    df = spark.createDataFrame([(*p, "x", "y") for p in pages], "page_id long, url string, html string, payload string, digest string")
+    out = m.archive_and_index(df, scratch_path(spark, "t-warc"), ).collect()
+    got = sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in out)
+    assert got == rows_of(pages)
+    key = [(r.urlkey, r.timestamp, r.page_id is None, r.page_id or 0) for r in sorted(out, key=lambda r: (r.merge_range, r.merge_pos))]
+    assert key == sorted(key)
+    assert m.archive_and_index(df.where("false"), scratch_path(spark, "t-warc")).count() == 0
+
+
+def test_small_payloads_are_all_responses(spark):
+    df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")], "page_id long, url string, html string")
+    out = m.archive_and_index(df, scratch_path(spark, "t-warc"), min_revisit_bytes=3).collect()
+    assert {r.page_id: r.refers_to for r in out} == {1: None, 2: None, 3: None, 4: 3}
+
+
+def test_loser_tree():
+    rnd = random.Random(1)
+    for _ in range(300):
+        runs = [sorted((rnd.randint(0, 9), rnd.random()) for _ in range(rnd.randint(0, 8))) for _ in range(rnd.randint(0, 9))]
+        assert list(m.loser_tree_merge(runs, key=lambda r: r)) == sorted(x for r in runs for x in r)
+
+
+def test_reader_rejects_damage():
+    rec = lambda body: (f"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n")
+    data = rec(b"one") + rec(b"\r\n\r\ntwo")
+    parts = lambda d: [d[i:i + 3] for i in range(0, len(d), 3)]
+    assert [b for _, _, b in m.stream_records(parts(data))] == [b"one", b"\r\n\r\ntwo"]
+    assert b"".join(m.inflate(gzip.compress(data) + gzip.compress(data), 7)) == data * 2
+    for bad in (data[:-6], b"x" + data, data + b"WARC"):
+        with pytest.raises(ValueError):
+            list(m.stream_records(parts(bad)))
+
+
+def test_url_key():
+    assert m.url_key("https://www.A.example:443/X?b=1") == "example,a)/x?b=1"
+    assert m.url_key("http://a.example:8080") == "example,a:8080)/"
+    assert m.url_key("") == "" and m.url_key("http://[bad") == "http://[bad"
+
+
+def test_query(spark):
+    pages = [(r.page_id, r.url, r.html) for r in read(spark, SF, "pages").collect()]
+    out = m.op8_warc(spark, SF).collect()
+    assert sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in out) == rows_of(pages)
