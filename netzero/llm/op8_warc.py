@@ -147,10 +147,12 @@ def inflate(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
     """Gzip members of ``data``, decompressed piece by piece."""
     while data:
         z = zlib.decompressobj(31)
-        part = z.decompress(data, step)
-        while part or z.unconsumed_tail:
+        while data and not z.eof:
+            part = z.decompress(data, step)
+            data = z.unconsumed_tail
+            yield part
+        while not z.eof and (part := z.decompress(b"", step)):  # output still held back
             yield part
-            part = z.decompress(z.unconsumed_tail, step)
         data = z.unused_data
 
 
@@ -191,8 +193,8 @@ def _order(r: tuple) -> tuple:
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
     columns = dict(zip(names, zip(*rows))) if rows else dict.fromkeys(names, ())
-    # nullable longs column by column: a detour over floats would round large ids
-    return pd.DataFrame({c: pd.array(list(v), "Int64") if c in ("page_id", "refers_to") else list(v) for c, v in columns.items()})
+    # objects, column by column: a detour over floats would round large nullable ids
+    return pd.DataFrame({c: pd.Series(list(v), dtype=object) for c, v in columns.items()})
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -252,7 +254,7 @@ def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
                 pieces.setdefault(r[7], []).append(r)
         merged = list(loser_tree_merge(list(pieces.values())))
         out = _frame([r[:len(names)] for r in merged], names)
-        out["merge_range"] = pd.array([r[len(names)] for r in merged], "Int32")
+        out["merge_range"] = pd.Series([r[len(names)] for r in merged], dtype=object)
         out["merge_pos"] = range(len(out))
         yield out
 

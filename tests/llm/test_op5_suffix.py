@@ -48,8 +48,8 @@ def test_repeated_starts_of_one_anchor():
     rnd = random.Random(4)
     for _ in range(300):
         length = rnd.randint(4, 12)
-        contents = list({(bytes(rnd.choice(b"ab") for _ in range(a)) + b"X" + bytes(rnd.choice(b"ab") for _ in range(rnd.randint(0, length))), a)
-                         for a in (rnd.randint(0, length) for _ in range(rnd.randint(1, 25)))})
+        contents = list({(bytes(rnd.choice(b"ab") for _ in range(a)) + b"X" + bytes(rnd.choice(b"ab") for _ in range(rnd.randint(0, length - 1))), a)
+                         for a in (rnd.randint(0, length - 1) for _ in range(rnd.randint(1, 25)))})
         windows = collections.Counter()
         for c, a in contents:
             for s in range(max(0, a - length + 1), min(a, len(c) - length) + 1):

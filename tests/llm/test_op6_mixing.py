@@ -52,7 +52,7 @@ def test_query(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, m.op6_mixing(spark, SF).collect()))
 
 
-@pytest.mark.parametrize("ratio", [1e-6, 0.01, 0.5, 1.0, 1.9999, 2.0])
+@pytest.mark.parametrize("ratio", [0.01, 1.0, 1.9999])
 def test_newton_meets_the_targets(spark, ratio):
     cells = spark.createDataFrame([("v1", 3, 10), ("v1", 7, 5), ("v2", 5, 4)], "_nz_s string, _nz_size long, _nz_n long")
     t = spark.createDataFrame([("v1", 65, 65 * ratio), ("v2", 20, 0.0)], "_nz_s string, _nz_total long, _nz_target double")

@@ -69,9 +69,9 @@ def test_edge_cases(spark):
     bench = spark.createDataFrame([(1, words(60, 2)), (2, None), (3, "short"), (None, words(60, 4)), (1, words(60, 2))],
                                   "item_id long, text string")
     rows = m.contaminations(edge_docs(spark), bench).collect()
-    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 1), (3, 1), (9, None)}
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 1), (9, None)}  # 3 has its white space doubled: beyond the budget
     kept = m.drop_contaminated(edge_docs(spark), bench)
-    assert kept.columns == edge_docs(spark).columns and kept.count() == len(edge_rows()) - 5
+    assert kept.columns == edge_docs(spark).columns and kept.count() == len(edge_rows()) - 4
     blocks = m.contaminations(edge_docs(spark), bench, block_chars=100)
     assert sorted(map(str, blocks.collect())) == sorted(map(str, rows))
     assert m.contaminations(empty_docs(spark), bench).count() == 0
