@@ -89,6 +89,12 @@ def resolve(df: DataFrame, name: str) -> str | None:
     return lowered.get(name.lower())
 
 
+def canonical(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Columns matching one of ``names`` in another case are renamed to it."""
+    new = {resolve(df, n): n for n in names if resolve(df, n) not in (None, n)}
+    return df.withColumnsRenamed(new) if new else df
+
+
 def present(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Actual names of the requested columns that exist in ``df``, in request order."""
     out = []

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clean_text, present, spread_sort, to_money
+from ..functions import canonical, clean_text, present, spread_sort, to_money
 from ..spec import DEFAULT_DATASET, DatasetMapping, ReconSpec, dataset_mappings
 
 log = logging.getLogger("netzero")
@@ -31,7 +31,9 @@ def project(df: DataFrame, dataset: str = DEFAULT_DATASET,
 
 def type_and_clean(df: DataFrame, spec: ReconSpec = ReconSpec()) -> DataFrame:
     """Amount columns -> ``spec.money_type`` (null when not a number);
-    key and name columns -> ``upper(trim(x))``.  Absent columns are skipped."""
+    key and name columns -> ``upper(trim(x))``.  Absent columns are skipped;
+    columns the spec names get its spelling (``EMPRESA`` becomes ``empresa``)."""
+    df = canonical(df, dict.fromkeys([*spec.keys, spec.booking_date, *spec.money_columns, *spec.text_columns]))
     changes = {c: to_money(c, spec.money_type) for c in present(df, spec.money_columns)}
     changes.update({c: clean_text(c) for c in present(df, spec.text_columns)})
     return df.withColumns(changes) if changes else df

@@ -34,7 +34,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import all_present, group_uuid, is_zero, status_label
+from ..functions import all_present, canonical, group_uuid, is_zero, status_label
 from ..spec import ReconSpec
 
 DEFAULT_SALTS = 32
@@ -89,25 +89,31 @@ def _spread(has_keys, cols: list[str], buckets: int):
 def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str = "join",
               salts: int = DEFAULT_SALTS, null_spread: int = DEFAULT_NULL_SPREAD,
               join_hint: str | None = None,
-              salt_columns: Sequence[str] | None = None) -> DataFrame:
+              salt_columns: Sequence[str] | None = None,
+              within: Sequence[str] = ()) -> DataFrame:
     """Entries with ``reconciliation_status`` and ``conciliation_id`` added.
 
     ``entries`` must already be typed and cleaned (see ``normalize``).
     Output columns: the group keys first, then the other entry columns, then
-    status and id.  ``join_hint`` (``"shuffle_hash"``, ``"shuffle_merge"``,
-    ``"broadcast"``) pins the join-back strategy; by default Spark chooses by
-    size.  ``shuffle_hash`` is the at-scale plan: the balanced-group side is
+    status and id.  ``join_hint`` (``"shuffle_hash"``, ``"shuffle_merge"``)
+    pins the join-back strategy; by default Spark chooses by size.  ``shuffle_hash`` is the at-scale plan: the balanced-group side is
     unique per key, so each task hashes its share of it and streams the
     entries through without sorting them.  ``salt_columns`` (default: every
     column) feed the salt and null-key spread hashes; pass an entry id to
-    spread even exact duplicate rows.
+    spread even exact duplicate rows.  ``within`` names further non-null
+    columns (such as the slice a row was read from): entries net only within
+    equal values of them, and the id depends on them.
     """
+    if join_hint not in (None, "shuffle_hash", "shuffle_merge"):
+        raise ValueError(f"join_hint {join_hint!r}: a forced broadcast has no size check")
+    entries = canonical(entries, [*spec.keys, spec.amount])
     _check_amount_type(entries, spec)
-    keys = spec.keys
+    keys = [*spec.keys, *within]
+    id_keys = [*within, *spec.keys]
     # a status from an earlier run (results fed back in) is recomputed
     entries = entries.drop(spec.status, spec.group_id)
     others = [c for c in entries.columns if c not in keys]
-    has_keys = all_present(keys)
+    has_keys = all_present(spec.keys)
     hashed = list(salt_columns or entries.columns)
 
     if strategy == "join":
@@ -118,8 +124,8 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
         balanced = (
             entries.where(has_keys).groupBy(*keys).agg(F.sum(spec.amount).alias(spec.balance))
             .where(is_zero(spec.balance))
-            .select(*keys, _spread(all_present(keys), keys, null_spread).alias(_SALT),
-                    group_uuid(keys).alias(_GID))
+            .select(*keys, _spread(has_keys, keys, null_spread).alias(_SALT),
+                    group_uuid(id_keys).alias(_GID))
         )
     elif strategy == "salted":
         spread = entries.withColumn(_SALT, F.pmod(F.xxhash64(*hashed), F.lit(salts)))
@@ -128,7 +134,7 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
             .groupBy(*keys, _SALT).agg(F.sum(spec.amount).alias(_PART))
             .withColumn(spec.balance, F.sum(_PART).over(Window.partitionBy(*keys)))
             .where(is_zero(spec.balance))
-            .select(*keys, _SALT, group_uuid(keys).alias(_GID))
+            .select(*keys, _SALT, group_uuid(id_keys).alias(_GID))
         )
     else:
         raise ValueError(f"unknown strategy {strategy!r}; use 'join' or 'salted'")

@@ -36,18 +36,24 @@ def parse_requests(raw: DataFrame, body: str = "body", spec: ReconSpec = ReconSp
     for a valid request).  Other input columns are kept.
 
     The body is parsed once into a typed struct (JSON values of any type are
-    read as their text); ``json_object_keys`` tells a JSON object from
-    anything else (malformed text, arrays, scalars, empty).
+    read as their text).  Spark's JSON functions stop reading at the end of the
+    first value and accept single quotes, so a body counts as JSON only if it
+    still parses as the first of exactly two elements of a list that ends with
+    the body's own digest; ``json_object_keys`` tells an object from other values.
     """
     company, account = spec.partition_keys
     outputs = dict(zip(REQUIRED_FIELDS, (company, account, "data_source_path")))
     msg = F.col("_nz_msg")
+    digest = F.md5(F.col(body).cast("binary"))
+    listed = F.from_json(F.concat(F.lit("["), F.col(body), F.lit(',"'), digest, F.lit('"]')),
+                         T.ArrayType(T.StringType()), {"allowSingleQuotes": "false"})
     parsed = raw.withColumns({
-        "_nz_msg": F.from_json(F.col(body), REQUEST_SCHEMA),
-        "_nz_obj": F.coalesce(F.json_object_keys(F.col(body)).isNotNull(), F.lit(False)),
+        "_nz_msg": F.from_json(F.col(body), REQUEST_SCHEMA, {"allowSingleQuotes": "false"}),
+        "_nz_obj": F.coalesce((F.size(listed) == 2) & (F.get(listed, F.lit(1)) == digest)
+                              & F.json_object_keys(F.col(body)).isNotNull(), F.lit(False)),
     }).withColumns({
-        "partition_id": msg["partition_id"],
-        **{out: msg["data"][name] for name, out in outputs.items()},
+        "partition_id": F.when(F.col("_nz_obj"), msg["partition_id"]),
+        **{out: F.when(F.col("_nz_obj"), msg["data"][name]) for name, out in outputs.items()},
     })
     reason = F.when(~F.col("_nz_obj"), F.lit(REASON_NOT_JSON))
     for name, out in outputs.items():

@@ -8,21 +8,20 @@ the cluster's shared checkpoint dir and return a DataFrame reading them back.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import all_present
-from ..operators import (apply_contract, contract_schema, file_plan, normalize, order_entries, project, reconcile,
-                         rejected_amounts, txn_summary, type_and_clean)
-from ..sources import (LEDGER_SCHEMA, ledger_from_tables, read_ledger, read_slices, requests_from_tables,
-                       scratch_path, text_ledger_from_tables)
-from ..spec import ReconSpec
+from ..operators import (apply_contract, contract_schema, file_plan, normalize, order_entries, parse_requests, project,
+                         reconcile, rejected_amounts, txn_summary, type_and_clean)
+from ..sources import (LEDGER_SCHEMA, blank_account_ledger_from_tables, ledger_from_tables, read_ledger, read_slices,
+                       requests_from_tables, scratch_path, spelled_ledger_from_tables, table, text_ledger_from_tables)
+from ..spec import ReconSpec, output_contracts
 from ..streaming import start_request_stream
+from .jobs import letters_of, process_requests
 from .sink import write_result
-from .worker import dead_letters, reconcile_default_source, reconcile_requested
+from .worker import SOURCE, dead_letters, reconcile_default_source, reconcile_requested
 
 SPEC = ReconSpec()
 PARTS = SPEC.partition_keys
@@ -35,6 +34,14 @@ SMALL_FILE_ROWS = 500
 RESULT_SCHEMA = contract_schema()
 TEXT_LEDGER_SCHEMA = T.StructType(
     [T.StructField(f.name, T.StringType()) if f.name == "valor_net" else f for f in LEDGER_SCHEMA.fields])
+
+
+def read_result(spark: SparkSession, path: str, *extra: str) -> DataFrame:
+    """A written result: the contract's columns (and ``extra`` directory columns as text)."""
+    schema = T.StructType([*RESULT_SCHEMA.fields, *[T.StructField(c, T.StringType()) for c in extra]])
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 DEAD_LETTER_SCHEMA = T.StructType([
     T.StructField("partition_id", T.StringType()),
     T.StructField("reject_reason", T.StringType()),
@@ -43,14 +50,21 @@ DEAD_LETTER_SCHEMA = T.StructType([
 ])
 
 
-# Input datasets already written in this session: (application, tables dir, kind) -> path.
-_SOURCES: dict[tuple[str, str, str], str] = {}
+# Input datasets already written in this session, by application, kind and the
+# table files they were made from.
+_SOURCES: dict[tuple, str] = {}
+
+
+def _table_files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and time of the files of the tables behind the ledger."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer")])
+    return tuple(sorted(map(tuple, files.select("path", "length", F.col("modificationTime").cast("string")).collect())))
 
 
 def _written_once(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
     """Path of an input dataset derived from the tables, written on first use
     in this session (``write(path)``) under the shared checkpoint dir."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), kind)
+    key = (spark.sparkContext.applicationId, kind, _table_files(spark, sf_dir))
     if key not in _SOURCES:
         path = scratch_path(spark, kind)
         write(path)
@@ -181,7 +195,36 @@ def q_reconcile_default_source(spark, sf_dir):
     result = reconcile_default_source(spark, requests_from_tables(spark, sf_dir), "ledger",
                                       root=root, schema=LEDGER_SCHEMA)
     write_result(result, f"{out}/results_by_partition")
-    return spark.read.schema(RESULT_SCHEMA).parquet(f"{out}/results_by_partition")
+    return read_result(spark, f"{out}/results_by_partition")
+
+
+def q_requested_spellings(spark, sf_dir):
+    """Both raw spellings of every company are requested; each slice is netted on its own."""
+    root = _written_once(spark, sf_dir, "source-spelled", lambda r: _write_partitioned(
+        spelled_ledger_from_tables(spark, sf_dir), f"{r}/ledger"))
+    both = requests_from_tables(spark, sf_dir).unionByName(requests_from_tables(spark, sf_dir, spelled=True))
+    out = reconcile_requested(spark, both, root=root, schema=LEDGER_SCHEMA, keep_origin=True)
+    return out.drop(SOURCE)
+
+
+def q_request_source_errors(spark, sf_dir):
+    """Requests for a dataset that does not exist become dead letters; the others are written."""
+    parsed = parse_requests(requests_from_tables(spark, sf_dir).unionByName(
+        requests_from_tables(spark, sf_dir, "no/such/dataset")))
+    _, failed = process_requests(spark, parsed, scratch_path(spark, "errors"),
+                                 root=written_ledger(spark, sf_dir), schema=LEDGER_SCHEMA)
+    return letters_of(parsed, failed).select("partition_id", "reject_reason")
+
+
+def q_slice_scan_many(spark, sf_dir):
+    """Slices of all accounts but one, in a request set with one absent account per customer."""
+    cust = table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders").where("o_orderpriority <> '5-LOW'")
+    company = F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")).alias("empresa")
+    wanted = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
+        company, F.col("o_orderpriority").alias("conta_contabil")).distinct().unionByName(
+        cust.select(company, F.col("c_custkey").cast("string").alias("conta_contabil")))
+    return read_slices(spark, "ledger", wanted, LEDGER_SCHEMA, root=written_ledger(spark, sf_dir))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -209,6 +252,42 @@ def q_run_metrics(spark, sf_dir):
         "rows bigint, reconciled_rows bigint, pending_rows bigint")
 
 
+def q_sink_blank_keys(spark, sf_dir):
+    out = scratch_path(spark, "blank")
+    write_result(reconcile(normalize(blank_account_ledger_from_tables(spark, sf_dir))), out)
+    return read_result(spark, out)
+
+
+def q_sink_empty_slice(spark, sf_dir):
+    """An unpartitioned result survives a later write of nothing."""
+    out = scratch_path(spark, "empty")
+    result = reconcile(entries(spark, sf_dir))
+    write_result(result, out, partition_by=())
+    write_result(result.where(F.col("empresa") == "NO SUCH COMPANY"), out, partition_by=())
+    return read_result(spark, out)
+
+
+def q_sink_fixed_partitions(spark, sf_dir):
+    """An exact number of writing tasks, then fewer tasks without a shuffle for one account."""
+    out = scratch_path(spark, "fixed")
+    result = reconcile(entries(spark, sf_dir))
+    write_result(result, out, num_partitions=3)
+    write_result(result.where(F.col("conta_contabil") == F.lit(URGENT_ACCOUNT)), out, coalesce=2)
+    return read_result(spark, out)
+
+
+# A contract as it would come from a JSON file.
+AUDIT_CONTRACT = {"audit": {
+    "columns": ["transactionID", "reconciliation_status", "valor_net", "empresa"],
+    "types": {"valor_net": "decimal(20,4)", "empresa": "string"},
+    "order_by": ["transactionID"],
+}}
+
+
+def q_custom_contract(spark, sf_dir):
+    return apply_contract(reconcile(entries(spark, sf_dir)), "audit", output_contracts(AUDIT_CONTRACT), sort=False)
+
+
 # --- streaming ---------------------------------------------------------------
 
 def written_inbox(spark: SparkSession, sf_dir: str) -> str:
@@ -236,7 +315,29 @@ def run_request_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 def q_stream_requests(spark, sf_dir):
     results, _ = run_request_stream(spark, sf_dir)
-    return spark.read.schema(RESULT_SCHEMA).parquet(results)
+    return read_result(spark, results)
+
+
+def q_stream_two_sources(spark, sf_dir):
+    """Two datasets holding some of the same slices, requested in different batches."""
+    def sources(root: str) -> None:
+        ledger = ledger_from_tables(spark, sf_dir)
+        _write_partitioned(ledger, f"{root}/ledger")
+        _write_partitioned(ledger.where(F.col("conta_contabil") == F.lit(URGENT_ACCOUNT)), f"{root}/copy")
+
+    def inbox(path: str) -> None:
+        for name in ("ledger", "copy"):
+            requests_from_tables(spark, sf_dir, name).select("body").coalesce(2).write.mode("append").text(path)
+
+    root = _written_once(spark, sf_dir, "two-sources", sources)
+    base = scratch_path(spark, "stream2")
+    q = start_request_stream(
+        spark, _written_once(spark, sf_dir, "two-inbox", inbox), f"{base}/results", f"{base}/dead_letters",
+        f"{base}/_checkpoint", max_files_per_trigger=1, available_now=True, root=root, schema=LEDGER_SCHEMA)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_result(spark, f"{base}/results", SOURCE)
 
 
 def q_stream_dead_letters(spark, sf_dir):
@@ -266,4 +367,12 @@ QUERIES = {
     "run_metrics": q_run_metrics,
     "stream_requests": q_stream_requests,
     "stream_dead_letters": q_stream_dead_letters,
+    "requested_spellings": q_requested_spellings,
+    "request_source_errors": q_request_source_errors,
+    "slice_scan_many": q_slice_scan_many,
+    "sink_blank_keys": q_sink_blank_keys,
+    "sink_empty_slice": q_sink_empty_slice,
+    "sink_fixed_partitions": q_sink_fixed_partitions,
+    "custom_contract": q_custom_contract,
+    "stream_two_sources": q_stream_two_sources,
 }

@@ -1,18 +1,27 @@
-"""End-to-end jobs: read, reconcile, write.  Each returns the write metrics."""
+"""End-to-end jobs: read, reconcile, write.  Each returns the write metrics.
+
+``write_options`` go to the sink (``contracts``, ``compression``,
+``num_partitions``, ``coalesce``, ``copy_partition_columns``).
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import normalize, parse_requests, reconcile, rejected_requests
+from ..operators import normalize, parse_requests, reconcile, rejected_requests, valid_requests
 from ..sources import read_ledger
 from ..spec import DEFAULT_DATASET, DEFAULT_OUTPUT, ROWS_PER_FILE, DatasetMapping, ReconSpec
-from .sink import write_result
-from .worker import reconcile_requested
+from .sink import METRICS, write_result
+from .worker import origin_columns, write_requested
+
+# Fixed value: reason for requests whose dataset could not be processed.
+REASON_SOURCE_ERROR = "source_error"
+DEAD_LETTER_COLUMNS = ("partition_id", "reject_reason", "body")
 
 
 def reconcile_dataset(spark: SparkSession, source: str, output: str, *, root: str | None = None,
@@ -21,29 +30,49 @@ def reconcile_dataset(spark: SparkSession, source: str, output: str, *, root: st
                       partition_by: Sequence[str] | None = None,
                       rows_per_file: int = ROWS_PER_FILE, strategy: str = "join",
                       spec: ReconSpec = ReconSpec(),
-                      mappings: Mapping[str, DatasetMapping] | None = None) -> dict:
+                      mappings: Mapping[str, DatasetMapping] | None = None,
+                      salt_columns: Sequence[str] | None = None, **write_options) -> dict:
     """Reconcile a whole ledger dataset and write it (dynamic overwrite)."""
     entries = normalize(read_ledger(spark, source, schema, spec, root), dataset, spec, mappings)
-    return write_result(reconcile(entries, spec, strategy), output, output_schema, partition_by,
-                        rows_per_file, spec=spec)
+    return write_result(reconcile(entries, spec, strategy, salt_columns=salt_columns), output, output_schema,
+                        partition_by, rows_per_file, spec=spec, **write_options)
+
+
+def letters_of(parsed: DataFrame, failed: Sequence[str]) -> DataFrame:
+    """Dead letters: rejected requests, and those whose dataset failed."""
+    lost = valid_requests(parsed).where(F.col("data_source_path").isin(list(failed))).withColumn(
+        "reject_reason", F.lit(REASON_SOURCE_ERROR))
+    return rejected_requests(parsed).unionByName(lost).select(*DEAD_LETTER_COLUMNS)
+
+
+def process_requests(spark: SparkSession, parsed: DataFrame, output: str, *, root: str | None = None,
+                     schema: T.StructType | str | None = None, dataset: str = DEFAULT_DATASET,
+                     output_schema: str = DEFAULT_OUTPUT, rows_per_file: int = ROWS_PER_FILE,
+                     spec: ReconSpec = ReconSpec(), strategy: str = "join",
+                     mappings: Mapping[str, DatasetMapping] | None = None,
+                     salt_columns: Sequence[str] | None = None, **write_options) -> tuple[dict, list[str]]:
+    """Write the slices of parsed requests under their origin directories;
+    (metrics, failed dataset paths)."""
+    def write(result: DataFrame) -> dict:
+        return write_result(result, output, output_schema, None, rows_per_file,
+                            directories=origin_columns(spec), spec=spec, **write_options)
+
+    total, failed = write_requested(spark, valid_requests(parsed), write, root, schema, dataset, spec, strategy,
+                                    mappings, salt_columns=salt_columns)
+    return {**dict.fromkeys(METRICS, 0), **total}, failed
 
 
 def reconcile_request_log(spark: SparkSession, requests: str, output: str, dead_letters: str, *,
-                          root: str | None = None, schema: T.StructType | str | None = None,
-                          dataset: str = DEFAULT_DATASET, output_schema: str = DEFAULT_OUTPUT,
-                          partition_by: Sequence[str] | None = None,
-                          rows_per_file: int = ROWS_PER_FILE, strategy: str = "join",
-                          spec: ReconSpec = ReconSpec()) -> dict:
+                          run_id: str | None = None, spec: ReconSpec = ReconSpec(), **options) -> dict:
     """Batch form of the consumer: a folder of request messages (one JSON per
-    line) is processed at once; invalid requests are written to
-    ``dead_letters``."""
-    parsed = parse_requests(spark.read.text(requests).withColumnRenamed("value", "body"), spec=spec)
-    (rejected_requests(parsed).select("partition_id", "reject_reason", "body")
-     .write.mode("overwrite").parquet(dead_letters))
-    result = reconcile_requested(spark, parsed, root, schema, dataset, spec, strategy)
-    return write_result(result, output, output_schema, partition_by, rows_per_file, spec=spec)
-
-
-def dead_letter_counts(spark: SparkSession, dead_letters: str):
-    """Dead letters per reason (a small report over the dead-letter output)."""
-    return spark.read.parquet(dead_letters).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    line) is processed at once.  Invalid requests, and those whose dataset
+    cannot be read or processed, are written to ``dead_letters/run_id=…``: a run
+    replaces its own letters and keeps those of others."""
+    parsed = parse_requests(spark.read.text(requests).withColumnRenamed("value", "body"), spec=spec).persist()
+    try:
+        metrics, failed = process_requests(spark, parsed, output, spec=spec, **options)
+        letters_of(parsed, failed).write.mode("overwrite").parquet(
+            f"{dead_letters.rstrip('/')}/run_id={run_id or uuid.uuid4().hex}")
+    finally:
+        parsed.unpersist()
+    return metrics

@@ -61,18 +61,35 @@ text_ledger AS (
 
 # One request message per order; broken bodies on every 79th (not JSON),
 # no account on every 89th, no dataset path on every 83rd order.
-REQUESTS = """
-requests AS (
-  SELECT o.o_orderkey AS seq,
-         CASE WHEN o.o_orderkey % 79 = 0 THEN concat('not json o', cast(o.o_orderkey AS varchar))
-         ELSE CAST(json_object(
+#: Company as written in a request, dataset path, for each copy of the messages.
+RAW_COMPANY = "concat(' ', lower(c.c_mktsegment), ' ')"
+
+
+def requests(*variants: tuple[str, str]) -> str:
+    """CTEs from messages to ``parsed``, one set of messages per (company, path)."""
+    each = " UNION ALL ".join(f"""
+  SELECT o.o_orderkey AS seq, {i} AS variant,
+         CAST(json_object(
            'partition_id', concat('o', cast(o.o_orderkey AS varchar)),
            'data', json_object(
-              'empresa', concat(' ', lower(c.c_mktsegment), ' '),
+              'empresa', {company},
               'conta_contabil', CASE WHEN o.o_orderkey % 89 <> 0 THEN o.o_orderpriority END,
-              'data_source_path', CASE WHEN o.o_orderkey % 83 <> 0 THEN 'ledger' END)) AS varchar)
-         END AS body
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+              'data_source_path', CASE WHEN o.o_orderkey % 83 <> 0 THEN '{path}' END)) AS varchar) AS msg
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""" for i, (company, path) in enumerate(variants))
+    return "messages AS (" + each + ")," + REQUEST_RULES
+
+
+# Broken bodies: no JSON, text after the object, two objects, single quotes, a cut end.
+REQUEST_RULES = """
+requests AS (
+  SELECT seq,
+         CASE WHEN seq % 79 <> 0 THEN msg
+              WHEN (seq // 79) % 5 = 0 THEN concat('not json o', cast(seq AS varchar))
+              WHEN (seq // 79) % 5 = 1 THEN concat(msg, ' trailing')
+              WHEN (seq // 79) % 5 = 2 THEN concat(msg, msg)
+              WHEN (seq // 79) % 5 = 3 THEN replace(msg, '"', chr(39))
+              ELSE left(msg, length(msg) - 3) END AS body
+  FROM messages
 ),
 req_fields AS (
   SELECT seq, body,
@@ -97,23 +114,7 @@ parsed AS (
   FROM req_values
 )"""
 
-# Raw ledger restricted to the slices named by valid requests.
-REQUESTED_LEDGER = """
-requested_ledger AS (
-  SELECT * FROM ledger l
-  WHERE EXISTS (SELECT 1 FROM parsed r
-                WHERE r.reject_reason IS NULL
-                  AND r.empresa = l.empresa AND r.conta_contabil = l.conta_contabil)
-)"""
-
-# Variant without a dataset path in the message: a missing path is fine.
-DEFAULT_SOURCE_LEDGER = """
-default_source_ledger AS (
-  SELECT * FROM ledger l
-  WHERE EXISTS (SELECT 1 FROM parsed r
-                WHERE (r.reject_reason IS NULL OR r.reject_reason = 'missing_data_source_path')
-                  AND r.empresa = l.empresa AND r.conta_contabil = l.conta_contabil)
-)"""
+REQUESTS = requests((RAW_COMPANY, "ledger"))
 
 # Mapping lancamentos_cj, amounts typed, keys trimmed and upper-cased.
 ENTRIES = """
@@ -153,6 +154,33 @@ reconciled AS (
    AND e."transactionID" = g."transactionID"
 )"""
 
+# The request path: every slice nets on its own, and ids depend on dataset and raw slice.
+ORIGIN = "request_source, empresa_slice, conta_contabil_slice"
+REQUEST_ENTRIES = """
+entries AS (
+  SELECT request_source, empresa AS empresa_slice, conta_contabil AS conta_contabil_slice,
+         upper(trim(empresa)) AS empresa,
+         TRY_CAST(valor_net AS decimal(18,2)) AS valor_net,
+         data_contabil,
+         upper(trim(conta_contabil)) AS conta_contabil,
+         upper(trim("transactionID")) AS "transactionID"
+  FROM {src}
+),
+groups AS (
+  SELECT request_source, empresa_slice, conta_contabil_slice, "transactionID", sum(valor_net) AS saldo
+  FROM entries GROUP BY ALL
+)"""
+REQUEST_RECONCILED = f"""
+reconciled AS (
+  SELECT {ORIGIN}, e.empresa, e.conta_contabil, "transactionID", e.valor_net, e.data_contabil,
+         CASE WHEN "transactionID" IS NOT NULL AND g.saldo = 0 THEN 'CONCILIADO' ELSE 'PENDENTE' END
+           AS reconciliation_status,
+         CASE WHEN "transactionID" IS NOT NULL AND g.saldo = 0
+              THEN {uuid_of(ORIGIN + ', e.empresa, e.conta_contabil, "transactionID"')} END AS conciliation_id
+  FROM entries e LEFT JOIN groups g USING (request_source, empresa_slice, conta_contabil_slice, "transactionID")
+)"""
+PLAIN = 'empresa, conta_contabil, "transactionID", valor_net, data_contabil, reconciliation_status, conciliation_id'
+
 CONTRACT_COLUMNS = """empresa, conta_contabil, cast(data_contabil AS varchar) AS data_contabil,
        "transactionID", cast(valor_net AS decimal(18,2)) AS valor_net,
        reconciliation_status, conciliation_id"""
@@ -167,6 +195,37 @@ def reconciled_over(*ctes: str, src: str = "ledger") -> str:
     return with_ctes(LEDGER_K, LEDGER, *ctes, ENTRIES.format(src=src), GROUPS, RECONCILED)
 
 
+def requested_over(*ctes: str, src: str) -> str:
+    """CTE list ending in ``reconciled`` computed slice by slice over ``src``
+    (which has ``request_source``)."""
+    return with_ctes(LEDGER_K, LEDGER, *ctes, REQUEST_ENTRIES.format(src=src), REQUEST_RECONCILED)
+
+
+def sourced(name: str, path: str, table: str, cond: str = "true", reasons: str = "r.reject_reason IS NULL") -> str:
+    """CTE ``name``: rows of ``table`` in slices that valid requests for ``path`` name."""
+    return f"""
+{name} AS (
+  SELECT '{path}' AS request_source, * FROM {table} l
+  WHERE {cond} AND EXISTS (SELECT 1 FROM parsed r
+                WHERE ({reasons}) AND coalesce(r.data_source_path, '{path}') = '{path}'
+                  AND r.empresa = l.empresa AND r.conta_contabil = l.conta_contabil)
+)"""
+
+
+SPELLED_LEDGER = """
+spelled AS (
+  SELECT CASE WHEN o_orderkey % 5 = 0 AND valor_net < 0 THEN upper(trim(empresa)) ELSE empresa END AS empresa,
+         conta_contabil, "transactionID", data_contabil, valor_net, cliente_nome
+  FROM ledger_k
+)"""
+BLANK_LEDGER = """
+blanks AS (
+  SELECT empresa, CASE WHEN o_orderkey % 50 = 0 THEN '  ' ELSE conta_contabil END AS conta_contabil,
+         "transactionID", data_contabil, valor_net, cliente_nome
+  FROM ledger_k
+)"""
+DEFAULT_REASONS = "r.reject_reason IS NULL OR r.reject_reason = 'missing_data_source_path'"
+
 RECONCILE = reconciled_over() + "SELECT * FROM reconciled"
 
 SQL = {
@@ -214,11 +273,31 @@ FROM reconciled GROUP BY empresa, conta_contabil""",
 SELECT * FROM ledger WHERE conta_contabil = '1-URGENT'""",
     "request_rejects": with_ctes(REQUESTS) + """
 SELECT seq, partition_id, reject_reason FROM parsed WHERE reject_reason IS NOT NULL""",
-    "reconcile_requested": reconciled_over(REQUESTS, REQUESTED_LEDGER, src="requested_ledger")
-    + "SELECT * FROM reconciled",
-    "reconcile_default_source": reconciled_over(REQUESTS, DEFAULT_SOURCE_LEDGER,
-                                                src="default_source_ledger")
+    "reconcile_requested": requested_over(REQUESTS, sourced("wanted", "ledger", "ledger"), src="wanted")
+    + f"SELECT {PLAIN} FROM reconciled",
+    "reconcile_default_source": requested_over(
+        REQUESTS, sourced("wanted", "ledger", "ledger", reasons=DEFAULT_REASONS), src="wanted")
     + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "requested_spellings": requested_over(
+        requests((RAW_COMPANY, "ledger"), ("upper(c.c_mktsegment)", "ledger")), SPELLED_LEDGER,
+        sourced("wanted", "ledger", "spelled"), src="wanted")
+    + f"SELECT {PLAIN}, empresa_slice, conta_contabil_slice FROM reconciled",
+    "request_source_errors": with_ctes(requests((RAW_COMPANY, "ledger"), (RAW_COMPANY, "no/such/dataset"))) + """
+SELECT partition_id, coalesce(reject_reason, 'source_error') AS reject_reason FROM parsed
+WHERE reject_reason IS NOT NULL OR data_source_path = 'no/such/dataset'""",
+    "slice_scan_many": with_ctes(LEDGER_K, LEDGER) + """
+SELECT * FROM ledger WHERE conta_contabil <> '5-LOW'""",
+    "sink_blank_keys": reconciled_over(BLANK_LEDGER, src="blanks") + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "sink_empty_slice": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "sink_fixed_partitions": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "custom_contract": reconciled_over() + """
+SELECT "transactionID", reconciliation_status, cast(valor_net AS decimal(20,4)) AS valor_net, empresa
+FROM reconciled""",
+    "stream_two_sources": requested_over(
+        requests((RAW_COMPANY, "ledger"), (RAW_COMPANY, "copy")), sourced("wanted_a", "ledger", "ledger"),
+        sourced("wanted_b", "copy", "ledger", "l.conta_contabil = '1-URGENT'"),
+        "wanted AS (SELECT * FROM wanted_a UNION ALL SELECT * FROM wanted_b)", src="wanted")
+    + f"SELECT {CONTRACT_COLUMNS}, request_source FROM reconciled",
     "sink_roundtrip": reconciled_over() + f"""
 SELECT {CONTRACT_COLUMNS}, empresa AS empresa_part, conta_contabil AS conta_contabil_part
 FROM reconciled""",
@@ -229,7 +308,7 @@ SELECT count(*) AS rows,
        cast(sum(CASE WHEN reconciliation_status = 'CONCILIADO' THEN 0 ELSE 1 END) AS bigint)
          AS pending_rows
 FROM reconciled""",
-    "stream_requests": reconciled_over(REQUESTS, REQUESTED_LEDGER, src="requested_ledger")
+    "stream_requests": requested_over(REQUESTS, sourced("wanted", "ledger", "ledger"), src="wanted")
     + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
     "stream_dead_letters": with_ctes(REQUESTS) + """
 SELECT partition_id, reject_reason FROM parsed WHERE reject_reason IS NOT NULL""",

@@ -29,6 +29,7 @@ from ..sources.ledger import TABLE_PREFIX
 from ..spec import DEFAULT_OUTPUT, ROWS_PER_FILE, OutputContract, ReconSpec
 
 PART_SUFFIX = "_part"
+METRICS = ("rows", "reconciled_rows", "pending_rows")
 
 
 def run_metrics(df: DataFrame, spec: ReconSpec = ReconSpec()) -> list:
@@ -45,11 +46,15 @@ def run_metrics(df: DataFrame, spec: ReconSpec = ReconSpec()) -> list:
 
 
 def layout(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str] = (),
-           num_partitions: int | None = None) -> DataFrame:
-    """Distribute and order rows for a partitioned write."""
+           num_partitions: int | None = None, coalesce: int | None = None) -> DataFrame:
+    """Distribute and order rows for a partitioned write: exactly
+    ``num_partitions`` tasks (a shuffle), at most ``coalesce`` tasks (none), or an
+    adaptive rebalance."""
     part_cols = list(partition_by)
     if num_partitions:
         out = df.repartition(num_partitions)
+    elif coalesce:
+        out = df.coalesce(coalesce)
     elif part_cols:
         out = df.hint("rebalance", *part_cols)
     else:
@@ -65,8 +70,10 @@ def write_result(
     partition_by: Sequence[str] | None = None,
     rows_per_file: int = ROWS_PER_FILE,
     num_partitions: int | None = None,
-    copy_partition_columns: bool = False,
+    coalesce: int | None = None,
+    copy_partition_columns: bool = True,
     compression: str = "snappy",
+    directories: Sequence[str] | None = None,
     contracts: Mapping[str, OutputContract] | None = None,
     spec: ReconSpec = ReconSpec(),
 ) -> dict:
@@ -75,16 +82,32 @@ def write_result(
     ``path`` may be ``table:<name>``: the table is created partitioned on
     first write, later writes replace only their partitions (``insertInto``
     with dynamic overwrite), so readers get catalog partition pruning.
-    ``copy_partition_columns`` keeps the keys inside the files as well: the
-    directories are built from ``<key>_part`` copies.  ``num_partitions``
-    forces an exact write parallelism instead of the adaptive rebalance.
+    The keys stay inside the files (a blank key would come back as null from a
+    directory name) and the directories are built from ``<key>_part`` copies;
+    ``copy_partition_columns=False`` moves the keys into the directory names.
+    ``num_partitions`` forces an exact write parallelism, ``coalesce`` an upper
+    bound without a shuffle, instead of the adaptive rebalance.  ``directories``
+    names columns of ``df`` (outside the contract) to build the directories from
+    instead.  An empty result writes nothing, also without partitions.
     """
-    out = apply_contract(df, schema, contracts, sort=False)
-    part_cols = list(spec.partition_keys if partition_by is None else partition_by)
-    if copy_partition_columns:
+    if directories:
+        # columns of the contract, then the directory columns under names of their own
+        kept = {c: f"_nz_dir{i}" for i, c in enumerate(directories)}
+        held = df.withColumns({h: F.col(c) for c, h in kept.items()})
+        cols = apply_contract(df, schema, contracts, sort=False)
+        names = [c for c in cols.columns if c not in directories]
+        typed = {f.name: f.dataType for f in cols.schema.fields}
+        out = held.select(*[F.col(c).cast(typed[c]).alias(c) for c in names], *[F.col(h).alias(c) for c, h in kept.items()])
+        part_cols = list(directories)
+    else:
+        out = apply_contract(df, schema, contracts, sort=False)
+        part_cols = list(spec.partition_keys if partition_by is None else partition_by)
+    if copy_partition_columns and not directories:
         out = out.withColumns({c + PART_SUFFIX: F.col(c) for c in part_cols})
         part_cols = [c + PART_SUFFIX for c in part_cols]
-    out = layout(out, part_cols, contract_order(out, schema, contracts), num_partitions)
+    if not part_cols and out.isEmpty():
+        return dict.fromkeys(METRICS, 0)
+    out = layout(out, part_cols, contract_order(out, schema, contracts), num_partitions, coalesce)
     # observed in the writing (result) stage: Spark applies its accumulator
     # updates once per partition even when map stages are re-run after a loss
     obs = Observation(f"netzero_write_{uuid.uuid4().hex[:12]}")  # unique per write
@@ -107,15 +130,16 @@ def write_result(
     else:
         writer = writer.partitionBy(*part_cols) if part_cols else writer
         writer.format("parquet").saveAsTable(table)
-    return observed(obs)
+    return observed(obs, out)
 
 
-def observed(obs: Observation) -> dict:
-    """Metrics of a finished action.  When Catalyst proved the input empty it
-    drops the observation with the rest of the plan: that is zero rows."""
+def observed(obs: Observation, written: DataFrame) -> dict:
+    """Metrics of a finished write.  Where the optimizer finds the input empty it
+    drops the observing node with the rest of the plan and there is no value to
+    read; zeros are reported only if the written frame is empty indeed."""
     try:
         return dict(obs.get)
     except Exception:
-        if obs._jo is not None and obs._jo.getRow().size() == 0:
-            return {name: 0 for name in ("rows", "reconciled_rows", "pending_rows")}
+        if written.isEmpty():
+            return dict.fromkeys(METRICS, 0)
         raise

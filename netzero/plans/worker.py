@@ -1,109 +1,143 @@
 """Request-driven reconciliation: a table of request messages in, the
-reconciled entries of every requested ledger slice out — in one Spark job
-per dataset path, however many slices are requested.
-
-Requests name raw (company, account) partition values and a dataset path.
-Invalid requests are left out here (see ``dead_letters``).  Repeated
-requests for one slice are read once.  Each dataset path is reconciled on
-its own: entries of different datasets never net together.
+reconciled entries of every requested ledger slice out.
+
+A request names raw (company, account) partition values and a dataset path: its
+slice.  Every slice is reconciled on its own, as one message would be: the
+entries carry the slice they were read from (``origin_columns``), net only within
+it, and their ids depend on it.  The result of a slice is therefore the same
+whichever requests are handled together with it.  All slices of a job, of whatever
+datasets, share one aggregate and one join.  Invalid requests are left out here
+(see ``dead_letters``); repeated requests for one slice are read once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import logging
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import present
 from ..operators import normalize, parse_requests, reconcile, rejected_requests, valid_requests
 from ..operators.requests import REASON_MISSING, REQUIRED_FIELDS
 from ..sources import read_slices
-from ..sources.ledger import LEDGER_SCHEMA, MAX_INLINE_SLICES
+from ..sources.ledger import LEDGER_SCHEMA
 from ..spec import DEFAULT_DATASET, DatasetMapping, ReconSpec
 
-# Distinct dataset paths one batch of requests may name.  Each path is its own
-# scan, so this bounds the size of the plan, not of the data.
-MAX_PATHS = 64
+log = logging.getLogger("netzero")
+
+#: Column holding the dataset path as requested; raw slice values are in
+#: ``<key>_slice``.  Together they are the directories of a request result.
+SOURCE = "request_source"
+SLICE_SUFFIX = "_slice"
+#: Dataset paths planned in one job.  More paths take more jobs: this bounds the
+#: size of a plan, never the number of requests.
+PATHS_PER_JOB = 32
+
+
+def origin_columns(spec: ReconSpec = ReconSpec()) -> list[str]:
+    return [SOURCE, *[k + SLICE_SUFFIX for k in spec.partition_keys]]
 
 
 def parsed(requests: DataFrame, spec: ReconSpec) -> DataFrame:
     return requests if "reject_reason" in requests.columns else parse_requests(requests, spec=spec)
 
 
-def requested_paths(valid: DataFrame, max_paths: int = MAX_PATHS) -> list[str]:
-    """Distinct dataset paths of valid requests (bounded, checked)."""
-    paths = [r[0] for r in valid.select("data_source_path").distinct().take(max_paths + 1)]
-    if len(paths) > max_paths:
-        raise ValueError(f"requests name more than {max_paths} dataset paths")
-    return sorted(paths)
+def requested_paths(valid: DataFrame, per_job: int = PATHS_PER_JOB) -> Iterator[list[str]]:
+    """Distinct dataset paths of valid requests, in blocks; one block is on the driver."""
+    block: list[str] = []
+    for row in valid.select("data_source_path").distinct().orderBy("data_source_path").toLocalIterator():
+        block.append(row[0])
+        if len(block) == per_job:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+def slice_entries(spark: SparkSession, path: str, slices: DataFrame | Sequence[tuple[str, str]],
+                  root: str | None = None, schema: T.StructType | str | None = None,
+                  dataset: str = DEFAULT_DATASET, spec: ReconSpec = ReconSpec(),
+                  mappings: Mapping[str, DatasetMapping] | None = None) -> DataFrame:
+    """Typed, cleaned entries of the requested slices of one dataset, with the
+    slice each was read from."""
+    raw = read_slices(spark, path, slices, schema, spec, root)
+    keys = dict(zip(spec.partition_keys, present(raw, spec.partition_keys)))
+    origin = {SOURCE: F.lit(path), **{k + SLICE_SUFFIX: F.col(a) for k, a in keys.items()}}
+    mapped = normalize(raw.limit(0), dataset, spec, mappings).columns
+    by_name = {c.lower(): c for c in raw.columns}
+    kept = raw.select(*[F.col(by_name[c.lower()]) for c in mapped], *[c.alias(n) for n, c in origin.items()])
+    return normalize(kept, "", spec, {"": DatasetMapping(tuple(kept.columns))})
+
+
+def union_entries(frames: Sequence[DataFrame]) -> DataFrame:
+    """Entries of several datasets; a column typed differently among them is text."""
+    types: dict[str, set] = {}
+    for f in frames:
+        for n, t in f.dtypes:
+            types.setdefault(n, set()).add(t)
+    mixed = [n for n, t in types.items() if len(t) > 1]
+    out = None
+    for f in frames:
+        f = f.withColumns({n: F.col(n).cast("string") for n in mixed if n in f.columns})
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
-def request_targets(valid: DataFrame, spec: ReconSpec = ReconSpec(),
-                    max_inline: int = MAX_INLINE_SLICES) -> list[tuple[str, object]]:
-    """[(dataset path, requested slices)] of valid requests.
+def reconcile_slices(frames: Sequence[DataFrame], spec: ReconSpec = ReconSpec(), strategy: str = "join",
+                     **options) -> DataFrame:
+    """Reconciled entries of ``slice_entries`` frames, with their origin columns."""
+    return reconcile(union_entries(frames), spec, strategy, within=origin_columns(spec), **options)
 
-    The distinct (path, company, account) targets are fetched in one bounded
-    job and the slices come back as lists of key pairs (they become a
-    partition filter).  Above ``max_inline`` targets only the distinct paths
-    are fetched and each path gets a DataFrame of its slices (semi-join).
-    """
-    targets = valid.select("data_source_path", *spec.partition_keys).distinct()
-    head = targets.take(max_inline + 1)
-    if len(head) > max_inline:
-        return [(p, targets.where(F.col("data_source_path") == p)) for p in requested_paths(valid)]
-    by_path: dict[str, list[tuple[str, str]]] = {}
-    for path, company, account in head:
-        by_path.setdefault(path, []).append((company, account))
-    if len(by_path) > MAX_PATHS:
-        raise ValueError(f"requests name more than {MAX_PATHS} dataset paths")
-    return sorted(by_path.items())
-
-
-def reconcile_path(spark: SparkSession, path: str, slices: DataFrame | list[tuple[str, str]],
-                   root: str | None = None,
-                   schema: T.StructType | str | None = None, dataset: str = DEFAULT_DATASET,
-                   spec: ReconSpec = ReconSpec(), strategy: str = "join",
-                   mappings: Mapping[str, DatasetMapping] | None = None,
-                   max_inline: int = MAX_INLINE_SLICES) -> DataFrame:
-    """Reconciled entries of the requested slices of one dataset."""
-    raw = read_slices(spark, path, slices, schema, spec, root, max_inline)
-    return reconcile(normalize(raw, dataset, spec, mappings), spec, strategy)
+
+def wanted_slices(valid: DataFrame, path: str, spec: ReconSpec) -> DataFrame:
+    return valid.where(F.col("data_source_path") == F.lit(path)).select(*spec.partition_keys)
+
+
+def _no_entries(spark, schema, dataset, spec, mappings, strategy) -> DataFrame:
+    """The empty result, with the origin columns."""
+    empty = normalize(spark.createDataFrame([], schema or LEDGER_SCHEMA), dataset, spec, mappings)
+    empty = empty.withColumns({c: F.lit(None).cast("string") for c in origin_columns(spec)})
+    return reconcile(empty, spec, strategy, within=origin_columns(spec))
 
 
 def reconcile_requested(spark: SparkSession, requests: DataFrame, root: str | None = None,
                         schema: T.StructType | str | None = None, dataset: str = DEFAULT_DATASET,
                         spec: ReconSpec = ReconSpec(), strategy: str = "join",
                         mappings: Mapping[str, DatasetMapping] | None = None,
-                        max_inline: int = MAX_INLINE_SLICES) -> DataFrame:
+                        keep_origin: bool = False, failed: list[str] | None = None) -> DataFrame:
     """Reconciled entries of all slices named by valid requests.
 
     ``requests`` holds message bodies (column ``body``) or already parsed
     requests.  Paths are resolved against ``root`` (see ``resolve_path``).
-    The distinct (path, company, account) targets are fetched in one bounded
-    job; only when they exceed ``max_inline`` does each dataset filter its
-    slices with a semi-join against the request table instead.
+    ``keep_origin`` adds the origin columns.  A dataset that cannot be read raises,
+    or, with a list in ``failed``, is left out and named there.
     """
     valid = valid_requests(parsed(requests, spec))
-    slices = request_targets(valid, spec, max_inline)
-    parts = [
-        reconcile_path(spark, p, wanted, root, schema, dataset, spec, strategy, mappings, max_inline)
-        for p, wanted in slices
-    ]
-    if not parts:
-        return reconcile(normalize(spark.createDataFrame([], schema or LEDGER_SCHEMA),
-                                   dataset, spec, mappings), spec, strategy)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    frames = []
+    for paths in requested_paths(valid):
+        for path in paths:
+            try:
+                frames.append(slice_entries(spark, path, wanted_slices(valid, path, spec), root, schema,
+                                            dataset, spec, mappings))
+            except Exception as exc:
+                if failed is None:
+                    raise
+                log.error("dataset %s cannot be read: %s", path, exc)
+                failed.append(path)
+    out = (reconcile_slices(frames, spec, strategy) if frames
+           else _no_entries(spark, schema, dataset, spec, mappings, strategy))
+    return out if keep_origin else out.drop(*origin_columns(spec))
 
 
 def reconcile_default_source(spark: SparkSession, requests: DataFrame, source_path: str,
                              root: str | None = None, schema: T.StructType | str | None = None,
                              dataset: str = DEFAULT_DATASET, spec: ReconSpec = ReconSpec(),
                              strategy: str = "join",
-                             mappings: Mapping[str, DatasetMapping] | None = None) -> DataFrame:
+                             mappings: Mapping[str, DatasetMapping] | None = None,
+                             keep_origin: bool = False) -> DataFrame:
     """Variant whose requests carry only company and account: every slice is
     read from the configured ``source_path``.  A request lacking either key is
     invalid; a ``data_source_path`` in the message is ignored."""
@@ -111,7 +145,9 @@ def reconcile_default_source(spark: SparkSession, requests: DataFrame, source_pa
     ok = F.col("reject_reason").isNull() | (
         F.col("reject_reason") == F.lit(REASON_MISSING + REQUIRED_FIELDS[2]))
     slices = p.where(ok).select(*spec.partition_keys).distinct()
-    return reconcile_path(spark, source_path, slices, root, schema, dataset, spec, strategy, mappings)
+    out = reconcile_slices([slice_entries(spark, source_path, slices, root, schema, dataset, spec, mappings)],
+                           spec, strategy)
+    return out if keep_origin else out.drop(*origin_columns(spec))
 
 
 def dead_letters(requests: DataFrame, spec: ReconSpec = ReconSpec()) -> DataFrame:
@@ -120,3 +156,46 @@ def dead_letters(requests: DataFrame, spec: ReconSpec = ReconSpec()) -> DataFram
     extra = [c for c in requests.columns if c not in ("body", "partition_id", "reject_reason")]
     return rejected_requests(parsed(requests, spec)).select(*extra, "partition_id", "reject_reason")
 
+
+def write_requested(spark: SparkSession, valid: DataFrame, write, root: str | None = None,
+                    schema: T.StructType | str | None = None, dataset: str = DEFAULT_DATASET,
+                    spec: ReconSpec = ReconSpec(), strategy: str = "join",
+                    mappings: Mapping[str, DatasetMapping] | None = None,
+                    per_job: int = PATHS_PER_JOB, **options) -> tuple[dict, list[str]]:
+    """Write the result of every requested slice; (summed metrics, failed paths).
+
+    ``write(frame)`` writes reconciled entries with origin columns and returns its
+    metrics.  Datasets are written together in blocks.  One that cannot be planned is
+    left out; when a block fails at run time its halves are written instead, down to the
+    datasets at fault.  Results of different datasets are in different
+    directories, so a second write of one replaces only its own.
+    """
+    total: dict[str, int] = {}
+    failed: list[str] = []
+
+    def attempt(planned: list[tuple[str, DataFrame]]) -> None:
+        if not planned:
+            return
+        try:
+            for k, v in write(reconcile_slices([f for _, f in planned], spec, strategy, **options)).items():
+                total[k] = total.get(k, 0) + v
+        except Exception as exc:
+            if len(planned) == 1:
+                log.error("dataset %s failed: %s", planned[0][0], exc)
+                failed.append(planned[0][0])
+                return
+            half = len(planned) // 2
+            attempt(planned[:half])
+            attempt(planned[half:])
+
+    for paths in requested_paths(valid, per_job):
+        planned = []
+        for path in paths:
+            try:
+                planned.append((path, slice_entries(spark, path, wanted_slices(valid, path, spec), root, schema,
+                                                    dataset, spec, mappings)))
+            except Exception as exc:
+                log.error("dataset %s cannot be read: %s", path, exc)
+                failed.append(path)
+        attempt(planned)
+    return total, failed

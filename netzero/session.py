@@ -30,6 +30,8 @@ CLUSTER_SQL_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
 }
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+SPLIT_BYTES = 256 * 1024 * 1024
+MIN_BLOCK_BYTES = 16 * 1024
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
@@ -37,9 +39,13 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITIO
 
     AQE can merge small partitions but only splits skewed ones, so the
     initial count must be large enough that an average partition fits a task
-    comfortably (no spill): about one per ``target_bytes`` of input.
+    comfortably (no spill): about one per ``target_bytes`` of input.  Every map
+    task writes a block for every partition, so the count is also kept where an
+    average block has ``MIN_BLOCK_BYTES`` (a map task reads ``SPLIT_BYTES``):
+    beyond about 2 TiB partitions get larger and spill, instead of the blocks
+    getting too small to serve.
     """
-    return max(200, -(-input_bytes // target_bytes))
+    return max(200, min(-(-input_bytes // target_bytes), SPLIT_BYTES // MIN_BLOCK_BYTES))
 
 
 def tune(spark: SparkSession, shuffle_partitions: int | None = None,
@@ -64,8 +70,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("NETZERO_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.driver.memory", os.environ.get("NETZERO_DRIVER_MEMORY", "8g"))
     )
     for k, v in {**RECOMMENDED_SQL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)

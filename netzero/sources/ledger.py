@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import KEY_SEPARATOR, all_present
 from ..spec import ReconSpec
 from .paths import resolve_path
 
@@ -24,9 +25,11 @@ LEDGER_SCHEMA = T.StructType([
 # A dataset reference starting with this names a catalog table instead of a path.
 TABLE_PREFIX = "table:"
 
-# Above this many requested slices the key set is not inlined into the scan
-# predicate; a semi-join against the request table is used instead.
+# Up to this many requested slices the scan predicate lists the key pairs as
+# structs; larger sets are listed as joined keys (one literal each, looked up by
+# hash), in predicates of at most BLOCK_SLICES that share one file listing.
 MAX_INLINE_SLICES = 1000
+BLOCK_SLICES = 50_000
 
 
 def _with_string_partitions(schema: T.StructType, partition_keys: Sequence[str]) -> T.StructType:
@@ -76,6 +79,9 @@ def slice_predicate(slices: Sequence[tuple[str, str]], spec: ReconSpec = ReconSp
     c, a = spec.partition_keys
     if not slices:
         return F.lit(False)
+    if len(slices) > MAX_INLINE_SLICES:
+        joined = F.concat(F.col(c), F.lit(KEY_SEPARATOR), F.col(a))
+        return joined.isin([f"{x}{KEY_SEPARATOR}{y}" for x, y in slices])
     return F.struct(F.col(c), F.col(a)).isin([F.struct(F.lit(x), F.lit(y)) for x, y in slices])
 
 
@@ -86,21 +92,23 @@ def read_slices(
     schema: T.StructType | str | None = None,
     spec: ReconSpec = ReconSpec(),
     root: str | None = None,
-    max_inline: int = MAX_INLINE_SLICES,
+    block: int = BLOCK_SLICES,
 ) -> DataFrame:
     """Scan only the requested (company, account) slices of a ledger.
 
     ``requested`` is a list of pairs or a DataFrame with the two partition
-    key columns.  Up to ``max_inline`` distinct pairs are pulled to the driver
-    (bounded by the check) and become a partition-pruning predicate; a larger
-    request set is applied as a left-semi join, which Spark plans by size.
-    Keys are compared on their raw values, as stored in the directory names.
+    key columns.  The distinct pairs become partition-pruning predicates of at
+    most ``block`` pairs each over one relation (one listing), so no request set,
+    however large, scans a slice that was not asked for.  The driver holds the
+    distinct pairs, as it holds the file listing of their directories.  Keys
+    are compared on their raw values, as stored in the directory names.
     """
     ledger = read_ledger(spark, path, schema, spec, root)
-    if not isinstance(requested, DataFrame):
-        return ledger.where(slice_predicate(list(dict.fromkeys(requested)), spec))
-    keys = requested.select(*spec.partition_keys).distinct()
-    head = keys.take(max_inline + 1)
-    if len(head) <= max_inline:
-        return ledger.where(slice_predicate([(r[0], r[1]) for r in head], spec))
-    return ledger.join(keys, spec.partition_keys, "left_semi")
+    if isinstance(requested, DataFrame):
+        keys = requested.select(*spec.partition_keys).where(all_present(spec.partition_keys)).distinct()
+        requested = sorted((r[0], r[1]) for r in keys.toLocalIterator())
+    pairs = list(dict.fromkeys(requested))
+    out = ledger.where(slice_predicate(pairs[:block], spec))
+    for at in range(block, len(pairs), block):
+        out = out.union(ledger.where(slice_predicate(pairs[at:at + block], spec)))
+    return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,7 +44,4 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New, unused folder under the shared root for one run of one job."""
     root = shared_root(spark)
-    path = f"{root.rstrip('/')}/netzero/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path and not path.startswith("file:"):
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+    return f"{root.rstrip('/')}/netzero/{name}-{uuid.uuid4().hex[:12]}"

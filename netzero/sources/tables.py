@@ -24,6 +24,10 @@ NO_PATH_EVERY = 83
 # Text ledger: amounts of orders whose key is divisible by this are exported
 # with a decimal comma ("1234,56"), which does not type as a number.
 COMMA_DECIMAL_EVERY = 101
+# Credits of these orders carry another raw spelling of the company; entries of
+# these orders have a blank account (in the variants of the ledger named after them).
+SPELLED_EVERY = 5
+BLANK_ACCOUNT_EVERY = 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,14 +107,32 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def requests_from_tables(spark: SparkSession, sf_dir: str, source_path: str = "ledger") -> DataFrame:
+def spelled_ledger_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with two raw spellings of each company: credits of every
+    ``SPELLED_EVERY``-th order are stored under the upper-case name."""
+    led = _ledger(spark, sf_dir)
+    other = (F.col("o_orderkey") % SPELLED_EVERY == 0) & (F.col("valor_net") < 0)
+    return led.withColumn("empresa", F.when(other, F.upper(F.trim("empresa"))).otherwise(F.col("empresa"))).drop("o_orderkey")
+
+
+def blank_account_ledger_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with a blank account on every ``BLANK_ACCOUNT_EVERY``-th order."""
+    led = _ledger(spark, sf_dir)
+    blank = F.col("o_orderkey") % BLANK_ACCOUNT_EVERY == 0
+    return led.withColumn("conta_contabil", F.when(blank, F.lit("  ")).otherwise(F.col("conta_contabil"))).drop("o_orderkey")
+
+
+def requests_from_tables(spark: SparkSession, sf_dir: str, source_path: str = "ledger",
+                         spelled: bool = False) -> DataFrame:
     """One reconciliation request message per order (``body`` string column).
 
     The message names the ledger slice of the order (raw company and account
     values, as stored) and ``source_path``.  Slices are requested many times
     over, as an at-least-once queue redelivers them.  Some bodies are broken
     on purpose (see the ``*_EVERY`` rules) so that dead-lettering has work.
-    Null fields are left out of the JSON text.
+    Broken bodies come in five shapes: no JSON at all, text after the object, a
+    second object, single quotes, a cut end.  With ``spelled`` the company is
+    written in upper case without blanks.  Null fields are left out of the JSON text.
     """
     # Hash-partitioned on the customer key: the exchange a shuffle join with
     # customers needs at scale anyway (so no extra shuffle there), and small
@@ -119,14 +141,21 @@ def requests_from_tables(spark: SparkSession, sf_dir: str, source_path: str = "l
               .repartition("o_custkey"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     k = F.col("o_orderkey")
+    company = F.upper("c_mktsegment") if spelled else F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" "))
     data = F.struct(
-        F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")).alias("empresa"),
+        company.alias("empresa"),
         F.when(k % NO_ACCOUNT_EVERY != 0, F.col("o_orderpriority")).alias("conta_contabil"),
         F.when(k % NO_PATH_EVERY != 0, F.lit(source_path)).alias("data_source_path"),
     )
     msg = F.to_json(F.struct(
         F.concat(F.lit("o"), k.cast("string")).alias("partition_id"), data.alias("data")))
-    body = F.when(k % BAD_JSON_EVERY == 0, F.concat(F.lit("not json o"), k.cast("string"))).otherwise(msg)
+    shape = F.floor(k / BAD_JSON_EVERY) % 5
+    broken = (F.when(shape == 0, F.concat(F.lit("not json o"), k.cast("string")))
+              .when(shape == 1, F.concat(msg, F.lit(" trailing")))
+              .when(shape == 2, F.concat(msg, msg))
+              .when(shape == 3, F.translate(msg, '"', "'"))
+              .otherwise(msg.substr(F.lit(1), F.length(msg) - 3)))
+    body = F.when(k % BAD_JSON_EVERY == 0, broken).otherwise(msg)
     return (
         orders.join(cust, orders.o_custkey == cust.c_custkey)
         .select(k.alias("seq"), body.alias("body"))

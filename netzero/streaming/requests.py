@@ -1,112 +1,64 @@
 """Structured Streaming consumer of reconciliation requests.
 
-Source: text files, one JSON request per line (Kafka in production: swap the
-``readStream`` format, the rest is unchanged).  Each micro-batch:
+Source: text files, one JSON request per line, or Kafka (``source_format``).
+Each micro-batch:
 
 1. parses the bodies; malformed or incomplete requests go to the dead-letter
    sink with their reason;
-2. groups the valid requests by dataset path; for each path it reads only the
-   requested slices and reconciles them; all results are written in one job
-   with dynamic partition overwrite;
-3. a path that cannot be read or written dead-letters its own requests
-   (reason ``source_error``) and does not fail the batch.
+2. reads only the requested slices and reconciles each on its own; results are
+   written in blocks of datasets with dynamic partition overwrite, under
+   directories of dataset path and raw slice, so the result of a slice does not
+   depend on the batch it came in;
+3. a dataset that cannot be read or written dead-letters its own requests
+   (reason ``source_error``) and no others.
 
 Delivery is at-least-once (the checkpoint commits a batch after
-``foreachBatch`` returns).  Replays are harmless: result partitions are
-overwritten with the same rows, and dead letters are written under
-``batch_id=N`` with overwrite, so a replayed batch replaces its own letters.
+``foreachBatch`` returns).  Replays are harmless: a slice's directory is
+overwritten with the same rows, and the dead letters of a batch are one folder
+``batch_id=N``, replaced as a whole, also by none.
 Back-pressure is ``maxFilesPerTrigger`` (``maxOffsetsPerTrigger`` on Kafka).
 """
 
 from __future__ import annotations
 
-import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import parse_requests, rejected_requests, valid_requests
-from ..plans.sink import write_result
-from ..plans.worker import reconcile_path, request_targets
-from ..spec import DEFAULT_DATASET, DEFAULT_OUTPUT, ROWS_PER_FILE, DatasetMapping, ReconSpec
+from ..operators import parse_requests
+from ..plans.jobs import REASON_SOURCE_ERROR, letters_of, process_requests
+from ..spec import ReconSpec
 
-log = logging.getLogger("netzero")
+__all__ = ["REASON_SOURCE_ERROR", "process_batch", "request_source", "start_request_stream"]
 
-# Fixed value: reason for requests whose dataset could not be processed.
-REASON_SOURCE_ERROR = "source_error"
-
-DEAD_LETTER_COLUMNS = ("partition_id", "reject_reason", "body")
-
-
-def _write_dead_letters(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.select(*DEAD_LETTER_COLUMNS).withColumn("batch_id", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+# Offsets of a Kafka micro-batch unless the caller says otherwise.
+KAFKA_OFFSETS_PER_TRIGGER = 1000
 
 
 def process_batch(batch: DataFrame, batch_id: int, *, output_path: str, dead_letter_path: str,
-                  root: str | None = None, schema: T.StructType | str | None = None,
-                  dataset: str = DEFAULT_DATASET, output_schema: str = DEFAULT_OUTPUT,
-                  partition_by: Sequence[str] | None = None,
-                  rows_per_file: int = ROWS_PER_FILE, spec: ReconSpec = ReconSpec(),
-                  strategy: str = "join",
-                  mappings: Mapping[str, DatasetMapping] | None = None) -> None:
-    """Handle one micro-batch of request bodies (column ``body``).
-
-    Every requested dataset is planned first (a missing dataset fails here),
-    then all results are written in one job — so datasets sharing output
-    partitions add up instead of overwriting each other.  If that job fails,
-    each dataset is run once (``noop``) to find the failing ones, and the
-    others are written together.
-    """
-    spark = batch.sparkSession
+                  spec: ReconSpec = ReconSpec(), **options) -> None:
+    """Handle one micro-batch of request bodies (column ``body``).  ``options``
+    are those of ``process_requests``."""
     parsed = parse_requests(batch, spec=spec).persist()
     try:
-        valid = valid_requests(parsed)
-        planned, failed = [], []
-        for path, mine in request_targets(valid, spec):
-            try:
-                planned.append((path, reconcile_path(spark, path, mine, root, schema, dataset,
-                                                     spec, strategy, mappings)))
-            except Exception as exc:  # one bad dataset must not fail the others
-                log.error("batch %s: dataset %s cannot be read: %s", batch_id, path, exc)
-                failed.append(path)
-
-        def write(df: DataFrame) -> None:
-            write_result(df, output_path, output_schema, partition_by, rows_per_file, spec=spec)
-
-        if planned:
-            try:
-                write(_union([r for _, r in planned]))
-            except Exception as exc:
-                # find the datasets that fail when run, write the others together
-                log.error("batch %s: combined write failed (%s); probing datasets", batch_id, exc)
-                good = []
-                for path, result in planned:
-                    try:
-                        result.write.format("noop").mode("overwrite").save()
-                        good.append(result)
-                    except Exception as exc2:
-                        log.error("batch %s: dataset %s failed: %s", batch_id, path, exc2)
-                        failed.append(path)
-                if good:
-                    write(_union(good))
-        letters = [rejected_requests(parsed)] + [
-            valid.where(F.col("data_source_path") == path)
-            .withColumn("reject_reason", F.lit(REASON_SOURCE_ERROR)) for path in failed]
-        _write_dead_letters(_union(letters), dead_letter_path, batch_id)
+        _, failed = process_requests(batch.sparkSession, parsed, output_path, spec=spec, **options)
+        letters_of(parsed, failed).write.mode("overwrite").parquet(
+            f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}")
     finally:
         parsed.unpersist()
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def reader_options(source_format: str, source_options: Mapping[str, str] | None = None,
+                   max_per_trigger: int | None = None) -> dict[str, str]:
+    """Options of the streaming reader, with the back-pressure default of the format."""
+    opts = dict(source_options or {})
+    if source_format == "kafka":
+        opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger or KAFKA_OFFSETS_PER_TRIGGER))
+    else:
+        opts.setdefault("maxFilesPerTrigger", str(max_per_trigger or 1))
+    return opts
 
 
 def request_source(spark: SparkSession, source: str | None = None, *, source_format: str = "text",
@@ -121,12 +73,10 @@ def request_source(spark: SparkSession, source: str | None = None, *, source_for
     ``KAFKA_OFFSETS_PER_TRIGGER``); ``source_options`` carries the broker and
     topic options.
     """
-    opts = dict(source_options or {})
+    opts = reader_options(source_format, source_options, max_per_trigger)
     if source_format == "kafka":
-        opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger or KAFKA_OFFSETS_PER_TRIGGER))
         raw = spark.readStream.format("kafka").options(**opts).load()
         return raw.select(F.col("value").cast("string").alias("body"))
-    opts.setdefault("maxFilesPerTrigger", str(max_per_trigger or 1))
     return (spark.readStream.format(source_format).options(**opts).load(source)
             .withColumnRenamed("value", "body"))
 
@@ -136,11 +86,13 @@ def start_request_stream(spark: SparkSession, source_dir: str | None, output_pat
                          max_files_per_trigger: int | None = None, available_now: bool = False,
                          processing_time: str | None = None, source_format: str = "text",
                          source_options: Mapping[str, str] | None = None,
+                         on_batch: Callable[[int], None] | None = None,
                          **batch_options) -> StreamingQuery:
     """Start the consumer; returns the running ``StreamingQuery``.
 
     ``checkpoint`` must be on storage shared by the cluster (it replaces the
     queue acknowledgement: a batch is committed only after it was written).
+    ``on_batch`` is called with the id of every batch after it was written.
     """
     requests = request_source(spark, source_dir, source_format=source_format,
                               source_options=source_options, max_per_trigger=max_files_per_trigger)
@@ -148,6 +100,8 @@ def start_request_stream(spark: SparkSession, source_dir: str | None, output_pat
     def handle(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, output_path=output_path,
                       dead_letter_path=dead_letter_path, **batch_options)
+        if on_batch is not None:
+            on_batch(batch_id)
 
     writer = requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:

@@ -11,7 +11,7 @@ import pytest
 from netzero.__main__ import main
 from netzero.operators import apply_contract, project
 from netzero.plans.catalog import RESULT_SCHEMA
-from netzero.plans.jobs import dead_letter_counts, reconcile_dataset, reconcile_request_log
+from netzero.plans.jobs import reconcile_dataset, reconcile_request_log
 from netzero.sources import ledger_from_tables, resolve_path
 from netzero.sources.store import s3a_settings
 from netzero.spec import DatasetMapping, dataset_mappings, load_json, output_contracts
@@ -83,7 +83,13 @@ def test_request_log_and_cli(spark, scratch, ledger_root):
     out, dlq = scratch("log-out"), scratch("log-dlq")
     m = reconcile_request_log(spark, inbox, out, dlq, root=ledger_root)
     assert m["rows"] > 0
-    assert {r.reject_reason: r.n for r in dead_letter_counts(spark, dlq).collect()} == {"invalid_json": 1}
+    assert [r.reject_reason for r in spark.read.parquet(dlq).collect()] == ["invalid_json"]
+    reconcile_request_log(spark, inbox, out, dlq, root=ledger_root)  # letters of the first run stay
+    assert spark.read.parquet(dlq).count() == 2
+    reconcile_request_log(spark, inbox, out, dlq, root=ledger_root, run_id="r")
+    reconcile_request_log(spark, inbox, out, dlq, root=ledger_root, run_id="r")  # a re-run replaces its own
+    assert spark.read.parquet(dlq).count() == 3
+    assert spark.read.schema(RESULT_SCHEMA).parquet(out).count() == m["rows"]
 
     from netzero.session import CLUSTER_SQL_CONF
 
@@ -104,7 +110,72 @@ def test_partition_sizing():
     from netzero.session import shuffle_partitions_for
 
     assert shuffle_partitions_for(10) == 200
-    assert shuffle_partitions_for(100 * 2**40) == 819200  # 100 TiB / 128 MiB
+    assert shuffle_partitions_for(2**40) == 8192  # 1 TiB / 128 MiB
+    for tib in (10, 100):  # blocks of 16 KiB at least: bounded by split size / block size
+        n = shuffle_partitions_for(tib * 2**40)
+        assert n == 16384 and n * (tib * 2**40 // 2**28) * 16 * 1024 <= tib * 2**40
+
+
+def test_configuration_from_files(spark, scratch, ledger_root, capsys, tmp_path):
+    """Mappings, contracts, codec and writing tasks reach a job through the command line."""
+    from netzero.session import CLUSTER_SQL_CONF
+
+    (tmp_path / "m.json").write_text(json.dumps({"lancamentos_cj": {
+        "columns": ["empresa", "conta_contabil", "transactionID", "valor_net"], "order_by": ["empresa"]}}))
+    (tmp_path / "c.json").write_text(json.dumps({"audit": {
+        "columns": ["transactionID", "valor_net", "empresa", "conta_contabil"], "types": {"valor_net": "decimal(20,4)"}}}))
+    out = scratch("cli-config")
+    saved = {k: spark.conf.get(k, None) for k in CLUSTER_SQL_CONF}
+    try:
+        assert main(["ledger", "--source", f"{ledger_root}/ledger", "--output", out, "--mappings", str(tmp_path / "m.json"),
+                     "--contracts", str(tmp_path / "c.json"), "--output-schema", "audit", "--compression", "zstd",
+                     "--num-partitions", "2", "--salt-column", "transactionID", "--strategy", "salted"]) == 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    back = spark.read.parquet(out)
+    assert back.columns[:4] == ["transactionID", "valor_net", "empresa", "conta_contabil"]
+    assert dict(back.dtypes)["valor_net"] == "decimal(20,4)" and back.count() == 6898
+    assert all(".zstd." in f for f in back.inputFiles())
+
+
+def test_reader_options_without_a_broker():
+    from netzero.streaming.requests import KAFKA_OFFSETS_PER_TRIGGER, reader_options
+
+    broker = {"kafka.bootstrap.servers": "b:9092", "subscribe": "requests"}
+    assert reader_options("kafka", broker) == {**broker, "maxOffsetsPerTrigger": str(KAFKA_OFFSETS_PER_TRIGGER)}
+    assert reader_options("kafka", broker, 7)["maxOffsetsPerTrigger"] == "7"
+    assert reader_options("kafka", {"maxOffsetsPerTrigger": "3"})["maxOffsetsPerTrigger"] == "3"
+    assert reader_options("text") == {"maxFilesPerTrigger": "1"}
+
+
+def test_one_bad_dataset_among_many(spark, scratch, ledger_root):
+    """65 datasets that do not exist and one that does: one result, 65 letters."""
+    inbox = scratch("many-inbox")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "r.json"), "w") as fh:
+        for path in [f"none/{i}" for i in range(65)] + ["ledger"]:
+            fh.write(json.dumps({"data": {"empresa": " building ", "conta_contabil": "1-URGENT",
+                                          "data_source_path": path}}) + "\n")
+    out, dlq = scratch("many-out"), scratch("many-dlq")
+    assert reconcile_request_log(spark, inbox, out, dlq, root=ledger_root)["rows"] > 0
+    assert [r.reject_reason for r in spark.read.parquet(dlq).collect()] == ["source_error"] * 65
+
+
+def test_other_column_case(spark, scratch):
+    """Columns in another case than the spec's go through the whole job (K17)."""
+    from netzero.operators import normalize, reconcile
+    from netzero.plans.sink import write_result
+
+    raw = spark.createDataFrame([("E", "C", "T", "1.00", "d"), ("E", "C", "t ", "-1.00", "d")],
+                                "EMPRESA string, Conta_Contabil string, TRANSACTIONID string, VALOR_NET string, data_contabil string")
+    out = reconcile(normalize(raw))
+    assert out.columns[:3] == ["empresa", "conta_contabil", "transactionID"] and len(out.columns) == len(set(map(str.lower, out.columns)))
+    path = scratch("case")
+    assert write_result(out, path)["reconciled_rows"] == 2
+    assert {r.empresa for r in spark.read.schema(RESULT_SCHEMA).parquet(path).collect()} == {"E"}
+    direct = reconcile(raw.withColumn("VALOR_NET", raw.VALOR_NET.cast("decimal(18,2)")))
+    assert "EMPRESA" not in direct.columns and "valor_net" in direct.columns
 
 
 def test_contract_schema(spark):

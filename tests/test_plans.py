@@ -36,9 +36,23 @@ def test_slice_filter_from_dataframe(spark, ledger_path):
     wanted = spark.createDataFrame([(" building ", "1-URGENT")] * 3, "empresa string, conta_contabil string")
     df = read_slices(spark, ledger_path, wanted)
     assert "PartitionFilters: [" in plan_of(df)
-    big = read_slices(spark, ledger_path, wanted, max_inline=0)  # over the cap: semi-join
-    assert "LeftSemi" in plan_of(big)
-    assert df.count() == big.count() > 0
+    assert df.count() > 0
+
+
+@pytest.mark.parametrize("n", [1_001, 5_000])
+def test_many_slices_prune_like_few(spark, ledger_path, n):
+    """Far more requested slices than a struct list holds: still a partition
+    filter, the same columns, and only the requested directories are read."""
+    real = [(" building ", "1-URGENT"), (" machinery ", "5-LOW")]
+    absent = [(" building ", f"absent {i}") for i in range(n - 2)]
+    few, many = read_slices(spark, ledger_path, real), read_slices(spark, ledger_path, absent + real)
+    plan = plan_of(many)
+    assert "absent" in plan.split("PartitionFilters: [")[1] and "Join" not in plan
+    assert many.columns == few.columns and sorted(many.collect(), key=str) == sorted(few.collect(), key=str)
+    read = {r[0] for r in many.select("_metadata.file_path").distinct().collect()}
+    assert read == {r[0] for r in few.select("_metadata.file_path").distinct().collect()}
+    blocks = read_slices(spark, ledger_path, absent + real, block=500)
+    assert "LeftSemi" not in plan_of(blocks) and blocks.count() == few.count()
 
 
 def test_reconcile_projection_pruned(spark, ledger_path):

@@ -27,6 +27,13 @@ CASES = [
     ("[1, 2]", "invalid_json"),
     ("", "invalid_json"),
     (json.dumps({"data": 5}), "missing_empresa"),
+    (body(empresa="a", conta_contabil="b", data_source_path="c") + " trailing", "invalid_json"),
+    (body(empresa="a", conta_contabil="b", data_source_path="c") * 2, "invalid_json"),
+    (body(empresa="a", conta_contabil="b", data_source_path="c") + "{", "invalid_json"),
+    (body(empresa="a", conta_contabil="b", data_source_path="c").replace('"', "'"), "invalid_json"),
+    (body(empresa="a", conta_contabil="b", data_source_path="c")[:-2], "invalid_json"),
+    (body(empresa="a", conta_contabil="b", data_source_path="c") + ', "x"', "invalid_json"),
+    ("  " + body(empresa="a", conta_contabil="b", data_source_path="c") + "\n", None),
 ]
 
 
@@ -95,6 +102,11 @@ message = st.fixed_dictionaries({}, optional={"partition_id": st.sampled_from(["
 garbage = st.sampled_from(["", "not json", "[1, 2]", "1", "null", '"s"', "{", "{}"])
 
 
+broken = st.builds(lambda m, f: f(_dump(m)), message, st.sampled_from([
+    lambda b: b + " trailing", lambda b: b + b, lambda b: b + "{", lambda b: b[:-1], lambda b: b + ",1",
+    lambda b: "[" + b + "]", lambda b: " " + b + " "]))
+
+
 def _dump(obj):
     if isinstance(obj, dict):
         return json.dumps({k: _dump_v(v) for k, v in obj.items() if v is not _MISSING})
@@ -124,7 +136,7 @@ def model(text):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.one_of(message.map(_dump), garbage), min_size=1, max_size=40))
+@given(st.lists(st.one_of(message.map(_dump), garbage, broken), min_size=1, max_size=40))
 def test_parse_matches_json_module(spark, bodies):
     df = spark.createDataFrame([(b,) for b in bodies], "body string")
     got = [r.reject_reason for r in parse_requests(df).collect()]
@@ -149,3 +161,24 @@ def test_absent_slice_and_two_datasets(spark, ledger_root):
     assert out.count() == 2 * one.count() > 0
     assert out.where("reconciliation_status = 'CONCILIADO'").count() == \
         2 * one.where("reconciliation_status = 'CONCILIADO'").count()
+
+
+def test_result_does_not_depend_on_the_other_requests(spark, scratch):
+    """Two raw spellings of a company are two slices: the same rows and ids
+    whether they are handled together or one by one."""
+    root = scratch("spell")
+    raw = spark.createDataFrame([("acme", "1", "T", "10.00"), (" ACME ", "1", "T", "-10.00"), ("acme", "1", "U", "0.00")],
+                                "empresa string, conta_contabil string, transactionID string, valor_net string")
+    for name in ("x", "y"):
+        raw.write.partitionBy("empresa", "conta_contabil").parquet(f"{root}/{name}")
+    bodies = [body(empresa=e, conta_contabil="1", data_source_path=p) for e in ("acme", " ACME ") for p in ("x", "y")]
+
+    def rows(bs):
+        req = spark.createDataFrame([(b,) for b in bs], "body string")
+        return [tuple(r) for r in reconcile_requested(spark, req, root=root, keep_origin=True).collect()]
+
+    together = sorted(map(str, rows(bodies)))
+    assert together == sorted(str(r) for b in bodies for r in rows([b]))
+    assert sum("CONCILIADO" in r for r in together) == 2  # only the lone zero, once for each dataset
+    ids = [r[-1] for b in bodies for r in rows([b]) if r[-1]]
+    assert len(set(ids)) == 2

@@ -50,7 +50,7 @@ def test_second_write_keeps_other_partitions(spark, scratch, result):
 
 def test_file_sizing_matches_plan(spark, scratch, result):
     out = scratch("files")
-    write_result(result, out, rows_per_file=100)
+    write_result(result, out, rows_per_file=100, copy_partition_columns=False)
     plan = {(r.empresa, r.conta_contabil): r.n_files for r in file_plan(result, ["empresa", "conta_contabil"], 100).collect()}
     for (e, c), n in plan.items():
         written = files_under(os.path.join(out, f"empresa={e}", f"conta_contabil={c}"))
@@ -74,6 +74,30 @@ def test_copy_partition_columns(spark, scratch, result):
     assert {"empresa", "conta_contabil", "empresa_part", "conta_contabil_part"} <= set(back.columns)
 
 
+def test_blank_keys_survive(spark, scratch):
+    raw = spark.createDataFrame([("  ", "C", "T", "1.00"), ("  ", "C", "T", "-1.00"), (None, "C", "T", "2.00")],
+                                "empresa string, conta_contabil string, transactionID string, valor_net string")
+    out = scratch("blank")
+    write_result(reconcile(normalize(raw)), out)
+    back = spark.read.schema(RESULT_SCHEMA).parquet(out).collect()
+    assert sorted((str(r.empresa), r.reconciliation_status) for r in back) == \
+        [("", "CONCILIADO"), ("", "CONCILIADO"), ("None", "PENDENTE")]
+
+
+def test_empty_write_keeps_an_unpartitioned_result(spark, scratch, result):
+    out = scratch("empty")
+    write_result(result, out, partition_by=())
+    m = write_result(result.where("empresa = 'nobody'"), out, partition_by=())
+    assert m == {"rows": 0, "reconciled_rows": 0, "pending_rows": 0}
+    assert spark.read.schema(RESULT_SCHEMA).parquet(out).count() == result.count()
+
+
+def test_coalesce_shrinks_without_a_shuffle(spark, scratch, result):
+    out = scratch("coalesce")
+    write_result(result.repartition(6), out, coalesce=2, partition_by=())
+    assert len(files_under(out)) == 2
+
+
 def test_explicit_partition_count(spark, scratch, result):
     out = scratch("count")
     write_result(result, out, num_partitions=2, partition_by=())
@@ -108,7 +132,7 @@ def test_hot_slice_written_by_several_tasks(spark, scratch):
             F.lit("PENDENTE").alias("reconciliation_status"), F.lit(None).cast("string").alias("conciliation_id"))
         out = scratch("hot-sink")
         assert write_result(df, out)["rows"] == n
-        hot_files = files_under(os.path.join(out, "empresa=HOT"))
+        hot_files = files_under(os.path.join(out, "empresa_part=HOT"))
         assert len(hot_files) > 1
         assert spark.read.schema(RESULT_SCHEMA).parquet(out).count() == n
     finally:
@@ -146,7 +170,7 @@ def test_write_to_catalog_table(spark, scratch, result):
         write_result(a, f"table:{name}")  # replay
         back = spark.table(name)
         assert back.count() == result.count()
-        assert set(back.columns) == set(RESULT_SCHEMA.fieldNames())
+        assert set(back.columns) == {*RESULT_SCHEMA.fieldNames(), "empresa_part", "conta_contabil_part"}
         parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
         assert len(parts) == 25
     finally:
