@@ -8,6 +8,8 @@ the cluster's shared checkpoint dir and return a DataFrame reading them back.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,8 +58,12 @@ _SOURCES: dict[tuple, str] = {}
 
 
 def _table_files(spark: SparkSession, sf_dir: str) -> tuple:
-    """Path, size and time of the files of the tables behind the ledger."""
-    files = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer")])
+    """Path, size and time of the files of the tables behind the ledger: from the
+    file system where it is the local one, else by a listing in Spark."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer")]
+    if "://" not in sf_dir and all(os.path.isfile(p) for p in paths):
+        return tuple((p, os.path.getsize(p), os.path.getmtime(p)) for p in map(os.path.abspath, paths))
+    files = spark.read.format("binaryFile").load(paths)
     return tuple(sorted(map(tuple, files.select("path", "length", F.col("modificationTime").cast("string")).collect())))
 
 
