@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 
 from .plans.jobs import reconcile_dataset, reconcile_request_log
 from .session import shuffle_partitions_for, tune
+from .sources.store import s3a_settings
 from .spec import DEFAULT_OUTPUT, ROWS_PER_FILE, dataset_mappings, output_contracts
 from .streaming import start_request_stream
 
@@ -38,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--num-partitions", type=int, default=None, help="exact number of writing tasks")
         p.add_argument("--coalesce", type=int, default=None, help="most writing tasks, without a shuffle")
         p.add_argument("--salt-column", action="append", default=None, help="entry id columns (repeatable)")
+        p.add_argument("--s3-endpoint", default=None, help="S3-compatible object store")
         p.add_argument("--input-bytes", type=int, default=None,
                        help="ledger size; sizes the initial shuffle partition count")
         if name == "ledger":
@@ -61,7 +63,10 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     parts = shuffle_partitions_for(args.input_bytes) if args.input_bytes else None
-    spark = tune(SparkSession.builder.appName(f"netzero-{args.mode}").getOrCreate(),
+    builder = SparkSession.builder.appName(f"netzero-{args.mode}")
+    if args.s3_endpoint:
+        builder = builder.config(map=s3a_settings(args.s3_endpoint))
+    spark = tune(builder.getOrCreate(),
                  shuffle_partitions=parts, cluster=True)
     common = {
         "rows_per_file": args.rows_per_file, "strategy": args.strategy, "schema": args.schema,

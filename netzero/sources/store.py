@@ -7,14 +7,17 @@ use the cluster's credential provider chain.
 
 from __future__ import annotations
 
-# Multipart upload size and Parquet codec used for results.
+# Multipart upload size, connection timeout, attempts, and the
+# Parquet codec used for results.
 MULTIPART_BYTES = 128 * 1024 * 1024
+CONNECTION_TIMEOUT_MS = 60_000
+MAX_ATTEMPTS = 10
 DEFAULT_CODEC = "snappy"
 
 
 def s3a_settings(endpoint: str | None = None, path_style: bool = True, ssl: bool = True,
-                 multipart_bytes: int = MULTIPART_BYTES, connection_timeout_ms: int = 60_000,
-                 max_attempts: int = 10) -> dict[str, str]:
+                 multipart_bytes: int = MULTIPART_BYTES, connection_timeout_ms: int = CONNECTION_TIMEOUT_MS,
+                 max_attempts: int = MAX_ATTEMPTS) -> dict[str, str]:
     """Spark confs for an S3-compatible endpoint (``spark.hadoop.fs.s3a.*``)."""
     conf = {
         "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",

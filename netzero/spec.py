@@ -21,12 +21,6 @@ DEFAULT_DATASETS: dict[str, dict[str, list[str]]] = {
         "columns": ["empresa", "valor_net", "data_contabil", "conta_contabil", "transactionID"],
         "order_by": ["empresa", "conta_contabil", "data_contabil"],
     },
-    "clientes": {
-        "columns": ["cliente_id", "nome", "idade", "sexo"],
-    },
-    "pagamentos": {
-        "columns": ["pagamento_id", "id_lancamento", "valor_pago", "data_pagamento"],
-    },
 }
 # Output contract (columns, types, sort order per schema name).
 DEFAULT_OUTPUTS: dict[str, dict[str, Any]] = {
