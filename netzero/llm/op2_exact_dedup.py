@@ -88,10 +88,11 @@ def _bitmaps(hashes: DataFrame, max_bits: int) -> tuple[DataFrame, int]:
 
 
 def _groups(maybe: DataFrame) -> DataFrame:
-    """(hash, first row by id with nulls last, rows): partial sums on the map side."""
+    """(hash, first row by id with nulls last, rows): partial sums on the map side.
+    Written, so that a join with it has two plain shuffle sides and a hot hash can be split."""
     first = F.min(F.struct(F.col("_nz_id").isNull().alias("none"), F.col("_nz_id").alias("id"),
                            F.col("_nz_row").alias("row")))
-    return maybe.groupBy("_nz_sha").agg(first.alias("_nz_first"), F.count(F.lit(1)).alias("_nz_n"))
+    return stored(maybe.groupBy("_nz_sha").agg(first.alias("_nz_first"), F.count(F.lit(1)).alias("_nz_n")), "exact-groups")
 
 
 def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
