@@ -306,7 +306,8 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, li
                     max_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """(k1, k2, first, last): ranges of repeated window starts of the texts (k1, k2, text)."""
     every = stored(segment_table(texts, length, gram), "suffix-segments")
-    again = every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # written, so that the join has two plain shuffle sides and a hot anchor can be split
+    again = stored(every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "suffix-again")
     some = stored(every.join(again, "h"), "suffix-repeated")
     place = F.struct("k1", "k2", "first", "last", "off")
     contents = stored(some.groupBy("h", "d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("p")), "suffix-contents")
