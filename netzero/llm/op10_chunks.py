@@ -122,7 +122,9 @@ def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """(doc_id, d1, d2, owner): the chunks of every document that occur more
     than once, with the document that owns them."""
     each = stored(chunk_table(docs, text, doc_id), "chunks")
-    again = each.groupBy("d1", "d2").agg(F.sum("n").alias("n"), F.min("doc_id").alias("owner")).where("n > 1").drop("n")
+    # written, so that the join has two plain shuffle sides and a hot chunk can be split
+    again = stored(each.groupBy("d1", "d2").agg(F.sum("n").alias("n"), F.min("doc_id").alias("owner"))
+                   .where("n > 1").drop("n"), "chunks-again")
     return each.drop("n").join(again, ["d1", "d2"])
 
 
