@@ -164,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
                       key=lambda r: (r[0], r[1].tobytes()))
         pos, unl = [(x, v) for p, x, v in rows if p], [(x, v) for p, x, v in rows if not p]
         if not pos or not unl:
-            return pd.DataFrame({"shard": [], "ids": [], "weights": [], "bias": []})
+            return pd.DataFrame(columns=["shard", "ids", "weights", "bias"], dtype=object)
         chosen, w, b = train(pos, unl, prior)
         return pd.DataFrame({"shard": [f["shard"].iloc[0]], "ids": [chosen], "weights": [w], "bias": [b]})
 
