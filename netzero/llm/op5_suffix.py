@@ -57,7 +57,7 @@ GRAM = 200
 SHALLOW = 3
 #: Different contents of one anchor gathered in a task.
 LIMIT = 20_000
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 MAX_FILTER_BITS = 1 << 30
 
 _POS_BITS = 32
