@@ -10,9 +10,12 @@ class (``entropy_hex``, ``entropy_base64``) that hold a digit and a letter.  A
 window slides over each; its character counts, and with them the sum of
 ``c * log2(c)``, change by one character out and one in, so a step costs the
 same whatever the window.  Windows whose Shannon entropy reaches the class's
-threshold are merged into spans.  A candidate that the allow list knows
-(identifiers, digests with a fixed layout, placeholders, joined words) gives no
-entropy span; base spans always stay.
+threshold are merged into spans.  A candidate that the allow list knows as a
+whole (identifiers, digests with a fixed layout, joined words) gives no entropy
+span.  A placeholder word takes out the windows near it only: those within
+``NEAR`` characters on the same side of an equals sign, or, where the word is
+one of the names joined before a value, those that touch it.  Base spans
+always stay.
 
 Offsets are code points, end exclusive.  Edge cases: null and empty texts have
 no spans; repeated rows and null ids are scanned like others; extra columns are
@@ -66,8 +69,10 @@ ALLOW = (
     re.compile(r"sha(1|224|256|384|512)-[A-Za-z0-9+/=]+"),  # subresource integrity
     re.compile(r"[A-Za-z]+([_/-][A-Za-z]+)*([_/-]?[0-9]{1,4})?"),  # words, paths, numbered names
     re.compile(r"[0-9_=+/-]+"),  # numbers, dates, rulers
-    re.compile(r"(?i).*(example|sample|placeholder|changeme|dummy|xxxx|0000000|1234567).*"),
 )
+#: Words of placeholders, and how far around them nothing is a secret; fillers keep one case, so that few random strings hold them.
+PLACEHOLDER = re.compile(r"(?i:example|sample|placeholder|changeme|dummy)|x{4,}|X{4,}|0{7,}|1234567")
+NEAR = 32
 
 _XLOGX = [0.0] + [c * math.log2(c) for c in range(1, 257)]
 
@@ -104,6 +109,21 @@ def allowed(candidate: str) -> bool:
     return any(p.fullmatch(candidate) for p in ALLOW)
 
 
+def beside_placeholders(s: str) -> list[tuple[int, int]]:
+    """The stretches of a candidate that no placeholder word takes out."""
+    out, pos = [], 0
+    for m in PLACEHOLDER.finditer(s):
+        a, b = m.span()
+        name = m[0][0].isalpha() and (a == 0 or s[a - 1] in "_=/-") and b + 1 < len(s) and s[b] in "_-"
+        if not name:
+            end = s.find("=", b)
+            a, b = max(a - NEAR, s.rfind("=", 0, a) + 1), min(b + NEAR, len(s) if end < 0 else end)
+        if a > pos:
+            out.append((pos, a))
+        pos = max(pos, b)
+    return [*out, (pos, len(s))]
+
+
 def _mixed(s: str) -> bool:
     return any(c.isdigit() for c in s) and any(c.isalpha() for c in s)
 
@@ -120,7 +140,8 @@ def scan(text: str | None, classes: tuple[EntropyClass, ...] = CLASSES) -> list[
     for k in classes:
         for m in k.candidates.finditer(t):
             if _mixed(m[0]) and not allowed(m[0]):
-                out += [(k.kind, m.start() + a, m.start() + b, h) for a, b, h in entropy_spans(m[0], k.window, k.bits)]
+                out += [(k.kind, m.start() + i + a, m.start() + i + b, h) for i, j in beside_placeholders(m[0])
+                        for a, b, h in entropy_spans(m[0][i:j], k.window, k.bits)]
     return sorted(out, key=lambda r: (r[1], KINDS.index(r[0]), r[2]))
 
 

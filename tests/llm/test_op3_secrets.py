@@ -55,6 +55,20 @@ def test_entropy_spans_and_allow_list():
     assert kinds("token=wJalrXUtnFEMI/EXAMPLE") == ["assign"]  # base spans stay
 
 
+def test_placeholder_words_hide_their_neighbourhood_only():
+    rnd = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWabcdefghijklmnopqrstuvw23456789+/"
+    key = "".join(rnd.choices(letters, k=40))
+    for t in (f"db_sample_key={key}", f"sample={key}", f"sk_example_{key}", f"{key}=xxxx", f"{key}={'x' * 8}"):
+        spans = [r for r in m.scan(t) if r[0] == "entropy_base64"]
+        assert {i for r in spans for i in range(r[1], r[2])} >= set(range(t.find(key), t.find(key) + 40)), t
+    run = "".join(rnd.choices(letters, k=3000))
+    long = run[:1500] + "xxxx" + run[1500:]
+    marks = {i for r in m.scan(long) if r[0] == "entropy_base64" for i in range(r[1], r[2])}
+    assert len(marks) > 2800 and not marks & set(range(1500 - m.NEAR, 1504 + m.NEAR))
+    assert m.scan("x" * 20 + "EXAMPLE1") == [] and m.scan("wJalrXUtnFEMI7MDENG_bPxRfiCYEXAMPLEKEY") == []
+
+
 def test_edge_cases(spark):
     got = m.find_secrets(edge_docs(spark))
     assert got.count() == len(edge_rows())
