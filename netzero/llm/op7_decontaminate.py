@@ -9,6 +9,14 @@ whole set falls into one band; shared q-grams are counted per band, bands that
 reach the bound are kept, and each is verified by a banded alignment.  The
 filter drops no stretch that the alignment would accept.
 
+An item of two passages (2 ``PASSAGE``) or more also counts as found where one of
+its passages is: stretches of ``PASSAGE`` characters, one every ``STRIDE``, each
+with a budget of its own, through the same bands and alignment.  So any
+``PASSAGE + STRIDE - 1`` characters of it are found, whatever stands before,
+between or after.  Passages of an item that touch or overlap are one find, with
+the most edits that one of them has; beside a find of the whole item they are
+not reported.
+
 Texts are compared lower-cased, every ASCII white-space character as a space;
 offsets are code points of the original text, end exclusive.
 
@@ -39,6 +47,9 @@ from .common import table
 Q = 10
 EDIT_RATE = 0.08
 MIN_ITEM = 20
+#: Length of the passages of long items, and the characters from one to the next.
+PASSAGE = 112
+STRIDE = 28
 #: Benchmark characters to a block, and document characters hashed at once.
 BLOCK_CHARS = 4_000_000
 SCAN_CHARS = 1 << 19
@@ -61,6 +72,14 @@ def budget(m: int, q: int = Q, rate: float = EDIT_RATE) -> int:
     return max(0, min(int(m * rate), (m - q) // q))
 
 
+def passages(text: str) -> list[str]:
+    """The overlapping passages of a long item, the last one at its end."""
+    if len(text) < 2 * PASSAGE:
+        return []
+    last = len(text) - PASSAGE
+    return [text[a:a + PASSAGE] for a in [*range(0, last, STRIDE), last]]
+
+
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -86,11 +105,15 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
 
 
 class Index:
-    """Q-grams of a block of items."""
+    """Q-grams of a block of items: of the whole items, then of their passages.
+    ``whole`` has the position of the item of each pattern."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, rate: float = EDIT_RATE):
         self.ids = [i for i, _ in items]
         self.texts = [normal(t) for _, t in items]
+        parts = [(i, p) for i, t in enumerate(self.texts) for p in passages(t)]
+        self.whole = [*range(len(items)), *[i for i, _ in parts]]
+        self.texts += [p for _, p in parts]
         self.codes = [_codes(t) for t in self.texts]
         self.q = q
         self.k = np.array([budget(len(t), q, rate) for t in self.texts], np.int64)
@@ -171,6 +194,17 @@ def _best(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
+def _merged(found: list[tuple[int, int, int]], whole: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Finds of passages joined where they touch, without those that overlap a find of the whole item."""
+    out: list[tuple[int, int, int]] = []
+    for a, b, e in sorted(found):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), max(e, out[-1][2]))
+        else:
+            out.append((a, b, e))
+    return [f for f in out if not any(f[0] < b and a < f[1] for a, b, _ in whole)]
+
+
 def _candidates(index: Index, pos: np.ndarray, gram: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(item, lowest, highest diagonal) of the bands that reach the bound, for
     the hits of one document."""
@@ -209,12 +243,19 @@ def scan(index: Index, texts: list[str]) -> list[list[dict]]:
             if cut[j + 1] - cut[j] < least:
                 continue
             found: dict[int, list] = {}
+            pieces: dict[int, list] = {}
             for item, low, high in _candidates(index, pos[cut[j]:cut[j + 1]] - starts[j], gram[cut[j]:cut[j + 1]]):
+                owner = index.whole[item]
+                if item >= len(index.ids) and any(a - index.k[item] <= low and high + len(index.texts[item]) <= b + index.k[item] + 1
+                                                  for a, b, _ in found.get(owner, ())):
+                    continue  # inside a find of the whole item
                 hit = verify(index.texts[item], norm[j], low, high, int(index.k[item]))
                 if hit:
-                    found.setdefault(item, []).append(hit)
-            out[i] = [{"item_id": index.ids[item], "start": a, "end": b, "edits": e}
-                      for item, hits in sorted(found.items()) for a, b, e in _best(hits)]
+                    (found if item < len(index.ids) else pieces).setdefault(owner, []).append(hit)
+            for item in sorted({*found, *pieces}):
+                whole = _best(found.get(item, []))
+                out[i] += [{"item_id": index.ids[item], "start": a, "end": b, "edits": e}
+                           for a, b, e in sorted(whole + _merged(pieces.get(item, []), whole))]
 
     for i, t in enumerate(texts):
         batch.append(i)
@@ -236,7 +277,9 @@ def benchmark_blocks(benchmark: DataFrame, text: str = "text", item_id: str = "i
     """The usable items, block by block; only one block is on the driver."""
     items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).where(
         F.length("t") >= MIN_ITEM)
-    total = items.agg(F.sum(F.length("t"))).first()[0] or 0
+    # passages have their grams in the index as well
+    grams = F.length("t") * F.when(F.length("t") < 2 * PASSAGE, 1).otherwise(1 + -(-PASSAGE // STRIDE))
+    total = items.agg(F.sum(grams)).first()[0] or 0
     blocks = -(-total // block_chars)
     for b in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)

@@ -65,6 +65,23 @@ def test_long_text_in_pieces(monkeypatch):
     assert m.scan(m.Index(items), [text]) == whole and len(whole[0]) == 3
 
 
+def test_parts_of_long_items(spark):
+    item = words(60, 7)
+    half, n = len(item) // 2, len(item)
+    around = lambda t: words(30, 8) + " " + t + " " + words(30, 9)
+    texts = {1: around(item[:300]), 2: around(item[:half] + " " + words(25, 10) + " " + item[half:]), 3: around(item[:150] + item[n - 150:]),
+             4: around(item[40:40 + m.PASSAGE + m.STRIDE - 1].upper()), 5: around(item), 6: around(item[:60]), 7: words(90, 11)}
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = m.contaminations(docs, bench).collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3, 4, 5}
+    assert [(r.end - r.start, r.edits) for r in rows if r.doc_id == 5] == [(n, 0)]
+    assert sum(r.doc_id == 2 for r in rows) == 2
+    for r in rows:
+        assert r.doc_id == 3 or m.normal(texts[r.doc_id])[r.start:r.end] in m.normal(item) or r.edits
+    assert {r.doc_id for r in m.drop_contaminated(docs, bench).collect()} == {6, 7}
+
+
 def test_edge_cases(spark):
     bench = spark.createDataFrame([(1, words(60, 2)), (2, None), (3, "short"), (None, words(60, 4)), (1, words(60, 2))],
                                   "item_id long, text string")
