@@ -1,10 +1,13 @@
 """Mixing sources to target weights by entropy balancing (DataFrame functions only).
 
 Every source gets a token target.  The document rates that meet all targets
-and stay closest in relative entropy to "each document once" are exponential
-tilts, ``rate = exp(lambda_source)``; the multipliers minimise the convex dual
-``sum(size * exp(lambda)) - sum(lambda * target)``.  They are found by
-distributed Newton iterations: each one is a Spark aggregation of gradient and
+and stay closest to "each document once" in relative entropy weighted by tokens,
+``sum(size * (rate * ln(rate) - rate + 1))``, are exponential tilts,
+``rate = exp(lambda_source)``; the multipliers minimise the convex dual
+``sum(size * exp(lambda)) - sum(lambda * target)``.  Its minimum has a closed
+form, ``lambda = ln(target / total)``: every source is scaled in proportion.
+(Without the weights the rates would be ``exp(lambda * size)``.)  The Newton
+iterations below come to that value: each one is a Spark aggregation of gradient and
 curvature per source over the cells (source, size, rows), which hold every
 document and shrink the data before anything is shuffled.
 

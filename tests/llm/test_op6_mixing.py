@@ -76,3 +76,11 @@ def test_edge_cases(spark):
     assert mixed.count() == sum(r.copies for r in m.mix(docs.withColumn("size", m.word_count()), "size").collect())
     assert m.mix(empty_docs(spark), "size").count() == 0
     assert m.mixed_documents(edge_docs(spark, [edge_rows()[4]])).count() in (0, 1)  # only an empty text
+
+
+def test_multipliers_are_the_closed_form(spark):
+    cells = spark.createDataFrame([("va", 10, 30), ("va", 3, 7), ("vb", 50, 9), ("n", 1, 400)], "_nz_s string, _nz_size long, _nz_n long")
+    targets = m.source_targets(cells)
+    for r in m.newton(cells, targets).collect():
+        assert math.isclose(r._nz_lambda, math.log(r._nz_target / r._nz_total), abs_tol=1e-9)
+    assert "ln(target / total)" in m.__doc__  # stated
