@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+
+from netzero.llm import op13_topk as m
+
+SCHEMA = "vec_id long, embedding array<double>, score long, rank int"
+
+
+def brute(rows, every=100, top=10):
+    kept = [(i, [math.floor(1024 * v) for v in e]) for i, e in rows if e is not None and all(v is not None and math.isfinite(v) for v in e)]
+    out = []
+    for a, (i, x) in enumerate(kept):
+        if i is None or i % every:
+            continue
+        found = sorted((-sum(p * q for p, q in zip(x, y)), j is None, j or 0) for b, (j, y) in enumerate(kept) if a != b)
+        out += [(i, r, None if none else j, -s) for r, (s, none, j) in enumerate(found[:top], 1)]
+    return sorted(out, key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, e, 5, 6) for i, e in rows], SCHEMA)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def some(n, dim, seed, spread=1.0):
+    rnd = np.random.default_rng(seed)
+    decay = 0.8 ** np.arange(dim)
+    return [(i, (decay * rnd.normal(size=dim) * rnd.lognormal(0, spread)).tolist()) for i in range(n)]
+
+
+def edge_rows():
+    rows = some(230, 6, 1)
+    one = rows[100][1]
+    rows += [(500, None), (600, [None, 1.0]), (700, [float("nan")] * 6), (800, [float("-inf")] * 6), (900, []), (1000, [1.0, 2.0]),
+             (None, one), (None, rows[0][1]), (100, one), (200, rows[3][1]), (-300, rows[5][1])]
+    return rows + [(2000 + i, one) for i in range(90)]  # one vector with a third of all rows
+
+
+def test_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(m, "CHUNK", 32)
+    monkeypatch.setattr(m, "HEADS", 40)
+    rows = edge_rows()
+    for block in (4096, 2):
+        assert got(m.top_products(frame(spark, rows), query_block=block)) == brute(rows)
+
+
+def test_few_and_no_candidates(spark):
+    rows = [(0, [1.0, 2.0]), (1, [0.0, -1.0]), (100, [0.5, 0.5])]
+    assert got(m.top_products(frame(spark, rows))) == brute(rows)
+    assert got(m.top_products(frame(spark, [(0, [1.0])]))) == []
+    assert got(m.top_products(frame(spark, [(1, [1.0])]))) == []
+    assert got(m.top_products(frame(spark, []))) == []
+
+
+def test_large_components_are_clipped(spark):
+    rows = [(i, [1e30] * 64) for i in (0, 1)] + [(2, [-1e30] * 64)]
+    assert [r[2] for r in got(m.top_products(frame(spark, rows)))] == [1, 2]
+
+
+def test_pruning_scores_few_pairs():
+    rows = sorted(some(3000, 32, 2, spread=0.5), key=lambda r: -np.linalg.norm(r[1]))
+    x = np.array([[math.floor(1024 * v) for v in e] for _, e in rows])
+    basis = np.linalg.eigh(x.T.astype(float) @ x)[1][:, ::-1]
+    ids = np.arange(0, 3000, 100)
+    s = m.Search(ids, x[ids], basis, 11)
+    for a in range(0, 3000, m.CHUNK // 8):
+        s.add(x[a:a + m.CHUNK // 8], np.arange(3000)[a:a + m.CHUNK // 8], np.zeros(len(x[a:a + m.CHUNK // 8]), bool))
+    assert s.scored < 0.2 * 30 * 3000
+    score = x[ids] @ x.T
+    for q in range(30):
+        best = np.lexsort((np.arange(3000), -score[q]))[:11]
+        assert s.best["vec_id"][s.best["query"] == q].tolist() == best.tolist()
