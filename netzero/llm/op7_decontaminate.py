@@ -17,17 +17,21 @@ between or after.  Passages of an item that touch or overlap are one find, with
 the most edits that one of them has; beside a find of the whole item they are
 not reported.
 
-Texts are compared lower-cased, every ASCII white-space character as a space;
-offsets are code points of the original text, end exclusive.
+Items shorter than ``MIN_ITEM`` characters are too short for a set of q-grams;
+they count as found where they stand verbatim between word borders (one
+automaton of all of them runs over the text).
+
+Texts are compared lower-cased, every run of ASCII white space as one space, items
+without white space at their ends, so a reflowed or re-indented copy costs no
+edits; offsets are code points of the original text, end exclusive.
 
 The items are the stated query set: they are shipped to the tasks in blocks of
 ``BLOCK_CHARS`` characters, and each block is run against all documents, so
 neither the broadcast nor the index grows with the benchmark.  Documents are
 never shuffled.
 
-Edge cases: null and empty texts hold nothing; items that are null or shorter
-than ``MIN_ITEM`` characters are no evidence and match nothing; repeated items
-are reported each; overlapping finds of one item are one find, the best;
+Edge cases: null and empty texts hold nothing; items that are null or only white
+space are no evidence and match nothing; repeated items are reported each; overlapping finds of one item are one find, the best;
 extra columns are kept by ``drop_contaminated``; an empty documents or
 benchmark table gives no finds.  Long texts are scanned in pieces that overlap by
 a gram, counted together.
@@ -35,14 +39,16 @@ a gram, counted together.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import WORD, table
 
 Q = 10
 EDIT_RATE = 0.08
@@ -57,7 +63,7 @@ _TABLE_BITS = 22
 _SEP = "\x00"
 
 
-def normal(text: str) -> str:
+def spaced(text: str) -> str:
     """Lower case without a change of length; white space as spaces."""
     low = text.lower()
     if len(low) != len(text):
@@ -67,6 +73,20 @@ def normal(text: str) -> str:
     return low
 
 
+def normal(text: str) -> str:
+    """``spaced`` with every run of spaces as one."""
+    low = spaced(text)
+    while "  " in low:
+        low = low.replace("  ", " ")
+    return low
+
+
+def places(text: str) -> np.ndarray:
+    """Offset in ``text`` of every character of ``normal(text)``."""
+    space = _codes(spaced(text)) == 32
+    return np.flatnonzero(~(space & np.concatenate(([False], space[:-1]))))
+
+
 def budget(m: int, q: int = Q, rate: float = EDIT_RATE) -> int:
     """Edits allowed in an item of m characters: such that at least one q-gram must be shared."""
     return max(0, min(int(m * rate), (m - q) // q))
@@ -104,13 +124,41 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
         size *= 2
 
 
+def short_items(items: list[tuple[int, str]]) -> ahocorasick.Automaton | None:
+    """Automaton of short items, to (length, ids) of each."""
+    if not items:
+        return None
+    ids: dict[str, list] = {}
+    for i, t in items:
+        ids.setdefault(t, []).append(i)
+    out = ahocorasick.Automaton()
+    for t, held in ids.items():
+        out.add_word(t, (len(t), held))
+    out.make_automaton()
+    return out
+
+
+def verbatim(short: ahocorasick.Automaton, text: str) -> Iterator[tuple[int, int, int]]:
+    """(item id, start, end) of the short items that stand between word borders."""
+    for last, (n, ids) in short.iter(text):
+        a, b = last + 1 - n, last + 1
+        cut = lambda i: 0 < i < len(text) and text[i - 1].isalnum() and text[i].isalnum()
+        if not cut(a) and not cut(b):
+            for i in ids:
+                yield i, a, b
+
+
 class Index:
     """Q-grams of a block of items: of the whole items, then of their passages.
-    ``whole`` has the position of the item of each pattern."""
+    ``whole`` has the position of the item of each pattern.  Short items are in
+    ``short``, an automaton to the ids of each."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, rate: float = EDIT_RATE):
+        items = [(i, normal(t).strip(" ")) for i, t in items]
+        self.short = short_items([(i, t) for i, t in items if 0 < len(t) < MIN_ITEM])
+        items = [(i, t) for i, t in items if len(t) >= MIN_ITEM]
         self.ids = [i for i, _ in items]
-        self.texts = [normal(t) for _, t in items]
+        self.texts = [t for _, t in items]
         parts = [(i, p) for i, t in enumerate(self.texts) for p in passages(t)]
         self.whole = [*range(len(items)), *[i for i, _ in parts]]
         self.texts += [p for _, p in parts]
@@ -225,14 +273,30 @@ def _candidates(index: Index, pos: np.ndarray, gram: np.ndarray) -> Iterator[tup
 def scan(index: Index, texts: list[str]) -> list[list[dict]]:
     """Finds of each text."""
     out: list[list[dict]] = [[] for _ in texts]
-    if not index.ids:
+    if not index.ids and not index.short:
         return out
-    least = int(index.bound.min())
+    least = int(index.bound.min()) if index.ids else 0
     batch: list[int] = []
     size = 0
 
+    def finds(i: int, text: str, found: dict[int, list]) -> None:
+        """Adds (start, end, edits) of items by their ids, offsets turned to those of the original text."""
+        if found:
+            to = None if len(text) == len(texts[i]) else places(texts[i])
+            at = (lambda a, b: (a, b)) if to is None else (lambda a, b: (int(to[a]), int(to[b - 1]) + 1 if b > a else int(to[a])))
+            for item in sorted(found, key=lambda x: (x is None, x)):
+                out[i] += [dict(zip(("item_id", "start", "end", "edits"), (item, *at(a, b), e))) for a, b, e in found[item]]
+
     def run() -> None:
         norm = [normal(texts[i]) for i in batch]
+        if index.short:
+            for i, t in zip(batch, norm):
+                short: dict[int, list] = {}
+                for item, a, b in verbatim(index.short, t):
+                    short.setdefault(item, []).append((a, b, 0))
+                finds(i, t, {item: _best(hits) for item, hits in short.items()})
+        if not index.ids:
+            return
         starts = np.cumsum([0] + [len(t) + 1 for t in norm])
         codes = _codes(_SEP.join(norm))
         parts = [index.shared(codes[a:a + SCAN_CHARS + index.q - 1]) for a in range(0, len(codes), SCAN_CHARS)]
@@ -254,8 +318,7 @@ def scan(index: Index, texts: list[str]) -> list[list[dict]]:
                     (found if item < len(index.ids) else pieces).setdefault(owner, []).append(hit)
             for item in sorted({*found, *pieces}):
                 whole = _best(found.get(item, []))
-                out[i] += [{"item_id": index.ids[item], "start": a, "end": b, "edits": e}
-                           for a, b, e in sorted(whole + _merged(pieces.get(item, []), whole))]
+                finds(i, norm[j], {index.ids[item]: sorted(whole + _merged(pieces.get(item, []), whole))})
 
     for i, t in enumerate(texts):
         batch.append(i)
@@ -269,14 +332,15 @@ def scan(index: Index, texts: list[str]) -> list[list[dict]]:
 
 
 FINDS = "array<struct<item_id:long,start:int,end:int,edits:int>>"
-_INDEX: dict[int, Index] = {}
+#: The index in use in a Python worker, by the name given to its block on the driver.
+_INDEX: dict[str, Index] = {}
 
 
 def benchmark_blocks(benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
                      block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
     """The usable items, block by block; only one block is on the driver."""
     items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).where(
-        F.length("t") >= MIN_ITEM)
+        F.regexp_like("t", F.lit(WORD)))
     # passages have their grams in the index as well
     grams = F.length("t") * F.when(F.length("t") < 2 * PASSAGE, 1).otherwise(1 + -(-PASSAGE // STRIDE))
     total = items.agg(F.sum(grams)).first()[0] or 0
@@ -288,11 +352,10 @@ def benchmark_blocks(benchmark: DataFrame, text: str = "text", item_id: str = "i
 
 def finder(spark: SparkSession, items: list[tuple[int, str]], q: int = Q, rate: float = EDIT_RATE):
     """Column function: text to its finds in one block of items."""
-    shared = spark.sparkContext.broadcast(items)
+    shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
     @F.pandas_udf(FINDS)
     def find(texts: pd.Series) -> pd.Series:
-        key = id(shared)
         if key not in _INDEX:
             _INDEX.clear()
             _INDEX[key] = Index(shared.value, q, rate)

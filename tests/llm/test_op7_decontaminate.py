@@ -54,7 +54,7 @@ def test_scan_against_brute_force():
         assert {f["item_id"] for f in found[1]} == want
         for f in found[1]:
             x = m.normal(dict(items)[f["item_id"]])
-            assert distance(x, norm[f["start"]:f["end"]]) == f["edits"] == edits(x, norm)
+            assert distance(x, m.normal(text[f["start"]:f["end"]])) == f["edits"] == edits(x, norm)
 
 
 def test_long_text_in_pieces(monkeypatch):
@@ -83,12 +83,12 @@ def test_parts_of_long_items(spark):
 
 
 def test_edge_cases(spark):
-    bench = spark.createDataFrame([(1, words(60, 2)), (2, None), (3, "short"), (None, words(60, 4)), (1, words(60, 2))],
+    bench = spark.createDataFrame([(1, words(60, 2)), (2, None), (3, " one\ttwo "), (4, " \n"), (None, words(60, 4)), (1, words(60, 2))],
                                   "item_id long, text string")
     rows = m.contaminations(edge_docs(spark), bench).collect()
-    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 1), (9, None)}  # 3 has its white space doubled: beyond the budget
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 1), (3, 1), (9, None), (10, 3), (11, 3)}
     kept = m.drop_contaminated(edge_docs(spark), bench)
-    assert kept.columns == edge_docs(spark).columns and kept.count() == len(edge_rows()) - 4
+    assert kept.columns == edge_docs(spark).columns and kept.count() == len(edge_rows()) - 7
     blocks = m.contaminations(edge_docs(spark), bench, block_chars=100)
     assert sorted(map(str, blocks.collect())) == sorted(map(str, rows))
     assert m.contaminations(empty_docs(spark), bench).count() == 0
@@ -96,11 +96,42 @@ def test_edge_cases(spark):
     assert m.drop_contaminated(edge_docs(spark), bench.where("false")).count() == len(edge_rows())
 
 
+def test_white_space_costs_no_edits(spark):
+    item = words(40, 7)
+    ragged = " \n\t" + item.replace(" ", " \r\n   ") + "\t"
+    text = "Before it. " + item.replace(" ", "  \n") + " After."
+    bench = spark.createDataFrame([(1, item), (2, ragged)], "item_id long, text string")
+    rows = m.contaminations(spark.createDataFrame([(1, text), (2, item), (3, words(40, 8))], "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id, r.edits) for r in rows} == {(d, i, 0) for d in (1, 2) for i in (1, 2)}
+    assert all(m.normal(text[r.start:r.end]) == item for r in rows if r.doc_id == 1)
+
+
+def test_short_items_stand_between_word_borders():
+    index = m.Index([(1, "Ab c"), (2, "(x)"), (3, "é"), (4, "ab"), (5, "ab")])
+    text = "ab  C, fab c; ab cd (X)y É1 é"
+    got = {(f["item_id"], text[f["start"]:f["end"]]) for f in m.scan(index, [text])[0]}
+    assert got == {(1, "ab  C"), (2, "(X)"), (3, "é"), (4, "ab"), (5, "ab")}
+    starts = [f["start"] for f in m.scan(index, [text])[0] if f["item_id"] == 4]
+    assert starts == [0, 14]  # not inside "fab"
+
+
+def test_every_block_has_its_own_index(spark):
+    """Many benchmarks in one reused worker: none is answered from another's index."""
+    docs = spark.createDataFrame([(i, words(12, i)) for i in range(12)], "doc_id long, text string").coalesce(1)
+    for i in range(12):
+        bench = spark.createDataFrame([(i, words(12, i))], "item_id long, text string")
+        assert [(r.doc_id, r.item_id) for r in m.contaminations(docs, bench).collect()] == [(i, i)]
+    every = spark.createDataFrame([(i, words(12, i)) for i in range(12)], "item_id long, text string")
+    rows = m.contaminations(docs, every, block_chars=60).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(i, i) for i in range(12)]
+
+
 def test_query_finds_exact_items(spark):
     docs = {r.doc_id: m.normal(r.text or "") for r in read(spark, SF, "documents").collect()}
     items = {r.item_id: m.normal(r.text) for r in read(spark, SF, "benchmark").collect()}
     want = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
     rows = m.op7_decontaminate(spark, SF).collect()
     assert want and want <= {(r.doc_id, r.item_id) for r in rows}
+    texts = {r.doc_id: r.text for r in read(spark, SF, "documents").collect()}
     for r in rows:
-        assert distance(items[r.item_id], docs[r.doc_id][r.start:r.end]) == r.edits <= m.budget(len(items[r.item_id]))
+        assert distance(items[r.item_id], m.normal(texts[r.doc_id][r.start:r.end])) == r.edits <= m.budget(len(items[r.item_id]))
