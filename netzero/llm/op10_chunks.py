@@ -2,17 +2,23 @@
 
 A gear rolling hash runs over the UTF-8 bytes of every text: 16 bits, shifted
 left by one for each byte, so it depends on the last 16 bytes alone.  A chunk
-ends where the top bits of the hash are zero, not before ``MIN_CHUNK`` and not
-after ``MAX_CHUNK`` bytes, and never inside a character; an insertion therefore
-moves the chunk borders near it and no others.  Chunks are equal when their
-128-bit digests are.
+ends where the top bits of the hash are zero, not before ``MIN_CHUNK`` bytes, and
+never inside a character; where ``MAX_CHUNK`` bytes hold no such place, it ends
+at the leftmost least hash among them.  Both depend on content, so an insertion
+moves the chunk borders near it and no others, and texts that repeat a few words
+are cut in step.  Chunks are equal when their 128-bit digests are.
 
 Chunks of a digest are counted with map-side partial sums over the narrow
 table (doc_id, digest); the document with the smallest doc_id owns a repeated
 chunk and keeps its first occurrence.  Only repeated chunks are sent back to
-their documents, which are chunked again and cut: runs of repeated chunks of at
-least ``MIN_RUN`` bytes are removed; shorter ones (stock phrases, single lines)
-stay.
+their documents, which are chunked again: adjacent repeated chunks form runs.
+
+A repeated passage seldom begins and ends at chunk borders.  So every owner
+hands out the ``REACH`` bytes before and after its repeated chunks, every run asks
+for those at its first and last chunk, and the run is extended byte by byte as
+far as both agree.  Runs that then have ``MIN_RUN`` bytes are cut; shorter ones (stock
+phrases, single lines) stay.  Every removed byte has an equal one at a smaller
+(doc_id, position), so one copy of everything is kept.
 
 Edge cases: null and empty texts have no chunks and stay as they are; rows
 with null doc_id are left alone and own nothing; rows repeating a doc_id are
@@ -33,12 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import sized_chunks, stored, table
+from .op5_suffix import common
 
 MIN_CHUNK = 24
-MAX_CHUNK = 256
+MAX_CHUNK = 64
 #: One position in 2^MASK_BITS ends a chunk.
 MASK_BITS = 5
 MIN_RUN = 100
+#: Bytes around a repeated chunk by which a run can grow on either side.
+REACH = 128
 BATCH_CHARS = 1 << 22
 SCAN_BYTES = 1 << 20
 
@@ -46,38 +55,34 @@ SCAN_BYTES = 1 << 20
 GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=2).digest(), "big") for b in range(256)], np.uint16)
 
 
-def borders(data: np.ndarray) -> np.ndarray:
-    """Positions (of the byte after) where the content ends a chunk."""
-    out = []
+def gear_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash after every byte; inside a character the greatest value, which ends no chunk."""
+    out = np.empty(len(data), np.uint16)
     for a in range(0, len(data), SCAN_BYTES):
         lead = min(a, 15)
-        x = data[a - lead:a + SCAN_BYTES + 1]
+        x = data[a - lead:a + SCAN_BYTES]
         h = GEAR[x]
         for s in (1, 2, 4, 8):  # h over s bytes -> over 2 s bytes
             more = h.copy()
             more[s:] += h[:-s] << np.uint16(s)
             h = more
-        ends = (h >> np.uint16(16 - MASK_BITS)) == 0
-        ends[:-1] &= (x[1:] & 0xC0) != 0x80  # not inside a character
-        at = np.flatnonzero(ends[lead:lead + SCAN_BYTES]) + a + 1
-        out.append(at)
-    return np.concatenate(out) if out else np.empty(0, np.int64)
+        out[a:a + SCAN_BYTES] = h[lead:]
+    out[:-1][(data[1:] & 0xC0) == 0x80] = 0xFFFF
+    return out
 
 
 def chunk_ends(data: bytes) -> list[int]:
     """End of every chunk of ``data``."""
     n = len(data)
-    ends, pos = [], 0
-    marks = borders(np.frombuffer(data, np.uint8)).tolist()
-    i, last = 0, len(marks)
+    h = gear_hashes(np.frombuffer(data, np.uint8))
+    marks = (np.flatnonzero(h >> np.uint16(16 - MASK_BITS) == 0) + 1).tolist()
+    ends, pos, i, last = [], 0, 0, len(marks)
     while n - pos > MIN_CHUNK:
         while i < last and marks[i] < pos + MIN_CHUNK:
             i += 1
         cut = marks[i] if i < last else n
         if cut - pos > MAX_CHUNK:
-            cut = pos + MAX_CHUNK
-            while cut < n and data[cut] & 0xC0 == 0x80:
-                cut += 1
+            cut = pos + MIN_CHUNK + int(h[pos + MIN_CHUNK - 1:pos + MAX_CHUNK].argmin())
         ends.append(cut)
         pos = cut
     if pos < n:
@@ -128,27 +133,106 @@ def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     return each.drop("n").join(again, ["d1", "d2"])
 
 
-def cut(data: bytes, owners: dict[tuple[int, int], object], doc_id) -> tuple[list[tuple[int, int, object]], bytes]:
-    """Removed (start, end, owner of its first chunk) runs and the bytes left."""
+def runs_of(data: bytes, owners: dict[tuple[int, int], object], doc_id) -> tuple[list[tuple], list[tuple]]:
+    """(runs, own) of one document.
+
+    runs: (start, end, owner of the first chunk, its digest, bytes before, digest
+    of the last chunk, bytes after) of each run of adjacent chunks that another
+    place owns.  own: (digest, bytes before, bytes after) of the repeated chunks that this
+    document owns, at their first place."""
     ends, digests = chunks(data)
     runs: list[list] = []
-    seen, start = set(), 0
+    own, first, start = [], {}, 0
     for end, key in zip(ends, map(tuple, digests.tolist())):
         owner = owners.get(key)
-        gone = owner is not None and (owner != doc_id or key in seen)
-        seen.add(key)
-        if gone:
-            if runs and runs[-1][1] == start:
-                runs[-1][1] = end
+        if owner is not None:
+            if owner == doc_id and key not in first:
+                first[key] = end
+                own.append((key, data[max(0, start - REACH):start], data[end:end + REACH]))
+            elif runs and runs[-1][1] == start:
+                runs[-1][1], runs[-1][5] = end, key
             else:
-                runs.append([start, end, owner])
+                low = max(start - REACH, first.get(key, 0))  # not into the copy that stays
+                runs.append([start, end, owner, key, data[low:start], key])
         start = end
-    spans = [(a, b, o) for a, b, o in runs if b - a >= MIN_RUN]
+    return [(*r, data[r[1]:r[1] + REACH + 1]) for r in runs], own
+
+
+def common_after(mine: bytes, theirs: bytes) -> int:
+    """Equal first bytes, whole characters of ``mine``, which has one byte more than counts."""
+    n = min(common(mine, theirs), REACH)
+    while n and n < len(mine) and mine[n] & 0xC0 == 0x80:
+        n -= 1
+    return n
+
+
+def common_before(mine: bytes, theirs: bytes) -> int:
+    """Equal last bytes, whole characters."""
+    n = common(mine[::-1], theirs[::-1])
+    while n and mine[len(mine) - n] & 0xC0 == 0x80:
+        n -= 1
+    return n
+
+
+EDGES = ("start long, end long, k1 long, b1 long, b2 long, before binary, a1 long, a2 long, after binary")
+
+
+def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, k1, spans): the spans to cut of every text (hash ``k1``) that has any."""
+    kind = docs.schema[doc_id].dataType.simpleString()
+    found = repeated_chunks(docs, text, doc_id).groupBy(F.col("doc_id").alias("_nz_id")).agg(
+        F.collect_list(F.struct("d1", "d2", "owner")).alias("chunks"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("k1", F.xxhash64("text")).join(found, F.col("doc_id") == F.col("_nz_id")).drop("_nz_id")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in sized_chunks(frames, "text", BATCH_CHARS):
+            out = []
+            for i, k, t, owned in zip(f["doc_id"], f["k1"], f["text"], f["chunks"]):
+                runs, own = runs_of(_bytes(t), {(c["d1"], c["d2"]): c["owner"] for c in owned}, i)
+                out += [(i, o, a, b, k, *d, x, *e, y) for a, b, o, d, x, e, y in runs]
+                out += [(i, None, None, None, k, *d, x, *d, y) for d, x, y in own]
+            names = ["doc_id", "owner", "start", "end", "k1", "b1", "b2", "before", "a1", "a2", "after"]
+            done = pd.DataFrame(out, columns=names)
+            yield done.astype({"start": "Int64", "end": "Int64"})
+
+    edges = stored(rows.select("doc_id", "k1", "text", "chunks").mapInPandas(run, f"doc_id {kind}, owner {kind}, {EDGES}"), "chunks-edges")
+    own = edges.where("start IS NULL")
+    # versions of one document may own a chunk each: one row for every digest
+    own = own.groupBy(F.col("b1").alias("d1"), F.col("b2").alias("d2")).agg(F.min(F.struct("before", "after")).alias("o"))
+    own = stored(own.select("d1", "d2", "o.before", "o.after"), "chunks-own")
+
+    @F.pandas_udf("long")
+    def grow_before(mine: pd.Series, theirs: pd.Series) -> pd.Series:
+        return pd.Series([common_before(bytes(a), bytes(b)) for a, b in zip(mine, theirs)], dtype="int64")
+
+    @F.pandas_udf("long")
+    def grow_after(mine: pd.Series, theirs: pd.Series) -> pd.Series:
+        return pd.Series([common_after(bytes(a), bytes(b)) for a, b in zip(mine, theirs)], dtype="int64")
+
+    runs = edges.where("start IS NOT NULL")
+    left = own.select(F.col("d1").alias("b1"), F.col("d2").alias("b2"), F.col("before").alias("_b"))
+    runs = runs.join(left, ["b1", "b2"]).withColumn("start", F.col("start") - grow_before("before", "_b"))
+    runs = runs.select("doc_id", "k1", "owner", "start", "end", "a1", "a2", "after")
+    right = own.select(F.col("d1").alias("a1"), F.col("d2").alias("a2"), F.col("after").alias("_a"))
+    runs = runs.join(right, ["a1", "a2"]).withColumn("end", F.col("end") + grow_after("after", "_a"))
+    runs = runs.where(F.col("end") - F.col("start") >= MIN_RUN)
+    return runs.groupBy("doc_id", "k1").agg(F.array_sort(F.collect_set(F.struct("start", "end", "owner"))).alias("spans"))
+
+
+def cut(data: bytes, spans: list[tuple[int, int, object]]) -> tuple[list[tuple[int, int, object]], bytes]:
+    """Maximal removed (start, end, owner of its first part) runs and the bytes left."""
+    runs: list[list] = []
+    for a, b, o in sorted(spans, key=lambda s: s[:2]):
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b)
+        else:
+            runs.append([a, b, o])
     kept, pos = [], 0
-    for a, b, _ in spans:
+    for a, b, _ in runs:
         kept.append(data[pos:a])
         pos = b
-    return spans, b"".join([*kept, data[pos:]])
+    return [tuple(r) for r in runs], b"".join([*kept, data[pos:]])
 
 
 _ADDED = ("n_bytes", "n_removed", "spans")
@@ -159,24 +243,24 @@ def cut_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     ``n_bytes``, ``n_removed`` and ``spans`` of (start, end, first_doc_id), byte
     offsets of the original text; columns of those names are replaced."""
     names, kind = [c for c in docs.columns if c not in _ADDED], docs.schema[doc_id].dataType.simpleString()
-    found = repeated_chunks(docs, text, doc_id).groupBy(F.col("doc_id").alias("_nz_id")).agg(
-        F.collect_list(F.struct("d1", "d2", "owner")).alias("_nz_chunks"))
+    # written, so that the join has two plain shuffle sides
+    found = stored(repeated_spans(docs, text, doc_id).select(F.col("doc_id").alias("_nz_id"), F.col("k1").alias("_nz_k"), F.col("spans").alias("_nz_spans")), "chunks-spans")
     rows = docs.select(F.col(doc_id).alias("_nz_key"), F.coalesce(F.col(text), F.lit("")).alias("_nz_text"),
                        F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("_nz_rest"))
-    rows = rows.join(found, F.col("_nz_key") == F.col("_nz_id"))
+    rows = rows.join(found, (F.col("_nz_key") == F.col("_nz_id")) & (F.xxhash64("_nz_text") == F.col("_nz_k")))
     spans = f"array<struct<start:long,end:long,first_doc_id:{kind}>>"
 
     @F.pandas_udf(f"text string, n_bytes long, n_removed long, spans {spans}")
-    def run(ids: pd.Series, texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
+    def run(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
         out = []
-        for i, t, owned in zip(ids, texts, lists):
+        for t, found in zip(texts, lists):
             data = _bytes(t)
-            gone, left = cut(data, {(c["d1"], c["d2"]): c["owner"] for c in owned}, i)
+            gone, left = cut(data, [(s["start"], s["end"], s["owner"]) for s in found])
             out.append((left.decode("utf-8", "replace"), len(data), len(data) - len(left),
                         [{"start": a, "end": b, "first_doc_id": o} for a, b, o in gone]))
         return pd.DataFrame(out, columns=["text", "n_bytes", "n_removed", "spans"])
 
-    done = rows.select("_nz_rest", run("_nz_key", "_nz_text", "_nz_chunks").alias("_nz_cut")).where("_nz_cut.n_removed > 0")
+    done = rows.select("_nz_rest", run("_nz_text", "_nz_spans").alias("_nz_cut"))
     return done.select(*[F.col("_nz_cut.text").alias(c) if c == text else F.col(f"_nz_rest.`{c}`") for c in names],
                        "_nz_cut.n_bytes", "_nz_cut.n_removed", "_nz_cut.spans")
 

@@ -12,14 +12,19 @@ SF = "/root/testdata/sf0.001"
 
 def borders(data: bytes) -> list[int]:
     """Chunk borders with a plain rolling gear hash, byte by byte."""
-    h, out, pos = 0, [], 0
+    h, hashes = 0, []
     for i, b in enumerate(data):
         h = (h << 1) + int(m.GEAR[b]) & 0xFFFF
         inside = i + 1 < len(data) and data[i + 1] & 0xC0 == 0x80
-        full = i + 1 - pos >= m.MAX_CHUNK and not inside
-        if full or (i + 1 - pos >= m.MIN_CHUNK and h >> 16 - m.MASK_BITS == 0 and not inside and i >= 15):
-            out.append(i + 1)
-            pos = i + 1
+        hashes.append(0xFFFF if inside else h)
+    out, pos = [], 0
+    while len(data) - pos > m.MIN_CHUNK:
+        window = range(pos + m.MIN_CHUNK, min(pos + m.MAX_CHUNK, len(data)) + 1)
+        cut = next((e for e in window if hashes[e - 1] >> 16 - m.MASK_BITS == 0), None)
+        if cut is None:
+            cut = min(window, key=lambda e: hashes[e - 1]) if len(data) - pos > m.MAX_CHUNK else len(data)
+        out.append(cut)
+        pos = cut
     return out + ([len(data)] if pos < len(data) else [])
 
 
@@ -32,10 +37,9 @@ def test_chunks_against_a_rolling_hash(monkeypatch):
             data = t.encode()
             ends = m.chunk_ends(data)
             sizes = [b - a for a, b in zip([0, *ends], ends)]
-            assert sum(sizes) == len(data) and all(s <= m.MAX_CHUNK + 3 for s in sizes)
+            assert sum(sizes) == len(data) and all(s <= m.MAX_CHUNK for s in sizes)
             [data[a:b].decode() for a, b in zip([0, *ends], ends)]  # whole characters
-            want = borders(data)
-            assert ends == want or ends[:-1] == want[:-1]
+            assert ends == borders(data)
 
 
 def test_insertion_moves_nearby_borders_only():
@@ -47,26 +51,40 @@ def test_insertion_moves_nearby_borders_only():
 
 def brute(docs: dict[int, str]) -> dict[int, tuple[int, list]]:
     data = {i: (t or "").encode() for i, t in docs.items()}
-    cuts = {i: m.chunk_ends(d) for i, d in data.items()}
-    parts = {i: [data[i][a:b] for a, b in zip([0, *e], e)] for i, e in cuts.items()}
-    count, owner = Counter(p for v in parts.values() for p in v), {}
+    cuts = {i: borders(d) for i, d in data.items()}
+    parts = {i: [(a, data[i][a:b]) for a, b in zip([0, *e], e)] for i, e in cuts.items()}
+    count, home = Counter(p for v in parts.values() for _, p in v), {}
     for i in sorted(parts):
-        for p in parts[i]:
-            owner.setdefault(p, i)
+        for a, p in parts[i]:
+            home.setdefault(p, (i, a))
+    whole = lambda d, at: at == len(d) or d[at] & 0xC0 != 0x80
     out = {}
     for i, v in parts.items():
-        runs, pos, seen = [], 0, set()
-        for p in v:
-            if count[p] > 1 and (owner[p] != i or p in seen):
-                if runs and runs[-1][1] == pos:
-                    runs[-1][1] += len(p)
+        d, runs = data[i], []
+        for a, p in v:
+            if count[p] > 1 and home[p] != (i, a):
+                if runs and runs[-1][1] == a:
+                    runs[-1][1:] = [a + len(p), runs[-1][2], p]
                 else:
-                    runs.append([pos, pos + len(p)])
-            seen.add(p)
-            pos += len(p)
-        runs = [tuple(r) for r in runs if r[1] - r[0] >= m.MIN_RUN]
-        if runs:
-            out[i] = (sum(b - a for a, b in runs), runs)
+                    runs.append([a, a + len(p), p, p])
+        removed = set()
+        for a, b, p, q in runs:
+            (j, at), (k, end) = home[p], home[q]
+            least = at + len(p) if j == i else 0
+            grown = [n for n in range(m.REACH + 1) if n <= a - least and n <= at and d[a - n:a] == data[j][at - n:at] and whole(d, a - n)]
+            end += len(q)
+            after = [n for n in range(m.REACH + 1) if b + n <= len(d) and end + n <= len(data[k]) and d[b:b + n] == data[k][end:end + n] and whole(d, b + n)]
+            a, b = a - max(grown), b + max(after)
+            if b - a >= m.MIN_RUN:
+                removed |= set(range(a, b))
+        spans = []
+        for x in sorted(removed):
+            if spans and spans[-1][1] == x:
+                spans[-1][1] = x + 1
+            else:
+                spans.append([x, x + 1])
+        if spans:
+            out[i] = (len(removed), [tuple(r) for r in spans])
     return out
 
 
@@ -92,6 +110,27 @@ def test_shared_passage_is_cut_and_clean_texts_stay(spark):
     assert all(s.first_doc_id < r.doc_id for r in rows for s in r.spans)
 
 
+def test_passage_is_cut_to_the_byte(spark):
+    """Borders of a repeated passage are not those of chunks; ends are whole characters."""
+    passage = words(51, 5)
+    docs = [(i, words(40, 10 + i) + f" {i}é" + passage + f"ê{i}" + words(40, 60 + i)) for i in range(8)]
+    rows = m.cut_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in rows} == set(range(1, 8))
+    for r in rows:
+        assert passage not in r.text and r.n_removed >= len(passage.encode())
+        assert r.text.startswith(words(40, 10 + r.doc_id)) and r.text.endswith(words(40, 60 + r.doc_id))
+
+
+def test_no_text_is_lost(spark):
+    """Of every passage one copy stays, also of one that repeats inside a document."""
+    a, b = words(60, 1), words(60, 2)
+    docs = [(1, a + " " + words(30, 3)), (2, words(30, 4) + b + " " + a), (3, b + " " + b + " | " + b), (4, "la " * 300), (5, "x " + "la " * 200)]
+    rows = {r.doc_id: r.text for r in m.cut_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    left = {i: rows.get(i, t) for i, t in docs}
+    assert left[1] == docs[0][1] and b in left[2] and a not in left[2] and b not in left[3]
+    assert "la " * 8 in left[4] and len(left[5]) < 40
+
+
 def test_edge_cases(spark):
     docs = edge_docs(spark).selectExpr("*", "1 AS n_bytes", "2 AS spans")
     out = m.cut_documents(docs)
