@@ -115,6 +115,7 @@ class Shard:
         self.ptr = np.concatenate(([0], np.cumsum(length)))
         order = np.argsort(at, kind="stable")
         self.posting = np.repeat(np.arange(len(length), dtype=np.int32), length)[order]
+        self.order = order
         self.list_ptr = np.searchsorted(at[order], np.arange(n_terms + 1))
         self.top = np.zeros(n_terms, value.dtype)
         np.maximum.at(self.top, at, value)
@@ -129,6 +130,14 @@ class Shard:
     def docs_of(self, term: int) -> np.ndarray:
         return self.posting[self.list_ptr[term]:self.list_ptr[term + 1]]
 
+    def all_scores(self, item: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Scores of all documents, list by list."""
+        out = np.zeros(len(self.doc_id), self.value.dtype)
+        for t, c in zip(*item):
+            a, b = self.list_ptr[t], self.list_ptr[t + 1]
+            out[self.posting[a:b]] += c * self.value[self.order[a:b]]
+        return out
+
     def entries(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position among ``docs``, index of the entry) of all their vector entries."""
         size = self.ptr[docs + 1] - self.ptr[docs]
@@ -265,12 +274,52 @@ def _shards(frames: Iterator[pd.DataFrame], weights: np.ndarray, n_docs: int, n_
         yield build()
 
 
+def seed_documents(vectors: DataFrame, n: int) -> DataFrame:
+    """About ``n`` documents, those with most different terms, by a cut-off from
+    the counts per size; of equal sizes at the cut-off a share by hash."""
+    taken, size = 0, F.col("size")
+    # a row for each size, so at most one for each term of the block
+    for s, held in sorted(map(tuple, vectors.groupBy("size").agg(F.count(F.lit(1))).collect()), reverse=True):
+        if taken + held > n:
+            share = -(-held // max(n - taken, 1))
+            return vectors.where((size > s) | ((size == s) & (F.pmod(F.xxhash64("doc_id", "no_id"), F.lit(share)) == 0)))
+        taken += held
+    return vectors
+
+
+def first_thresholds(seeds: DataFrame, items: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray, n_docs: int, n_terms: int,
+                     top: int = TOP) -> np.ndarray:
+    """Score of the ``top``-th best of the seeds for every item, 0 where fewer have one."""
+    kind = _kind(items, weights)
+    shared = seeds.sparkSession.sparkContext.broadcast((items, weights))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items, weights = shared.value
+        best = np.zeros((len(items), top), kind)
+        for shard in _shards(frames, weights, n_docs, n_terms, kind):
+            for i, (at, count) in enumerate(items):
+                both = np.concatenate([best[i], shard.all_scores((at, count.astype(kind)))])
+                best[i] = np.partition(both, len(both) - top)[-top:]
+        yield pd.DataFrame({"item": np.repeat(np.arange(len(items), dtype=np.int32), top), "score": best.ravel().astype(np.int64)})
+
+    found = seeds.select("doc_id", "no_id", "n", "size", "at", "tf").mapInPandas(run, "item int, score long").where("score > 0")
+    each = F.row_number().over(Window.partitionBy("item").orderBy(F.col("score").desc()))
+    out = np.zeros(len(items))
+    for r in found.withColumn("r", each).where(F.col("r") == top).collect():  # a row for each item of the block
+        out[r.item] = r.score
+    return out
+
+
+def _kind(items: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray):
+    """Type that holds every sum exactly: a score is below 10^6 times the weights of the item's terms."""
+    most = max([float((weights[at] * count).sum()) for at, count in items], default=0.0) * 1e6
+    return np.float64 if most < 2 ** 53 else np.int64
+
+
 def search(vectors: DataFrame, items: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray, n_docs: int, n_terms: int,
            threshold: np.ndarray, top: int = TOP) -> DataFrame:
     """(item, doc_id, no_id, score): the best ``top`` of every item in each task."""
-    # a score is below 10^6 times the weights of the item's terms
-    most = max([float((weights[at] * count).sum()) for at, count in items], default=0.0) * 1e6
-    kind = np.float64 if most < 2 ** 53 else np.int64
+    kind = _kind(items, weights)
     shared = vectors.sparkSession.sparkContext.broadcast((items, weights, threshold))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -319,12 +368,8 @@ def rank_documents(docs: DataFrame, items: DataFrame, text: str = "text", doc_id
             bagged.append((at[held], count[held]))
         args = (bagged, weights, int(n_docs), int(n_terms))
         vectors = vectors.where("size > 0")
-        seeds = vectors.orderBy(F.col("size").desc(), "doc_id").limit(SEEDS)
-        low = search(seeds, *args, np.zeros(len(texts)), top).groupBy("item").agg(F.min("score").alias("s"), F.count(F.lit(1)).alias("n"))
-        threshold = np.zeros(len(texts))
-        for r in low.where(F.col("n") == top).collect():  # a row for each item of the block
-            threshold[r.item] = r.s
-        best = search(vectors, *args, threshold, top)
+        seeds = seed_documents(vectors, SEEDS)
+        best = search(vectors, *args, first_thresholds(seeds, *args, top), top)
         part = F.pmod(F.xxhash64("doc_id", "no_id"), F.lit(PARTS))
         best = best.withColumn("rank", F.row_number().over(Window.partitionBy("item", part).orderBy(*by))).where(F.col("rank") <= top)
         best = best.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(*by))).where(F.col("rank") <= top)
