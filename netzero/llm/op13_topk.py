@@ -5,7 +5,7 @@ with a range shuffle and written.  Their Gram matrix is summed in the tasks; its
 eigenvectors (the right singular vectors of all vectors) rotate queries and
 vectors so that the first coordinates hold most of a product.
 
-Queries are taken in blocks.  For a block, the longest ``HEADS`` vectors give each
+Queries are taken in blocks.  For a block, about ``HEADS`` of the longest vectors give each
 query a first threshold: the score of its k-th best of them.  All vectors are
 then read in chunks of descending length.  Queries whose length times the chunk's
 greatest stays below their threshold are out; for the others partial sums over the
@@ -194,6 +194,19 @@ def search(rows: DataFrame, ids: np.ndarray, x: np.ndarray, basis: np.ndarray, k
     return rows.select("vec_id", "no_id", "x").mapInPandas(run, FOUND)
 
 
+def longest(rows: DataFrame, n: int) -> DataFrame:
+    """About ``n`` of the longest vectors (a ten-thousandth of all, if that is
+    more), by a cut-off; of equal lengths at the cut-off a share by hash."""
+    total = rows.count()
+    if total <= n:
+        return rows
+    least = rows.agg(F.percentile_approx("norm", F.lit(1 - n / total), F.lit(10_000))).first()[0]
+    norm = F.col("norm")
+    above, tied = rows.where(norm >= least).agg(F.sum(F.when(norm > least, 1).otherwise(0)), F.sum(F.when(norm == least, 1).otherwise(0))).first()
+    share = -(-tied // max(n - above, 1))
+    return rows.where((norm > least) | ((norm == least) & (F.pmod(F.xxhash64("vec_id", "x"), F.lit(share)) == 0)))
+
+
 def top_products(vectors: DataFrame, embedding: str = "embedding", vec_id: str = "vec_id", every: int = EVERY, top: int = TOP,
                  scale: int = SCALE, query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` best of every query, the rows
@@ -203,7 +216,7 @@ def top_products(vectors: DataFrame, embedding: str = "embedding", vec_id: str =
     dim = rows.agg(F.max(F.size("x"))).first()[0] or 0
     basis = rotation(rows, dim)
     k = top + 1  # a query meets itself
-    heads = rows.orderBy(F.col("norm").desc(), F.xxhash64("vec_id", "x")).limit(HEADS)
+    heads = longest(rows, HEADS)
     # equal query rows have equal results: searched once, counted in ``copies``
     queries = stored(rows.where(~F.col("no_id") & (F.pmod("vec_id", F.lit(every)) == 0)).groupBy("vec_id", "x").agg(
         F.count(F.lit(1)).alias("copies")), "topk-queries")
@@ -217,10 +230,10 @@ def top_products(vectors: DataFrame, embedding: str = "embedding", vec_id: str =
         ids = np.array([r.vec_id for r in block], np.int64)
         x = matrix(pd.Series([r.x for r in block]), dim)
         first = search(heads, ids, x, basis, k)
-        least = first.groupBy("query").agg(F.min("score").alias("s"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
+        order = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc()))
         threshold = np.full(len(ids), np.iinfo(np.int64).min)
-        for r in least.collect():  # a row for each query of the block
-            threshold[r.query] = r.s
+        for r in first.withColumn("n", order).where(F.col("n") == k).collect():  # a row for each query of the block
+            threshold[r.query] = r.score
         copies = spark.createDataFrame([(i, r.vec_id, r.copies) for i, r in enumerate(block)], "query int, query_id long, copies long")
         best = search(rows, ids, x, basis, k, threshold)
         by = [F.col("score").desc(), "no_id", "vec_id"]
