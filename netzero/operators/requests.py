@@ -38,28 +38,29 @@ def parse_requests(raw: DataFrame, body: str = "body", spec: ReconSpec = ReconSp
     The body is parsed once into a typed struct (JSON values of any type are
     read as their text).  Spark's JSON functions stop reading at the end of the
     first value and accept single quotes, so a body counts as JSON only if it
-    still parses as the first of exactly two elements of a list that ends with
-    the body's own digest; ``json_object_keys`` tells an object from other values.
+    parses as the first of exactly two elements of a list whose last one carries the
+    body's own digest; an object is told from other values by its brace.
     """
     company, account = spec.partition_keys
     outputs = dict(zip(REQUIRED_FIELDS, (company, account, "data_source_path")))
-    msg = F.col("_nz_msg")
+    msg = F.get(F.col("_nz_list"), F.lit(0))
     digest = F.md5(F.col(body).cast("binary"))
-    listed = F.from_json(F.concat(F.lit("["), F.col(body), F.lit(',"'), digest, F.lit('"]')),
-                         T.ArrayType(T.StringType()), {"allowSingleQuotes": "false"})
-    parsed = raw.withColumns({
-        "_nz_msg": F.from_json(F.col(body), REQUEST_SCHEMA, {"allowSingleQuotes": "false"}),
-        "_nz_obj": F.coalesce((F.size(listed) == 2) & (F.get(listed, F.lit(1)) == digest)
-                              & F.json_object_keys(F.col(body)).isNotNull(), F.lit(False)),
+    ended = F.concat(F.lit("["), F.col(body), F.lit(',{"partition_id":"'), digest, F.lit('"}]'))
+    parsed = raw.withColumn(
+        "_nz_list", F.from_json(ended, T.ArrayType(REQUEST_SCHEMA), {"allowSingleQuotes": "false"}),
+    ).withColumns({
+        "_nz_msg": msg,
+        "_nz_obj": F.coalesce((F.size("_nz_list") == 2) & (F.get(F.col("_nz_list"), F.lit(1))["partition_id"] == digest)
+                              & msg.isNotNull() & F.regexp_like(body, F.lit(r"^[ \t\r\n]*\{")), F.lit(False)),
     }).withColumns({
-        "partition_id": F.when(F.col("_nz_obj"), msg["partition_id"]),
-        **{out: F.when(F.col("_nz_obj"), msg["data"][name]) for name, out in outputs.items()},
+        "partition_id": F.when(F.col("_nz_obj"), F.col("_nz_msg")["partition_id"]),
+        **{out: F.when(F.col("_nz_obj"), F.col("_nz_msg")["data"][name]) for name, out in outputs.items()},
     })
     reason = F.when(~F.col("_nz_obj"), F.lit(REASON_NOT_JSON))
     for name, out in outputs.items():
         reason = reason.when(F.coalesce(F.trim(F.col(out)) == "", F.lit(True)),
                              F.lit(REASON_MISSING + name))
-    return parsed.withColumn("reject_reason", reason).drop("_nz_msg", "_nz_obj")
+    return parsed.withColumn("reject_reason", reason).drop("_nz_list", "_nz_msg", "_nz_obj")
 
 
 def valid_requests(parsed: DataFrame) -> DataFrame:

@@ -19,10 +19,12 @@ from ..operators import (apply_contract, contract_schema, file_plan, normalize,
                          reconcile, rejected_amounts, txn_summary, type_and_clean)
 from ..sources import (LEDGER_SCHEMA, blank_account_ledger_from_tables, ledger_from_tables, read_ledger, read_slices,
                        requests_from_tables, scratch_path, spelled_ledger_from_tables, table, text_ledger_from_tables)
+from ..sources.slices import existing_slices, slice_directory
 from ..spec import ReconSpec, output_contracts
 from ..streaming import start_request_stream
-from .jobs import letters_of, process_requests
-from .sink import write_result
+from .jobs import letters_of, process_requests, request_counts
+from .sink import PART_SUFFIX, write_result
+from .versions import read_current, write_version
 from .worker import SOURCE, dead_letters, reconcile_default_source, reconcile_requested
 
 SPEC = ReconSpec()
@@ -222,6 +224,51 @@ def q_request_source_errors(spark, sf_dir):
     return letters_of(parsed, failed).select("partition_id", "reject_reason")
 
 
+#: The slice whose files are damaged in ``damaged_ledger``.
+DAMAGED = (" building ", URGENT_ACCOUNT)
+
+
+def damaged_ledger(spark: SparkSession, sf_dir: str) -> str:
+    """Like ``written_ledger``, with a file that is not Parquet in one slice."""
+    def write(root: str) -> None:
+        _write_partitioned(ledger_from_tables(spark, sf_dir), f"{root}/ledger")
+        spark.createDataFrame([("not parquet",)], "value string").write.mode("append").text(
+            slice_directory(f"{root}/ledger", DAMAGED))
+    return _written_once(spark, sf_dir, "source-damaged", write)
+
+
+def run_damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list, str]:
+    """Requests over the damaged ledger: (parsed requests, failed slices, result path)."""
+    out = scratch_path(spark, "damaged")
+    parsed = parse_requests(requests_from_tables(spark, sf_dir))
+    _, failed = process_requests(spark, parsed, out, root=damaged_ledger(spark, sf_dir), schema=LEDGER_SCHEMA)
+    return parsed, failed, out
+
+
+def q_request_slice_errors(spark, sf_dir):
+    """One slice of the dataset is damaged: its requests become dead letters, no others do."""
+    parsed, failed, _ = run_damaged(spark, sf_dir)
+    return letters_of(parsed, failed).select("partition_id", "reject_reason")
+
+
+def q_request_slice_results(spark, sf_dir):
+    """The slices written beside a damaged one."""
+    return read_result(spark, run_damaged(spark, sf_dir)[2])
+
+
+def q_request_counts(spark, sf_dir):
+    """Result rows of the slice of every valid request, from the footers of the files written."""
+    out = scratch_path(spark, "counts")
+    parsed = parse_requests(requests_from_tables(spark, sf_dir))
+    process_requests(spark, parsed, out, root=written_ledger(spark, sf_dir), schema=LEDGER_SCHEMA)
+    return request_counts(spark, parsed, out)
+
+
+def q_slice_listing(spark, sf_dir):
+    """Raw key values of all slices, from the names of their directories."""
+    return existing_slices(spark, "ledger", root=written_ledger(spark, sf_dir))
+
+
 def q_slice_scan_many(spark, sf_dir):
     """Slices of all accounts but one, in a request set with one absent account per customer."""
     cust = table(spark, sf_dir, "customer")
@@ -282,6 +329,18 @@ def q_sink_fixed_partitions(spark, sf_dir):
     return read_result(spark, out)
 
 
+def q_sink_versions(spark, sf_dir):
+    """Slices replaced by versions: all of them, then the reconciled entries of one
+    account, then a write that ends before its commit and so changes nothing."""
+    out = scratch_path(spark, "versions")
+    result = reconcile(entries(spark, sf_dir))
+    urgent = F.col("conta_contabil") == F.lit(URGENT_ACCOUNT)
+    write_version(result, out)
+    write_version(result.where(urgent & (F.col(SPEC.status) == F.lit(SPEC.reconciled_label))), out)
+    write_result(result.where(~urgent & (F.col(SPEC.status) == F.lit(SPEC.pending_label))), f"{out}/data/version=lost")
+    return read_current(spark, out, RESULT_SCHEMA, [c + PART_SUFFIX for c in PARTS]).select(*RESULT_SCHEMA.names)
+
+
 # A contract as it would come from a JSON file.
 AUDIT_CONTRACT = {"audit": {
     "columns": ["transactionID", "reconciliation_status", "valor_net", "empresa"],
@@ -376,6 +435,11 @@ QUERIES = {
     "requested_spellings": q_requested_spellings,
     "request_source_errors": q_request_source_errors,
     "slice_scan_many": q_slice_scan_many,
+    "slice_listing": q_slice_listing,
+    "request_slice_errors": q_request_slice_errors,
+    "request_slice_results": q_request_slice_results,
+    "request_counts": q_request_counts,
+    "sink_versions": q_sink_versions,
     "sink_blank_keys": q_sink_blank_keys,
     "sink_empty_slice": q_sink_empty_slice,
     "sink_fixed_partitions": q_sink_fixed_partitions,

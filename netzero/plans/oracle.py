@@ -226,6 +226,9 @@ blanks AS (
 )"""
 DEFAULT_REASONS = "r.reject_reason IS NULL OR r.reject_reason = 'missing_data_source_path'"
 
+# The slice with a damaged file.
+DAMAGED = "empresa = ' building ' AND conta_contabil = '1-URGENT'"
+
 RECONCILE = reconciled_over() + "SELECT * FROM reconciled"
 
 SQL = {
@@ -287,6 +290,20 @@ SELECT partition_id, coalesce(reject_reason, 'source_error') AS reject_reason FR
 WHERE reject_reason IS NOT NULL OR data_source_path = 'no/such/dataset'""",
     "slice_scan_many": with_ctes(LEDGER_K, LEDGER) + """
 SELECT * FROM ledger WHERE conta_contabil <> '5-LOW'""",
+    "slice_listing": with_ctes(LEDGER_K, LEDGER) + """
+SELECT DISTINCT empresa, conta_contabil FROM ledger""",
+    "request_slice_errors": with_ctes(REQUESTS) + f"""
+SELECT partition_id, coalesce(reject_reason, 'source_error') AS reject_reason FROM parsed
+WHERE reject_reason IS NOT NULL OR ({DAMAGED})""",
+    "request_slice_results": requested_over(REQUESTS, sourced("wanted", "ledger", "ledger", f"NOT ({DAMAGED})"), src="wanted")
+    + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "request_counts": with_ctes(LEDGER_K, LEDGER, REQUESTS) + """
+SELECT partition_id, coalesce(n, 0) AS rows FROM parsed
+LEFT JOIN (SELECT empresa, conta_contabil, count(*) AS n FROM ledger GROUP BY ALL) USING (empresa, conta_contabil)
+WHERE reject_reason IS NULL""",
+    "sink_versions": reconciled_over() + f"""
+SELECT {CONTRACT_COLUMNS} FROM reconciled
+WHERE conta_contabil <> '1-URGENT' OR reconciliation_status = 'CONCILIADO'""",
     "sink_blank_keys": reconciled_over(BLANK_LEDGER, src="blanks") + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
     "sink_empty_slice": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
     "sink_fixed_partitions": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",

@@ -21,8 +21,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.contract import apply_contract, contract_order
 from ..sources.ledger import TABLE_PREFIX
@@ -133,6 +134,13 @@ def write_result(
     return observed(obs, out)
 
 
+def slice_counts(spark: SparkSession, path: str, directories: Sequence[str]) -> DataFrame:
+    """(directories, rows) of a written result.  No column of the files is read:
+    the scan takes the row counts from their footers."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in directories])
+    return spark.read.schema(schema).parquet(path).groupBy(*directories).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def observed(obs: Observation, written: DataFrame) -> dict:
     """Metrics of a finished write.  Where the optimizer finds the input empty it
     drops the observing node with the rest of the plan and there is no value to

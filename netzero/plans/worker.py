@@ -8,12 +8,18 @@ it, and their ids depend on it.  The result of a slice is therefore the same
 whichever requests are handled together with it.  All slices of a job, of whatever
 datasets, share one aggregate and one join.  Invalid requests are left out here
 (see ``dead_letters``); repeated requests for one slice are read once.
+
+Requests are parsed once, into a written table of the distinct slices they name
+(``requested_slices``); everything after that reads this table.  Results are
+written in blocks of slices.  A slice that cannot be read fails alone, as its
+message would: a failing block is halved down to the slices at fault.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +28,9 @@ from pyspark.sql import types as T
 from ..functions import present
 from ..operators import normalize, parse_requests, reconcile, rejected_requests, valid_requests
 from ..operators.requests import REASON_MISSING, REQUIRED_FIELDS
-from ..sources import read_slices
-from ..sources.ledger import LEDGER_SCHEMA
+from ..sources import read_slices, resolve_path, written
+from ..sources.ledger import LEDGER_SCHEMA, TABLE_PREFIX
+from ..sources.slices import MissingDataset, existing_of, read_directories, sliced_by
 from ..spec import DEFAULT_DATASET, DatasetMapping, ReconSpec
 
 log = logging.getLogger("netzero")
@@ -32,9 +39,12 @@ log = logging.getLogger("netzero")
 #: ``<key>_slice``.  Together they are the directories of a request result.
 SOURCE = "request_source"
 SLICE_SUFFIX = "_slice"
-#: Dataset paths planned in one job.  More paths take more jobs: this bounds the
-#: size of a plan, never the number of requests.
+#: Dataset paths and slices planned in one job.  More take more jobs: this bounds
+#: the size of a plan and what the driver holds, never the number of requests.
 PATHS_PER_JOB = 32
+SLICES_PER_JOB = 1000
+#: A requested slice: dataset path and raw key values.
+Slice = tuple[str, str, str]
 
 
 def origin_columns(spec: ReconSpec = ReconSpec()) -> list[str]:
@@ -45,25 +55,42 @@ def parsed(requests: DataFrame, spec: ReconSpec) -> DataFrame:
     return requests if "reject_reason" in requests.columns else parse_requests(requests, spec=spec)
 
 
-def requested_paths(valid: DataFrame, per_job: int = PATHS_PER_JOB) -> Iterator[list[str]]:
-    """Distinct dataset paths of valid requests, in blocks; one block is on the driver."""
-    block: list[str] = []
-    for row in valid.select("data_source_path").distinct().orderBy("data_source_path").toLocalIterator():
-        block.append(row[0])
-        if len(block) == per_job:
+def requested_slices(valid: DataFrame, spec: ReconSpec = ReconSpec()) -> DataFrame:
+    """Distinct (data_source_path, partition keys) of valid requests, written:
+    the requests are not parsed again for each use of it."""
+    return written(valid.select("data_source_path", *spec.partition_keys).distinct(), "slices")
+
+
+def slice_blocks(slices: DataFrame, paths: int = PATHS_PER_JOB, per_job: int = SLICES_PER_JOB) -> Iterator[list[Slice]]:
+    """All slices in order, in blocks of at most ``per_job`` slices and ``paths``
+    datasets; one block is on the driver."""
+    block: list[Slice] = []
+    seen: set[str] = set()
+    for row in slices.orderBy(*slices.columns).toLocalIterator():
+        if len(block) == per_job or (row[0] not in seen and len(seen) == paths):
             yield block
-            block = []
+            block, seen = [], set()
+        block.append(tuple(row))
+        seen.add(row[0])
     if block:
         yield block
 
 
+def requested_paths(slices: DataFrame) -> list[str]:
+    """The datasets named by ``requested_slices``; each becomes a branch of the plan."""
+    return sorted(r[0] for r in slices.select("data_source_path").distinct().toLocalIterator())
+
+
 def slice_entries(spark: SparkSession, path: str, slices: DataFrame | Sequence[tuple[str, str]],
                   root: str | None = None, schema: T.StructType | str | None = None,
                   dataset: str = DEFAULT_DATASET, spec: ReconSpec = ReconSpec(),
                   mappings: Mapping[str, DatasetMapping] | None = None) -> DataFrame:
     """Typed, cleaned entries of the requested slices of one dataset, with the
     slice each was read from."""
-    raw = read_slices(spark, path, slices, schema, spec, root)
+    if not isinstance(slices, DataFrame) and not path.startswith(TABLE_PREFIX) and sliced_by(spark, resolve_path(path, root), spec):
+        raw = read_directories(spark, path, existing_of(spark, resolve_path(path, root), slices, spec), schema, spec, root)
+    else:
+        raw = read_slices(spark, path, slices, schema, spec, root)
     keys = dict(zip(spec.partition_keys, present(raw, spec.partition_keys)))
     origin = {SOURCE: F.lit(path), **{k + SLICE_SUFFIX: F.col(a) for k, a in keys.items()}}
     mapped = normalize(raw.limit(0), dataset, spec, mappings).columns
@@ -92,10 +119,6 @@ def reconcile_slices(frames: Sequence[DataFrame], spec: ReconSpec = ReconSpec(),
     return reconcile(union_entries(frames), spec, strategy, within=origin_columns(spec), **options)
 
 
-def wanted_slices(valid: DataFrame, path: str, spec: ReconSpec) -> DataFrame:
-    return valid.where(F.col("data_source_path") == F.lit(path)).select(*spec.partition_keys)
-
-
 def _no_entries(spark, schema, dataset, spec, mappings, strategy) -> DataFrame:
     """The empty result, with the origin columns."""
     empty = normalize(spark.createDataFrame([], schema or LEDGER_SCHEMA), dataset, spec, mappings)
@@ -113,20 +136,20 @@ def reconcile_requested(spark: SparkSession, requests: DataFrame, root: str | No
     ``requests`` holds message bodies (column ``body``) or already parsed
     requests.  Paths are resolved against ``root`` (see ``resolve_path``).
     ``keep_origin`` adds the origin columns.  A dataset that cannot be read raises,
-    or, with a list in ``failed``, is left out and named there.
+    or, with a list in ``failed``, is left out and named there.  One lazy result needs one
+    plan, with a branch for each dataset; ``write_requested`` has no such limit.
     """
-    valid = valid_requests(parsed(requests, spec))
+    slices = requested_slices(valid_requests(parsed(requests, spec)), spec)
     frames = []
-    for paths in requested_paths(valid):
-        for path in paths:
-            try:
-                frames.append(slice_entries(spark, path, wanted_slices(valid, path, spec), root, schema,
-                                            dataset, spec, mappings))
-            except Exception as exc:
-                if failed is None:
-                    raise
-                log.error("dataset %s cannot be read: %s", path, exc)
-                failed.append(path)
+    for path in requested_paths(slices):
+        wanted = slices.where(F.col("data_source_path") == F.lit(path)).select(*spec.partition_keys)
+        try:
+            frames.append(slice_entries(spark, path, wanted, root, schema, dataset, spec, mappings))
+        except Exception as exc:
+            if failed is None:
+                raise
+            log.error("dataset %s cannot be read: %s", path, exc)
+            failed.append(path)
     out = (reconcile_slices(frames, spec, strategy) if frames
            else _no_entries(spark, schema, dataset, spec, mappings, strategy))
     return out if keep_origin else out.drop(*origin_columns(spec))
@@ -161,41 +184,50 @@ def write_requested(spark: SparkSession, valid: DataFrame, write, root: str | No
                     schema: T.StructType | str | None = None, dataset: str = DEFAULT_DATASET,
                     spec: ReconSpec = ReconSpec(), strategy: str = "join",
                     mappings: Mapping[str, DatasetMapping] | None = None,
-                    per_job: int = PATHS_PER_JOB, **options) -> tuple[dict, list[str]]:
-    """Write the result of every requested slice; (summed metrics, failed paths).
+                    per_job: int = PATHS_PER_JOB, slices_per_job: int = SLICES_PER_JOB,
+                    **options) -> tuple[dict, list[Slice]]:
+    """Write the result of every requested slice; (summed metrics, failed slices).
 
     ``write(frame)`` writes reconciled entries with origin columns and returns its
-    metrics.  Datasets are written together in blocks.  One that cannot be planned is
-    left out; when a block fails at run time its halves are written instead, down to the
-    datasets at fault.  Results of different datasets are in different
-    directories, so a second write of one replaces only its own.
+    metrics.  Slices are written together in blocks of at most ``per_job`` datasets and
+    ``slices_per_job`` slices.  When a block cannot be planned or fails at run time
+    its halves are written instead, down to the slices at fault, so a damaged
+    file costs the requests for its own slice and no others; all slices of a dataset
+    that is not there fail at once.  Every slice has its own result
+    directory, so a second write of one replaces only its own.
     """
     total: dict[str, int] = {}
-    failed: list[str] = []
+    failed: list[Slice] = []
 
-    def attempt(planned: list[tuple[str, DataFrame]]) -> None:
-        if not planned:
-            return
+    def planned(block: list[Slice]) -> list[DataFrame]:
+        frames = []
+        for path, part in groupby(block, key=lambda s: s[0]):
+            part = list(part)
+            try:
+                frames.append(slice_entries(spark, path, [s[1:] for s in part], root, schema, dataset, spec, mappings))
+            except MissingDataset as exc:
+                log.error("%s", exc)
+                failed.extend(part)
+        return frames
+
+    def attempt(block: list[Slice]) -> None:
+        before = len(failed)
         try:
-            for k, v in write(reconcile_slices([f for _, f in planned], spec, strategy, **options)).items():
-                total[k] = total.get(k, 0) + v
+            frames = planned(block)
+            if frames:
+                for k, v in write(reconcile_slices(frames, spec, strategy, **options)).items():
+                    total[k] = total.get(k, 0) + v
         except Exception as exc:
-            if len(planned) == 1:
-                log.error("dataset %s failed: %s", planned[0][0], exc)
-                failed.append(planned[0][0])
+            lost = set(failed[before:])
+            block = [s for s in block if s not in lost]
+            if len(block) == 1:
+                log.error("slice %s failed: %s", block[0], exc)
+                failed.extend(block)
                 return
-            half = len(planned) // 2
-            attempt(planned[:half])
-            attempt(planned[half:])
+            half = len(block) // 2
+            attempt(block[:half])
+            attempt(block[half:])
 
-    for paths in requested_paths(valid, per_job):
-        planned = []
-        for path in paths:
-            try:
-                planned.append((path, slice_entries(spark, path, wanted_slices(valid, path, spec), root, schema,
-                                                    dataset, spec, mappings)))
-            except Exception as exc:
-                log.error("dataset %s cannot be read: %s", path, exc)
-                failed.append(path)
-        attempt(planned)
+    for block in slice_blocks(requested_slices(valid, spec), per_job, slices_per_job):
+        attempt(block)
     return total, failed

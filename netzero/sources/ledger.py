@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions import KEY_SEPARATOR, all_present
 from ..spec import ReconSpec
 from .paths import resolve_path
+from .slices import read_directories, sliced_by, wanted_directories
 
 # Ledger contract as written by the fixture and by upstream producers.
 LEDGER_SCHEMA = T.StructType([
@@ -96,17 +97,23 @@ def read_slices(
 ) -> DataFrame:
     """Scan only the requested (company, account) slices of a ledger.
 
-    ``requested`` is a list of pairs or a DataFrame with the two partition
-    key columns.  The distinct pairs become partition-pruning predicates of at
-    most ``block`` pairs each over one relation (one listing), so no request set,
-    however large, scans a slice that was not asked for.  The driver holds the
-    distinct pairs, as it holds the file listing of their directories.  Keys
-    are compared on their raw values, as stored in the directory names.
+    ``requested`` is a DataFrame with the two partition key columns or a list of
+    pairs.  Keys are compared on their raw values, as stored in the directory names.
+
+    A DataFrame may hold any number of slices, existing or not: the scan is over
+    the directories of those that exist (see ``slices``), so the driver holds no
+    more than the ledger has partitions.  A list becomes partition-pruning
+    predicates of at most ``block`` pairs each over one relation (one listing); so
+    does, for a catalog table or a dataset laid out otherwise, the part of a
+    DataFrame that its partitions have.
     """
-    ledger = read_ledger(spark, path, schema, spec, root)
     if isinstance(requested, DataFrame):
+        if not path.startswith(TABLE_PREFIX) and sliced_by(spark, resolve_path(path, root), spec):
+            return read_directories(spark, path, wanted_directories(spark, path, requested, spec, root), schema, spec, root)
         keys = requested.select(*spec.partition_keys).where(all_present(spec.partition_keys)).distinct()
-        requested = sorted((r[0], r[1]) for r in keys.toLocalIterator())
+        there = read_ledger(spark, path, schema, spec, root).select(*spec.partition_keys).distinct()
+        requested = sorted((r[0], r[1]) for r in there.join(keys, spec.partition_keys, "left_semi").toLocalIterator())
+    ledger = read_ledger(spark, path, schema, spec, root)
     pairs = list(dict.fromkeys(requested))
     out = ledger.where(slice_predicate(pairs[:block], spec))
     for at in range(block, len(pairs), block):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def resolve_path(path: str, root: str | None = None) -> str:
@@ -45,3 +45,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """New, unused folder under the shared root for one run of one job."""
     root = shared_root(spark)
     return f"{root.rstrip('/')}/netzero/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back: computed once, and read
+    again rather than recomputed after a lost executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

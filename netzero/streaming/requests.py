@@ -9,8 +9,8 @@ Each micro-batch:
    written in blocks of datasets with dynamic partition overwrite, under
    directories of dataset path and raw slice, so the result of a slice does not
    depend on the batch it came in;
-3. a dataset that cannot be read or written dead-letters its own requests
-   (reason ``source_error``) and no others.
+3. a slice that cannot be read or written dead-letters its own requests
+   (reason ``source_error``) and no others; so does a dataset that is not there.
 
 Delivery is at-least-once (the checkpoint commits a batch after
 ``foreachBatch`` returns).  Replays are harmless: a slice's directory is
@@ -44,7 +44,7 @@ def process_batch(batch: DataFrame, batch_id: int, *, output_path: str, dead_let
     parsed = parse_requests(batch, spec=spec).persist()
     try:
         _, failed = process_requests(batch.sparkSession, parsed, output_path, spec=spec, **options)
-        letters_of(parsed, failed).write.mode("overwrite").parquet(
+        letters_of(parsed, failed, spec).write.mode("overwrite").parquet(
             f"{dead_letter_path.rstrip('/')}/batch_id={batch_id}")
     finally:
         parsed.unpersist()
