@@ -20,6 +20,10 @@ far as both agree.  Runs that then have ``MIN_RUN`` bytes are cut; shorter ones
 phrases, single lines) stay.  Every removed byte has an equal one at a smaller
 (doc_id, position), so one copy of everything is kept.
 
+Rows that a join would drop are mostly held back before its shuffle by a bit filter of
+the other side's keys, of a bounded size; a full filter moves more rows and
+changes nothing.
+
 Edge cases: null and empty texts have no chunks and stay as they are; rows
 with null doc_id are left alone and own nothing; rows repeating a doc_id are
 versions of one document and do not cut each other; extra columns are kept by
@@ -35,10 +39,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import sized_chunks, stored, table
+from .op2_exact_dedup import bit_is_set, filter_bits
 from .op5_suffix import common
 
 MIN_CHUNK = 24
@@ -49,6 +54,7 @@ MIN_RUN = 100
 #: Bytes around a repeated chunk by which a run can grow on either side.
 REACH = 128
 BATCH_CHARS = 1 << 22
+MAX_FILTER_BITS = 1 << 30
 SCAN_BYTES = 1 << 20
 
 #: Gear values by rule: two bytes of the digest of the byte.
@@ -123,6 +129,18 @@ def chunk_table(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, d1 long, d2 long, n int")
 
 
+def let_through(rows: DataFrame, key: Column, keys: DataFrame, max_bits: int = MAX_FILTER_BITS) -> DataFrame:
+    """``rows`` without most of those whose ``key`` (a long) is not in the one
+    column of ``keys``, by a broadcast of at most ``max_bits`` / 8 bytes."""
+    bits = filter_bits(keys.count(), max_bits)
+    at = lambda c: F.pmod(c, F.lit(bits)) + F.lit(1)
+    place = at(F.col(keys.columns[0]))
+    maps = stored(keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_nz_b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_nz_m")), "chunks-filter")
+    found = rows.withColumn("_nz_b", F.bitmap_bucket_number(at(key))).join(F.broadcast(maps), "_nz_b")
+    return found.where(bit_is_set(F.col("_nz_m"), at(key))).drop("_nz_b", "_nz_m")
+
+
 def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, d1, d2, owner): the chunks of every document that occur more
     than once, with the document that owns them."""
@@ -130,7 +148,7 @@ def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     # written, so that the join has two plain shuffle sides and a hot chunk can be split
     again = stored(each.groupBy("d1", "d2").agg(F.sum("n").alias("n"), F.min("doc_id").alias("owner"))
                    .where("n > 1").drop("n"), "chunks-again")
-    return each.drop("n").join(again, ["d1", "d2"])
+    return let_through(each.drop("n"), F.col("d1"), again.select("d1")).join(again, ["d1", "d2"])
 
 
 def runs_of(data: bytes, owners: dict[tuple[int, int], object], doc_id) -> tuple[list[tuple], list[tuple]]:
@@ -180,10 +198,11 @@ EDGES = ("start long, end long, k1 long, b1 long, b2 long, before binary, a1 lon
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, k1, spans): the spans to cut of every text (hash ``k1``) that has any."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    found = repeated_chunks(docs, text, doc_id).groupBy(F.col("doc_id").alias("_nz_id")).agg(
-        F.collect_list(F.struct("d1", "d2", "owner")).alias("chunks"))
+    found = stored(repeated_chunks(docs, text, doc_id).groupBy(F.col("doc_id").alias("_nz_id")).agg(
+        F.collect_list(F.struct("d1", "d2", "owner")).alias("chunks")), "chunks-lists")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("k1", F.xxhash64("text")).join(found, F.col("doc_id") == F.col("_nz_id")).drop("_nz_id")
+    rows = let_through(rows.withColumn("k1", F.xxhash64("text")), F.xxhash64("doc_id"), found.select(F.xxhash64("_nz_id").alias("k")))
+    rows = rows.join(found, F.col("doc_id") == F.col("_nz_id")).drop("_nz_id")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in sized_chunks(frames, "text", BATCH_CHARS):
@@ -198,6 +217,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     edges = stored(rows.select("doc_id", "k1", "text", "chunks").mapInPandas(run, f"doc_id {kind}, owner {kind}, {EDGES}"), "chunks-edges")
     own = edges.where("start IS NULL")
+    # only of chunks at which a run begins or ends
+    runs = edges.where("start IS NOT NULL")
+    asked = runs.select("b1").unionByName(runs.select(F.col("a1").alias("b1"))).distinct()
+    own = let_through(own, F.col("b1"), asked)
     # versions of one document may own a chunk each: one row for every digest
     own = own.groupBy(F.col("b1").alias("d1"), F.col("b2").alias("d2")).agg(F.min(F.struct("before", "after")).alias("o"))
     own = stored(own.select("d1", "d2", "o.before", "o.after"), "chunks-own")
@@ -210,7 +233,6 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     def grow_after(mine: pd.Series, theirs: pd.Series) -> pd.Series:
         return pd.Series([common_after(bytes(a), bytes(b)) for a, b in zip(mine, theirs)], dtype="int64")
 
-    runs = edges.where("start IS NOT NULL")
     left = own.select(F.col("d1").alias("b1"), F.col("d2").alias("b2"), F.col("before").alias("_b"))
     runs = runs.join(left, ["b1", "b2"]).withColumn("start", F.col("start") - grow_before("before", "_b"))
     runs = runs.select("doc_id", "k1", "owner", "start", "end", "a1", "a2", "after")
@@ -247,6 +269,7 @@ def cut_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     found = stored(repeated_spans(docs, text, doc_id).select(F.col("doc_id").alias("_nz_id"), F.col("k1").alias("_nz_k"), F.col("spans").alias("_nz_spans")), "chunks-spans")
     rows = docs.select(F.col(doc_id).alias("_nz_key"), F.coalesce(F.col(text), F.lit("")).alias("_nz_text"),
                        F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("_nz_rest"))
+    rows = let_through(rows, F.xxhash64("_nz_text"), found.select("_nz_k"))
     rows = rows.join(found, (F.col("_nz_key") == F.col("_nz_id")) & (F.xxhash64("_nz_text") == F.col("_nz_k")))
     spans = f"array<struct<start:long,end:long,first_doc_id:{kind}>>"
 
