@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..spec import ROWS_PER_FILE
+from ..spec import ROWS_PER_FILE, TARGET_FILE_SIZE_MB
 
 
 def files_needed(rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
@@ -15,6 +15,13 @@ def files_needed(rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
     return max(1, -(-rows // rows_per_file))
 
 
+def rows_for_size(total_bytes: int, rows: int, target_bytes: int = TARGET_FILE_SIZE_MB * 1024 * 1024,
+                  fallback: int = ROWS_PER_FILE) -> int:
+    """Rows that fill a file of ``target_bytes``, at the bytes a row takes in
+    files written before; ``fallback`` where there are none."""
+    return max(1, target_bytes * rows // total_bytes) if rows and total_bytes else fallback
+
+
 def file_plan(df: DataFrame, partition_by: Sequence[str],
               rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Per output partition: row count and the number of files the sink

@@ -25,6 +25,10 @@ gets a salt from a hash of its own content, partial balances are summed per
 (keys, salt), the group total is attached to each (keys, salt) row (a window
 over at most ``salts`` rows per group) and the entries are joined back on
 (keys, salt), so one hot group is spread over ``salts`` tasks.
+
+``strategy="colocated"`` is for entries bucketed on the keys (see
+``plans.colocated``): aggregate and join-back are on the keys alone, so the
+buckets serve both and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -136,10 +140,16 @@ def reconcile(entries: DataFrame, spec: ReconSpec = ReconSpec(), strategy: str =
             .where(is_zero(spec.balance))
             .select(*keys, _SALT, group_uuid(id_keys).alias(_GID))
         )
+    elif strategy == "colocated":
+        spread = entries
+        balanced = (
+            entries.where(has_keys).groupBy(*keys).agg(F.sum(spec.amount).alias(spec.balance))
+            .where(is_zero(spec.balance)).select(*keys, group_uuid(id_keys).alias(_GID))
+        ).hint("shuffle_hash")  # never a broadcast; the balanced side of a bucket is hashed, entries stream
     else:
-        raise ValueError(f"unknown strategy {strategy!r}; use 'join' or 'salted'")
+        raise ValueError(f"unknown strategy {strategy!r}; use 'join', 'salted' or 'colocated'")
 
     if join_hint:
         balanced = balanced.hint(join_hint)
-    matched = spread.join(balanced, keys + [_SALT], "left")
+    matched = spread.join(balanced, keys if strategy == "colocated" else keys + [_SALT], "left")
     return _finish(matched, spec).select(*keys, *others, spec.status, spec.group_id)

@@ -22,6 +22,7 @@ from ..sources import (LEDGER_SCHEMA, blank_account_ledger_from_tables, ledger_f
 from ..sources.slices import existing_slices, slice_directory
 from ..spec import ReconSpec, output_contracts
 from ..streaming import start_request_stream
+from .colocated import ColocatedLedger, reconcile_colocated, write_colocated
 from .jobs import letters_of, process_requests, request_counts
 from .sink import PART_SUFFIX, write_result
 from .versions import read_current, write_version
@@ -34,6 +35,9 @@ URGENT_ACCOUNT = "1-URGENT"
 # Small file target so that the file plan differs from one file per slice at test scale.
 SMALL_FILE_ROWS = 500
 
+# Buckets of the co-located ledger, few enough for the test tables.
+COLOCATED_BUCKETS = 16
+
 # Written results read back: the contract's schema, partition keys as strings.
 RESULT_SCHEMA = contract_schema()
 TEXT_LEDGER_SCHEMA = T.StructType(
@@ -341,6 +345,35 @@ def q_sink_versions(spark, sf_dir):
     return read_current(spark, out, RESULT_SCHEMA, [c + PART_SUFFIX for c in PARTS]).select(*RESULT_SCHEMA.names)
 
 
+def q_sink_ordered(spark, sf_dir):
+    """Files in order among each other, without directories."""
+    out = scratch_path(spark, "ordered")
+    write_result(reconcile(entries(spark, sf_dir)), out, partition_by=(), rows_per_file=SMALL_FILE_ROWS, ordered_files=True)
+    return read_result(spark, out)
+
+
+def q_sink_measured(spark, sf_dir):
+    """A second write whose files are sized by the bytes of the first one's rows."""
+    out = scratch_path(spark, "measured")
+    result = reconcile(entries(spark, sf_dir))
+    write_result(result.where(F.col("conta_contabil") == F.lit(URGENT_ACCOUNT)), out)
+    write_result(result, out, target_bytes=64 * 1024)
+    return read_result(spark, out)
+
+
+def colocated_ledger(spark: SparkSession, sf_dir: str) -> ColocatedLedger:
+    """The cleaned ledger bucketed on its keys, written once in this session."""
+    root = _written_once(spark, sf_dir, "colocated", lambda path: write_colocated(
+        entries(spark, sf_dir), path.rsplit("/", 1)[-1].replace("-", "_"), COLOCATED_BUCKETS, path))
+    name = root.rsplit("/", 1)[-1].replace("-", "_")
+    return ColocatedLedger(name, f"{name}_spread")
+
+
+def q_reconcile_colocated(spark, sf_dir):
+    """The same rule over a ledger bucketed on the keys: entries are not moved."""
+    return reconcile_colocated(spark, colocated_ledger(spark, sf_dir))
+
+
 # A contract as it would come from a JSON file.
 AUDIT_CONTRACT = {"audit": {
     "columns": ["transactionID", "reconciliation_status", "valor_net", "empresa"],
@@ -440,6 +473,9 @@ QUERIES = {
     "request_slice_results": q_request_slice_results,
     "request_counts": q_request_counts,
     "sink_versions": q_sink_versions,
+    "sink_ordered": q_sink_ordered,
+    "sink_measured": q_sink_measured,
+    "reconcile_colocated": q_reconcile_colocated,
     "sink_blank_keys": q_sink_blank_keys,
     "sink_empty_slice": q_sink_empty_slice,
     "sink_fixed_partitions": q_sink_fixed_partitions,

@@ -304,6 +304,9 @@ WHERE reject_reason IS NULL""",
     "sink_versions": reconciled_over() + f"""
 SELECT {CONTRACT_COLUMNS} FROM reconciled
 WHERE conta_contabil <> '1-URGENT' OR reconciliation_status = 'CONCILIADO'""",
+    "sink_ordered": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "sink_measured": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "reconcile_colocated": RECONCILE,
     "sink_blank_keys": reconciled_over(BLANK_LEDGER, src="blanks") + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
     "sink_empty_slice": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
     "sink_fixed_partitions": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",

@@ -10,6 +10,8 @@ come out well sized, and replaces only the partitions it writes:
 * ``sortWithinPartitions`` on partition columns + contract order, so the
   writer needs no extra sort and each file is ordered by date;
 * ``maxRecordsPerFile`` caps files at the target row count (128 MB / 40 B);
+* optionally, files in order among each other (a range exchange), and files sized
+  by the bytes that rows take in earlier files;
 * dynamic partition overwrite: partitions absent from the result keep their
   earlier files (an empty result writes nothing).
 
@@ -25,8 +27,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import spread_sort
 from ..operators.contract import apply_contract, contract_order
+from ..operators.files import rows_for_size
 from ..sources.ledger import TABLE_PREFIX
+from ..sources.slices import file_system
 from ..spec import DEFAULT_OUTPUT, ROWS_PER_FILE, OutputContract, ReconSpec
 
 PART_SUFFIX = "_part"
@@ -47,11 +52,16 @@ def run_metrics(df: DataFrame, spec: ReconSpec = ReconSpec()) -> list:
 
 
 def layout(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str] = (),
-           num_partitions: int | None = None, coalesce: int | None = None) -> DataFrame:
+           num_partitions: int | None = None, coalesce: int | None = None, ranges: bool = False) -> DataFrame:
     """Distribute and order rows for a partitioned write: exactly
-    ``num_partitions`` tasks (a shuffle), at most ``coalesce`` tasks (none), or an
-    adaptive rebalance."""
+    ``num_partitions`` tasks (a shuffle), at most ``coalesce`` tasks (none), an
+    adaptive rebalance, or, with ``ranges``, a range of the order for each task.
+    Writing tasks name their files by their number, so ranges put the files in order too;
+    a key with very many rows is cut by the range bounds (see ``spread_sort``)."""
     part_cols = list(partition_by)
+    order = part_cols + [c for c in order_by if c not in part_cols]
+    if ranges and order:
+        return spread_sort(df, order)
     if num_partitions:
         out = df.repartition(num_partitions)
     elif coalesce:
@@ -60,7 +70,6 @@ def layout(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str] =
         out = df.hint("rebalance", *part_cols)
     else:
         out = df.hint("rebalance")
-    order = part_cols + [c for c in order_by if c not in part_cols]
     return out.sortWithinPartitions(*order) if order else out
 
 
@@ -76,6 +85,8 @@ def write_result(
     compression: str = "snappy",
     directories: Sequence[str] | None = None,
     contracts: Mapping[str, OutputContract] | None = None,
+    ordered_files: bool = False,
+    target_bytes: int | None = None,
     spec: ReconSpec = ReconSpec(),
 ) -> dict:
     """Write ``df`` under ``path``; returns the observed row counts.
@@ -90,6 +101,10 @@ def write_result(
     bound without a shuffle, instead of the adaptive rebalance.  ``directories``
     names columns of ``df`` (outside the contract) to build the directories from
     instead.  An empty result writes nothing, also without partitions.
+    ``ordered_files`` puts the files of a directory in the contract's order among each other:
+    read by name, they are sorted.  ``target_bytes`` caps files at that size
+    instead of a row count, by the bytes a row takes in the files already under
+    ``path`` (``rows_per_file`` where there are none).
     """
     if directories:
         # columns of the contract, then the directory columns under names of their own
@@ -108,7 +123,9 @@ def write_result(
         part_cols = [c + PART_SUFFIX for c in part_cols]
     if not part_cols and out.isEmpty():
         return dict.fromkeys(METRICS, 0)
-    out = layout(out, part_cols, contract_order(out, schema, contracts), num_partitions, coalesce)
+    if target_bytes is not None and not path.startswith(TABLE_PREFIX):
+        rows_per_file = measured_rows_per_file(df.sparkSession, path, target_bytes, rows_per_file)
+    out = layout(out, part_cols, contract_order(out, schema, contracts), num_partitions, coalesce, ordered_files)
     # observed in the writing (result) stage: Spark applies its accumulator
     # updates once per partition even when map stages are re-run after a loss
     obs = Observation(f"netzero_write_{uuid.uuid4().hex[:12]}")  # unique per write
@@ -134,6 +151,22 @@ def write_result(
     return observed(obs, out)
 
 
+def measured_rows_per_file(spark: SparkSession, path: str, target_bytes: int, fallback: int = ROWS_PER_FILE) -> int:
+    """Rows for a file of ``target_bytes``, from sizes and footers of the files under
+    ``path``: their bytes come from the listing, their rows are counted without
+    reading a column."""
+    fs, to = file_system(spark, path)
+    if not fs.exists(to(path)):
+        return fallback
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path))
+    total = files.agg(F.sum("length")).first()[0]
+    if not total:
+        return fallback
+    rows = (spark.read.schema("_nz_none string").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+            .parquet(path).select(F.count(F.lit(1))).first()[0])
+    return rows_for_size(total, rows, target_bytes, fallback)
+
+
 def slice_counts(spark: SparkSession, path: str, directories: Sequence[str]) -> DataFrame:
     """(directories, rows) of a written result.  No column of the files is read:
     the scan takes the row counts from their footers."""

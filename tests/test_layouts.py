@@ -1,0 +1,123 @@
+"""Layouts: co-located ledgers, files in order, files sized by measured bytes."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from netzero.operators import normalize, reconcile, rows_for_size
+from netzero.plans.catalog import RESULT_SCHEMA
+from netzero.plans.colocated import reconcile_bucketed, reconcile_colocated, write_colocated
+from netzero.plans.sink import measured_rows_per_file, write_result
+from netzero.sources import ledger_from_tables
+from netzero.spec import ROWS_PER_FILE
+
+from .conftest import SF_SMALL
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+@pytest.fixture()
+def entries(spark):
+    """The ledger, a transaction with a third of all rows, and null keys."""
+    ledger = normalize(ledger_from_tables(spark, SF_SMALL))
+    n = ledger.count()
+    hot = spark.range(n // 2).select(
+        F.lit("HOT").alias("empresa"), F.when(F.col("id") % 2 == 0, 1).otherwise(-1).cast("decimal(18,2)").alias("valor_net"),
+        F.lit(None).cast("date").alias("data_contabil"), F.lit("1").alias("conta_contabil"), F.lit("H").alias("transactionID"))
+    return ledger.unionByName(hot).unionByName(hot.limit(50).withColumn("empresa", F.lit(None).cast("string")))
+
+
+@pytest.fixture()
+def colocated(spark, scratch, entries):
+    path = scratch("colocated")
+    ledger = write_colocated(entries, "nz_" + path.rsplit("-", 1)[-1], 8, path)
+    yield ledger
+    for t in (ledger.bucketed, ledger.spread):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_colocated_ledger_is_not_shuffled(spark, entries, colocated):
+    # as on large data: no side is small enough for a broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = reconcile_bucketed(spark, colocated)
+        out.collect()
+        assert "Exchange" not in plan_of(out) and "ShuffledHashJoin" in plan_of(out)
+        assert rows(reconcile_colocated(spark, colocated)) == rows(reconcile(entries))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_hot_groups_and_null_keys_stay_out_of_the_buckets(spark, entries, colocated):
+    cold, spread = spark.table(colocated.bucketed), spark.table(colocated.spread)
+    assert cold.count() + spread.count() == entries.count()
+    keys = ["empresa", "conta_contabil", "transactionID"]
+    limit = int(entries.count() / 8 * 0.25)
+    assert max(r["count"] for r in cold.groupBy(*keys).count().collect()) <= limit
+    assert cold.where(" or ".join(f"{k} is null" for k in keys)).count() == 0
+    assert spread.where("transactionID = 'H'").count() > limit
+    hot = reconcile_colocated(spark, colocated).where("empresa = 'HOT'").select("reconciliation_status").distinct().collect()
+    assert len(hot) == 1
+
+
+def test_empty_ledger(spark, scratch, entries):
+    path = scratch("colocated")
+    name = "nz_" + path.rsplit("-", 1)[-1]
+    ledger = write_colocated(entries.where("false"), name, 4, path)
+    assert reconcile_colocated(spark, ledger).count() == 0
+    spark.sql(f"DROP TABLE {ledger.bucketed}")
+    spark.sql(f"DROP TABLE {ledger.spread}")
+
+
+def test_files_are_in_order(spark, scratch, entries):
+    """Read by name, the files of a directory are sorted; a date with a third of the rows is in several."""
+    order = ["empresa", "conta_contabil", "data_contabil"]
+    out = scratch("ordered")
+    write_result(reconcile(entries), out, partition_by=(), rows_per_file=500, ordered_files=True)
+    seen, hot = [], 0
+    for f in sorted(glob.glob(f"{out}/*.parquet")):
+        part = [tuple(r[c] or "" for c in order) for r in spark.read.schema(RESULT_SCHEMA).parquet(f).collect()]
+        hot += any(r[0] == "HOT" for r in part)
+        seen += part
+    assert seen == sorted(seen) and len(seen) == entries.count() and hot > 2
+
+    out = scratch("ordered")
+    write_result(reconcile(entries), out, rows_per_file=100, ordered_files=True)
+    for d in glob.glob(f"{out}/*/*"):
+        seen = [r.data_contabil or "" for f in sorted(glob.glob(f"{d}/*.parquet"))
+                for r in spark.read.schema(RESULT_SCHEMA).parquet(f).collect()]
+        assert seen == sorted(seen)
+
+
+@pytest.mark.parametrize("width", [1, 12])
+def test_files_are_sized_by_measured_bytes(spark, scratch, width):
+    """Narrow and wide rows: files within 20 % of the target."""
+    text = F.concat(*[F.sha2(F.concat_ws("-", F.col("id"), F.lit(i)), 256) for i in range(width)])
+    made = spark.range(60_000 // width).select(
+        F.lit("A").alias("empresa"), F.lit("1").alias("conta_contabil"), F.lit("2024-01-01").alias("data_contabil"),
+        text.alias("transactionID"), F.lit("1.00").cast("decimal(18,2)").alias("valor_net"),
+        F.lit("PENDENTE").alias("reconciliation_status"), F.lit(None).cast("string").alias("conciliation_id"))
+    out, target = scratch("sized"), 400_000
+    assert measured_rows_per_file(spark, out, target) == ROWS_PER_FILE  # nothing to measure yet
+    write_result(made.limit(20_000 // width), out, coalesce=1, target_bytes=target)
+    assert len(glob.glob(f"{out}/*/*/*.parquet")) == 1
+    write_result(made, out, coalesce=1, target_bytes=target)
+    sizes = sorted(map(os.path.getsize, glob.glob(f"{out}/*/*/*.parquet")))[1:]  # but the last
+    assert len(sizes) >= 4 and all(abs(s - target) < 0.2 * target for s in sizes)
+
+
+def test_rows_for_size():
+    assert rows_for_size(0, 0) == rows_for_size(10, 0) == ROWS_PER_FILE
+    assert rows_for_size(4000, 100, 1000) == 25 and rows_for_size(10 ** 12, 1, 1000) == 1
