@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 
 from .plans.jobs import reconcile_dataset, reconcile_request_log
 from .session import shuffle_partitions_for, tune
-from .sources.store import s3a_settings
+from .sources.store import parquet_settings, s3a_settings
 from .spec import DEFAULT_OUTPUT, ROWS_PER_FILE, dataset_mappings, output_contracts
 from .streaming import start_request_stream
 
@@ -39,6 +39,9 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--num-partitions", type=int, default=None, help="exact number of writing tasks")
         p.add_argument("--coalesce", type=int, default=None, help="most writing tasks, without a shuffle")
         p.add_argument("--salt-column", action="append", default=None, help="entry id columns (repeatable)")
+        p.add_argument("--ordered-files", action="store_true", help="files of a directory sorted among each other")
+        p.add_argument("--target-mb", type=int, default=None,
+                       help="file size by the bytes of earlier files, instead of --rows-per-file")
         p.add_argument("--s3-endpoint", default=None, help="S3-compatible object store")
         p.add_argument("--input-bytes", type=int, default=None,
                        help="ledger size; sizes the initial shuffle partition count")
@@ -49,6 +52,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             p.add_argument("--dead-letters", required=True)
             p.add_argument("--root", default=None, help="base for relative dataset paths")
+            p.add_argument("--versioned", action="store_true", help="replace slices by versions, with one rename")
         if name == "requests":
             p.add_argument("--requests", required=True)
         if name == "stream":
@@ -64,6 +68,7 @@ def main(argv: list[str] | None = None) -> int:
 
     parts = shuffle_partitions_for(args.input_bytes) if args.input_bytes else None
     builder = SparkSession.builder.appName(f"netzero-{args.mode}")
+    builder = builder.config(map=parquet_settings(args.compression))  # also for dead letters and intermediates
     if args.s3_endpoint:
         builder = builder.config(map=s3a_settings(args.s3_endpoint))
     spark = tune(builder.getOrCreate(),
@@ -74,8 +79,11 @@ def main(argv: list[str] | None = None) -> int:
         "output_schema": args.output_schema,
         "contracts": output_contracts(args.contracts) if args.contracts else None,
         "compression": args.compression, "num_partitions": args.num_partitions, "coalesce": args.coalesce,
-        "salt_columns": args.salt_column,
+        "salt_columns": args.salt_column, "ordered_files": args.ordered_files,
+        "target_bytes": args.target_mb and args.target_mb * 1024 * 1024,
     }
+    if args.mode != "ledger":
+        common["versioned"] = args.versioned
     if args.mode == "ledger":
         m = reconcile_dataset(spark, args.source, args.output,
                               copy_partition_columns=not args.keys_in_directories, **common)

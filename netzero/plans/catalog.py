@@ -8,6 +8,7 @@ the cluster's shared checkpoint dir and return a DataFrame reading them back.
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from ..operators import (apply_contract, contract_schema, file_plan, normalize,
 from ..sources import (LEDGER_SCHEMA, blank_account_ledger_from_tables, ledger_from_tables, read_ledger, read_slices,
                        requests_from_tables, scratch_path, spelled_ledger_from_tables, table, text_ledger_from_tables)
 from ..sources.slices import existing_slices, slice_directory
-from ..spec import ReconSpec, output_contracts
+from ..spec import ReconSpec, dataset_mappings, output_contracts
 from ..streaming import start_request_stream
 from .colocated import ColocatedLedger, reconcile_colocated, write_colocated
 from .jobs import letters_of, process_requests, request_counts
@@ -386,6 +387,28 @@ def q_custom_contract(spark, sf_dir):
     return apply_contract(reconcile(entries(spark, sf_dir)), "audit", output_contracts(AUDIT_CONTRACT), sort=False)
 
 
+def written_config(spark: SparkSession, name: str, config: dict) -> str:
+    """A JSON config in the shared folder, as a deployment would keep it beside its data."""
+    path = scratch_path(spark, name)
+    spark.createDataFrame([(json.dumps(config, indent=1),)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def q_config_files(spark, sf_dir):
+    """Mapping and output contract read from JSON files: a dataset of payments with
+    its own columns, one of them not in the data, written under another contract."""
+    mappings = dataset_mappings(written_config(spark, "mappings", {
+        "pagamentos": {"columns": ["transactionID", "valor_net", "data_pagamento", "data_contabil", "EMPRESA"], "order_by": ["data_contabil"]}}))
+    contracts = output_contracts(written_config(spark, "contracts", {"payments": {
+        "columns": ["empresa", "transactionID", "valor_net", "data_contabil"],
+        "types": {"empresa": "string", "valor_net": "decimal", "data_contabil": "string"}, "order_by": ["empresa", "data_contabil"]}}))
+    paid = normalize(raw_ledger(spark, sf_dir), "pagamentos", mappings=mappings).where("valor_net < 0")
+    out = scratch_path(spark, "payments")
+    write_result(paid, out, "payments", contracts=contracts, partition_by=["empresa"])
+    schema = "empresa string, transactionID string, valor_net decimal(18,2), data_contabil string"
+    return spark.read.schema(schema).parquet(out).select("empresa", "transactionID", "valor_net", "data_contabil")
+
+
 # --- streaming ---------------------------------------------------------------
 
 def written_inbox(spark: SparkSession, sf_dir: str) -> str:
@@ -480,5 +503,6 @@ QUERIES = {
     "sink_empty_slice": q_sink_empty_slice,
     "sink_fixed_partitions": q_sink_fixed_partitions,
     "custom_contract": q_custom_contract,
+    "config_files": q_config_files,
     "stream_two_sources": q_stream_two_sources,
 }

@@ -310,6 +310,9 @@ WHERE conta_contabil <> '1-URGENT' OR reconciliation_status = 'CONCILIADO'""",
     "sink_blank_keys": reconciled_over(BLANK_LEDGER, src="blanks") + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
     "sink_empty_slice": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
     "sink_fixed_partitions": reconciled_over() + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
+    "config_files": with_ctes(LEDGER_K, LEDGER, ENTRIES.format(src="ledger")) + """
+SELECT empresa, "transactionID", valor_net, cast(data_contabil AS varchar) AS data_contabil
+FROM entries WHERE valor_net < 0""",
     "custom_contract": reconciled_over() + """
 SELECT "transactionID", reconciliation_status, cast(valor_net AS decimal(20,4)) AS valor_net, empresa
 FROM reconciled""",

@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import json
 import logging
+import os
 from dataclasses import dataclass, field
 from typing import Any, Mapping
 
+from pyspark.sql import SparkSession
+
 log = logging.getLogger("netzero")
 
 # --- Fixed values: names, labels and sizes that results must agree on ---------
@@ -21,6 +24,8 @@ DEFAULT_DATASETS: dict[str, dict[str, list[str]]] = {
         "columns": ["empresa", "valor_net", "data_contabil", "conta_contabil", "transactionID"],
         "order_by": ["empresa", "conta_contabil", "data_contabil"],
     },
+    "clientes": {"columns": ["cliente_id", "nome", "idade", "sexo"]},
+    "pagamentos": {"columns": ["pagamento_id", "id_lancamento", "valor_pago", "data_pagamento"]},
 }
 # Output contract (columns, types, sort order per schema name).
 DEFAULT_OUTPUTS: dict[str, dict[str, Any]] = {
@@ -116,8 +121,14 @@ class OutputContract:
 
 
 def load_json(path: str) -> dict[str, Any]:
-    """Read a JSON config file; failures are logged and re-raised."""
+    """Read a JSON config file, local or (a URI, or a folder written by Spark) in a
+    store that Spark reads; failures are logged and re-raised."""
     try:
+        if "://" in path or path.startswith("file:") or os.path.isdir(path):
+            spark = SparkSession.getActiveSession()
+            if spark is None:
+                raise RuntimeError("a config in a store needs a session")
+            return json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
         with open(path, encoding="utf-8") as fh:
             return json.load(fh)
     except Exception:

@@ -43,6 +43,22 @@ def test_mapping_from_json_file(tmp_path, spark):
         load_json(str(tmp_path / "absent.json"))
 
 
+def test_config_from_a_store(spark, scratch, tmp_path):
+    """A config folder written by Spark, a file by URI, and the default mappings."""
+    from netzero.plans.catalog import written_config
+
+    cfg = {"a": {"columns": ["x", "é"], "order_by": ["x"]}}
+    assert load_json(written_config(spark, "config", cfg)) == cfg
+    path = tmp_path / "config.json"
+    path.write_text(json.dumps(cfg, indent=2), encoding="utf-8")
+    assert load_json(f"file://{path}") == cfg
+    with pytest.raises(Exception):
+        load_json(f"file://{tmp_path}/absent.json")
+    assert set(dataset_mappings()) == {"lancamentos_cj", "clientes", "pagamentos"}
+    df = spark.createDataFrame([(1, "n", 3)], "cliente_id int, nome string, z int")
+    assert project(df, "clientes").columns == ["cliente_id", "nome"]
+
+
 def test_contract_with_ddl_type(spark):
     contracts = output_contracts({"x": {"columns": ["a", "b"], "types": {"a": "int", "b": "decimal"}}})
     df = spark.createDataFrame([("7", "1.239")], "a string, b string")
