@@ -3,8 +3,6 @@ from __future__ import annotations
 import math
 import re
 
-import pytest
-
 from netzero.llm import op6_mixing as m
 
 from .common import edge_docs, edge_rows, empty_docs, read
@@ -52,12 +50,48 @@ def test_query(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, m.op6_mixing(spark, SF).collect()))
 
 
-@pytest.mark.parametrize("ratio", [0.01, 1.0, 1.9999])
-def test_newton_meets_the_targets(spark, ratio):
-    cells = spark.createDataFrame([("v1", 3, 10), ("v1", 7, 5), ("v2", 5, 4)], "_nz_s string, _nz_size long, _nz_n long")
-    t = spark.createDataFrame([("v1", 65, 65 * ratio), ("v2", 20, 0.0)], "_nz_s string, _nz_total long, _nz_target double")
+def solved(cells, target, cap=2.0):
+    """Multiplier of one source by plain bisection: cells are (size, rows)."""
+    mean = sum(s * n for s, n in cells) / sum(n for _, n in cells)
+    tokens = lambda x: sum(s * n * min(cap, math.exp(min(x * s / mean, 1))) for s, n in cells)
+    low, high = -1e6, 1e6
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if tokens(mid) < target else (low, mid)
+    return high, tokens
+
+
+CELLS = [(3, 10), (7, 5), (900, 2), (0, 3)]
+
+
+def test_newton_meets_the_targets(spark):
+    """Many sources at once, from almost nothing to every document at the bound."""
+    ratios = [0.0, 0.0001, 0.01, 0.5, 1.0, 1.3, 1.9999, 2.0]
+    total = sum(s * n for s, n in CELLS)
+    cells = spark.createDataFrame([(f"v{r}", s, n) for r in ratios for s, n in CELLS], "_nz_s string, _nz_size long, _nz_n long")
+    t = spark.createDataFrame([(f"v{r}", total, total * r) for r in ratios], "_nz_s string, _nz_total long, _nz_target double")
     got = {r["_nz_s"]: r["_nz_lambda"] for r in m.newton(cells, t).collect()}
-    assert math.isclose(math.exp(got["v1"]), ratio, rel_tol=1e-9) and got["v2"] is None
+    assert got.pop("v0.0") is None
+    for r in ratios[1:]:
+        want, tokens = solved(CELLS, total * r)
+        assert math.isclose(tokens(got[f"v{r}"]), total * r, rel_tol=1e-6)
+        assert r in (1.0, 2.0) or math.isclose(got[f"v{r}"], want, rel_tol=1e-4)
+
+
+def test_rates_are_tilted_by_size(spark):
+    """Of a source that gives up tokens, long documents go first; of one that repeats, they come first."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "CASE WHEN id % 20 = 0 THEN 'b' ELSE 'a' END AS source",
+                                        "CAST(IF(id % 3 = 0, 20, IF(id % 3 = 1, 200, 1000)) AS LONG) AS size")
+    rows = m.mix(docs, "size").selectExpr("*", "copies * size AS taken").collect()
+    check(rows, 0.01)
+    for source in ("a", "b"):
+        mine = [r for r in rows if r.source == source]
+        mean = [sum(r.copies for r in mine if r["size"] == n) / sum(r["size"] == n for r in mine) for n in (20, 200, 1000)]
+        ratio = mine[0].target / mine[0].source_size
+        cells = [(n, sum(r["size"] == n for r in mine)) for n in (20, 200, 1000)]
+        x, _ = solved(cells, mine[0].target)
+        average = sum(s * n for s, n in cells) / len(mine)
+        assert all(abs(k - min(2.0, math.exp(min(x * n / average, 1)))) < 0.05 for k, n in zip(mean, (20, 200, 1000))), (ratio, mean)
 
 
 def test_hot_cell_is_cut_evenly(spark):
@@ -76,11 +110,3 @@ def test_edge_cases(spark):
     assert mixed.count() == sum(r.copies for r in m.mix(docs.withColumn("size", m.word_count()), "size").collect())
     assert m.mix(empty_docs(spark), "size").count() == 0
     assert m.mixed_documents(edge_docs(spark, [edge_rows()[4]])).count() in (0, 1)  # only an empty text
-
-
-def test_multipliers_are_the_closed_form(spark):
-    cells = spark.createDataFrame([("va", 10, 30), ("va", 3, 7), ("vb", 50, 9), ("n", 1, 400)], "_nz_s string, _nz_size long, _nz_n long")
-    targets = m.source_targets(cells)
-    for r in m.newton(cells, targets).collect():
-        assert math.isclose(r._nz_lambda, math.log(r._nz_target / r._nz_total), abs_tol=1e-9)
-    assert "ln(target / total)" in m.__doc__  # stated

@@ -54,5 +54,5 @@ def test_stages_on_edge_cases(spark):
 def test_registered():
     names = set(entry.queries())
     assert set(registry.QUERIES) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 14))
     assert set(registry.SQL) <= set(registry.QUERIES)
