@@ -22,7 +22,7 @@ from ..sources import (LEDGER_SCHEMA, blank_account_ledger_from_tables, ledger_f
                        requests_from_tables, scratch_path, spelled_ledger_from_tables, table, text_ledger_from_tables)
 from ..sources.slices import existing_slices, slice_directory
 from ..spec import ReconSpec, dataset_mappings, output_contracts
-from ..streaming import start_request_stream
+from ..streaming import publish_requests, start_request_stream
 from .colocated import ColocatedLedger, reconcile_colocated, write_colocated
 from .jobs import letters_of, process_requests, request_counts
 from .sink import PART_SUFFIX, write_result
@@ -461,6 +461,27 @@ def q_stream_two_sources(spark, sf_dir):
     return read_result(spark, f"{base}/results", SOURCE)
 
 
+# Messages in flight in ``stream_messages``.
+IN_FLIGHT = 9
+
+
+def q_stream_messages(spark, sf_dir):
+    """One message a file, a bounded number of them in flight: a request for every
+    slice, derived from the directories of the ledger, and one for a slice that is not there."""
+    base = scratch_path(spark, "messages")
+    root = written_ledger(spark, sf_dir)
+    slices = existing_slices(spark, "ledger", root=root)
+    slices = slices.unionByName(slices.limit(1).withColumn("conta_contabil", F.lit("absent")))
+    data = F.struct("empresa", "conta_contabil", F.lit("ledger").alias("data_source_path"))
+    publish_requests(slices.select(F.to_json(F.struct(data.alias("data"))).alias("body")), f"{base}/inbox")
+    q = start_request_stream(spark, f"{base}/inbox", f"{base}/results", f"{base}/dead_letters", f"{base}/_checkpoint",
+                             max_files_per_trigger=IN_FLIGHT, available_now=True, root=root, schema=LEDGER_SCHEMA)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_result(spark, f"{base}/results")
+
+
 def q_stream_dead_letters(spark, sf_dir):
     _, letters = run_request_stream(spark, sf_dir)
     return spark.read.schema(DEAD_LETTER_SCHEMA).parquet(letters).select("partition_id", "reject_reason")
@@ -505,4 +526,5 @@ QUERIES = {
     "custom_contract": q_custom_contract,
     "config_files": q_config_files,
     "stream_two_sources": q_stream_two_sources,
+    "stream_messages": q_stream_messages,
 }

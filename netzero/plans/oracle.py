@@ -316,6 +316,8 @@ FROM entries WHERE valor_net < 0""",
     "custom_contract": reconciled_over() + """
 SELECT "transactionID", reconciliation_status, cast(valor_net AS decimal(20,4)) AS valor_net, empresa
 FROM reconciled""",
+    "stream_messages": requested_over("wanted AS (SELECT 'ledger' AS request_source, * FROM ledger)", src="wanted")
+    + f"SELECT {CONTRACT_COLUMNS} FROM reconciled",
     "stream_two_sources": requested_over(
         requests((RAW_COMPANY, "ledger"), (RAW_COMPANY, "copy")), sourced("wanted_a", "ledger", "ledger"),
         sourced("wanted_b", "copy", "ledger", "l.conta_contabil = '1-URGENT'"),

@@ -1,5 +1,5 @@
 """Streaming: request consumer with dead letters (Structured Streaming)."""
 
-from .requests import REASON_SOURCE_ERROR, process_batch, request_source, start_request_stream
+from .requests import REASON_SOURCE_ERROR, process_batch, publish_requests, request_source, start_request_stream
 
-__all__ = ["REASON_SOURCE_ERROR", "process_batch", "request_source", "start_request_stream"]
+__all__ = ["REASON_SOURCE_ERROR", "process_batch", "publish_requests", "request_source", "start_request_stream"]

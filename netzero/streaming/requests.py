@@ -16,7 +16,9 @@ Delivery is at-least-once (the checkpoint commits a batch after
 ``foreachBatch`` returns).  Replays are harmless: a slice's directory is
 overwritten with the same rows, and the dead letters of a batch are one folder
 ``batch_id=N``, replaced as a whole, also by none.
-Back-pressure is ``maxFilesPerTrigger`` (``maxOffsetsPerTrigger`` on Kafka).
+Back-pressure is ``maxFilesPerTrigger`` (``maxOffsetsPerTrigger`` on Kafka).  With
+``publish_requests`` a file holds one message, so files per trigger are messages in
+flight: with one, every message is committed, and replayed, on its own.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from ..operators import parse_requests
 from ..plans.jobs import REASON_SOURCE_ERROR, letters_of, process_requests
 from ..spec import ReconSpec
 
-__all__ = ["REASON_SOURCE_ERROR", "process_batch", "request_source", "start_request_stream"]
+__all__ = ["REASON_SOURCE_ERROR", "process_batch", "publish_requests", "request_source", "start_request_stream"]
 
 # Offsets of a Kafka micro-batch unless the caller says otherwise.
 KAFKA_OFFSETS_PER_TRIGGER = 1000
@@ -81,6 +83,14 @@ def request_source(spark: SparkSession, source: str | None = None, *, source_for
             .withColumnRenamed("value", "body"))
 
 
+def publish_requests(requests: DataFrame, inbox: str, per_file: int = 1) -> None:
+    """Add request bodies (column ``body``) to an inbox, ``per_file`` messages to a
+    file.  Files appear whole; the stream commits and replays by file."""
+    # line ends stand between the tokens of a JSON text, never inside its strings
+    lines = requests.where(F.col("body").isNotNull()).select(F.translate("body", "\r\n", "  ").alias("value"))
+    lines.write.mode("append").option("maxRecordsPerFile", per_file).text(inbox)
+
+
 def start_request_stream(spark: SparkSession, source_dir: str | None, output_path: str,
                          dead_letter_path: str, checkpoint: str, *,
                          max_files_per_trigger: int | None = None, available_now: bool = False,

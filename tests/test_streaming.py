@@ -114,6 +114,40 @@ def test_replay_after_failure_is_idempotent(spark, scratch):
     assert spark.read.schema(DEAD_LETTER_SCHEMA).parquet(f"{base}/dlq").count() == 1
 
 
+def test_messages_are_committed_one_by_one(spark, scratch):
+    """One message in flight: after a failure only the message at hand is replayed."""
+    from netzero.streaming import process_batch, publish_requests, request_source
+
+    root, base = scratch("one-src"), scratch("one")
+    ledger_from_tables(spark, SF_SMALL).where("conta_contabil = '2-HIGH'") \
+        .write.partitionBy("empresa", "conta_contabil").parquet(f"{root}/ledger")
+    names = [" building ", " machinery ", " household ", " furniture "]
+    bodies = [json.dumps(json.loads(req(e, "2-HIGH", "ledger")), indent=1) for e in names]  # line ends inside
+    publish_requests(spark.createDataFrame([(b,) for b in [*bodies, None]], "body string").coalesce(1), f"{base}/inbox")
+    seen = []
+
+    def handle(batch, batch_id):
+        (row,) = batch.collect()
+        seen.append(json.loads(row.body)["data"]["empresa"])
+        process_batch(batch, batch_id, output_path=f"{base}/out", dead_letter_path=f"{base}/dlq", root=root)
+        if len(seen) == 3:
+            raise RuntimeError("lost after the write")
+
+    for _ in range(2):
+        q = (request_source(spark, f"{base}/inbox").writeStream.foreachBatch(handle)
+             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
+        try:
+            q.awaitTermination()
+        except Exception:
+            pass
+    assert q.exception() is None
+    assert len(seen) == 5 and seen[2] == seen[3] and sorted(set(seen)) == sorted(names)
+    expected = ledger_from_tables(spark, SF_SMALL).where("conta_contabil = '2-HIGH'").where(
+        "empresa in (' building ', ' machinery ', ' household ', ' furniture ')").count()
+    assert spark.read.schema(RESULT_SCHEMA).parquet(f"{base}/out").count() == expected
+    assert spark.read.schema(DEAD_LETTER_SCHEMA).parquet(f"{base}/dlq").count() == 0
+
+
 def test_shared_partitions_and_corrupt_dataset(spark, scratch):
     """Two datasets with the same (company, account) in one batch: both land in
     the output.  A dataset whose file is corrupt fails only at run time: it is
