@@ -274,5 +274,17 @@ def archive_and_index(pages: DataFrame, path: str, **options) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive_and_index(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                        "urlkey", "timestamp", "merge_range", "merge_pos")
+    # the places in the merged index depend on the sampled ranges: the same order, other numbers on another cluster
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Base32 in SQL: each five hexadecimal digits of the SHA-1 are four characters.
+_DIGEST_SQL = "array_to_string(list_transform(range(8), lambda i: " + " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(sha1(h), CAST(5 * i + 1 AS INTEGER), 5) AS INTEGER) >> {b}) & 31) + 1, 1)"
+    for b in (15, 10, 5, 0)) + "), '')"
+ORACLE = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, {_DIGEST_SQL} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p
+"""

@@ -23,6 +23,7 @@ QUERIES = {
 
 SQL = {
     "op2_exact_dedup": op2_exact_dedup.ORACLE,
+    "op8_warc": op8_warc.ORACLE,
     "op11_centroids": op11_centroids.ORACLE,
     "op12_lexical": op12_lexical.ORACLE,
     "op13_topk": op13_topk.ORACLE,

@@ -77,3 +77,16 @@ def test_query(spark):
     pages = [(r.page_id, r.url, r.html) for r in read(spark, SF, "pages").collect()]
     out = m.op8_warc(spark, SF).collect()
     assert sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in out) == rows_of(pages)
+
+
+def test_sql_on_revisits(spark, tmp_path):
+    """The test table holds no equal payloads; here most are."""
+    import duckdb
+
+    rows = [(i, f"http://a.example/{i}", None if i % 7 == 0 else f"<p>é{i % 5}</p>" * (i % 5)) for i in range(60)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = con.sql(m.ORACLE).fetchall()
+    got = [tuple(r) for r in m.op8_warc(spark, str(tmp_path)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and sum(r[3] == "revisit" for r in got) > 40
