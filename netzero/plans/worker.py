@@ -218,6 +218,8 @@ def write_requested(spark: SparkSession, valid: DataFrame, write, root: str | No
                 for k, v in write(reconcile_slices(frames, spec, strategy, **options)).items():
                     total[k] = total.get(k, 0) + v
         except Exception as exc:
+            if spark.sparkContext._jsc.sc().isStopped():
+                raise  # no fault of a slice
             lost = set(failed[before:])
             block = [s for s in block if s not in lost]
             if len(block) == 1:
