@@ -11,7 +11,7 @@ line item of the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Order keys divisible by this carry a null transaction key.
@@ -54,54 +54,44 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ledger entries: empresa, conta_contabil, transactionID,
     data_contabil (date), valor_net (decimal(18,2)), cliente_nome.
 
-    Debits: line items joined with orders on the order key.  Credits: line
-    items pre-aggregated per order, then joined with orders.  The two
-    branches are unioned and joined to customers once.
+    The line items are moved once, by order: the sums of an order's lines stand
+    beside each line, and its credit comes with one of them.  Orders carry their
+    customer's columns into the join, so what is moved for the customer is a
+    row for each order, not one for each entry.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_extendedprice", "l_linestatus", "l_shipdate")
+        "l_orderkey", "l_extendedprice", "l_linestatus", F.col("l_shipdate").cast("date").alias("_day"),
+    ).where(F.col("l_orderkey").isNotNull())
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.col("o_orderdate").cast("date").alias("o_orderdate"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    buyers = orders.join(cust, orders.o_custkey == cust.c_custkey).drop("o_custkey", "c_custkey")
 
-    lines = li.join(orders, li.l_orderkey == orders.o_orderkey)
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-
-    debits = lines.select(
-        "o_orderkey", "o_custkey", "o_orderpriority",
-        F.col("l_shipdate").cast("date").alias("data_contabil"),
-        price.alias("valor_net"),
-        F.lit("t").alias("_prefix"), F.lit("").alias("_suffix"),
-    )
-    # Credits: line items are first summed per order (all lines, and lines
-    # with status F) — one row per order, already partitioned on the join key
-    # — so this branch joins a fraction of the rows.  F orders are paid in
-    # full, P orders for their F lines; an order with nothing paid has none.
-    per_order = li.groupBy("l_orderkey").agg(
-        F.sum(price).alias("all_lines"),
-        F.sum(F.when(F.col("l_linestatus") == "F", price)).alias("f_lines"))
-    paid = (F.when(F.col("o_orderstatus") == "F", F.col("all_lines"))
-            .when(F.col("o_orderstatus") == "P", F.col("f_lines")))
-    credits = (
-        per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
-        .where(paid.isNotNull())
-        .select(
-            "o_orderkey", "o_custkey", "o_orderpriority",
-            F.col("o_orderdate").cast("date").alias("data_contabil"),
-            (-paid).cast("decimal(18,2)").alias("valor_net"),
-            F.lit("T").alias("_prefix"), F.lit(" ").alias("_suffix"),
-        )
-    )
-    entries = debits.unionByName(credits)
+    order = Window.partitionBy("l_orderkey")
+    lines = li.select(
+        "l_orderkey", "_day", price.alias("_price"),
+        F.sum(price).over(order).alias("_all_lines"),
+        F.sum(F.when(F.col("l_linestatus") == "F", price)).over(order).alias("_f_lines"),
+        F.row_number().over(order.orderBy("l_orderkey")).alias("_line"))
+    # F orders are paid in full, P orders for their F lines; an order with nothing
+    # paid has no credit.
+    paid = (F.when(F.col("o_orderstatus") == "F", F.col("_all_lines"))
+            .when(F.col("o_orderstatus") == "P", F.col("_f_lines")))
+    kinds = F.when((F.col("_line") == 1) & paid.isNotNull(), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    entries = lines.join(buyers, lines.l_orderkey == buyers.o_orderkey).select("*", F.explode(kinds).alias("_credit"))
+
+    is_credit = F.col("_credit")
+    prefix, suffix = F.when(is_credit, F.lit("T")).otherwise(F.lit("t")), F.when(is_credit, F.lit(" ")).otherwise(F.lit(""))
     txn = F.when(
         F.col("o_orderkey") % NULL_KEY_EVERY == 0, F.lit(None).cast("string")
-    ).otherwise(F.concat(F.col("_prefix"), F.col("o_orderkey").cast("string"), F.col("_suffix")))
-    return entries.join(cust, entries.o_custkey == cust.c_custkey).select(
+    ).otherwise(F.concat(prefix, F.col("o_orderkey").cast("string"), suffix))
+    return entries.select(
         F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")).alias("empresa"),
         F.col("o_orderpriority").alias("conta_contabil"),
         txn.alias("transactionID"),
-        "data_contabil",
-        "valor_net",
+        F.when(is_credit, F.col("o_orderdate")).otherwise(F.col("_day")).alias("data_contabil"),
+        F.when(is_credit, -paid).otherwise(F.col("_price")).cast("decimal(18,2)").alias("valor_net"),
         F.col("c_name").alias("cliente_nome"),
         "o_orderkey",
     )
