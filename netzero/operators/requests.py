@@ -43,12 +43,13 @@ def parse_requests(raw: DataFrame, body: str = "body", spec: ReconSpec = ReconSp
     """
     company, account = spec.partition_keys
     outputs = dict(zip(REQUIRED_FIELDS, (company, account, "data_source_path")))
+    # one row for each row, by a generator: a filter on a parsed field is not moved below
+    # it, where it would parse the body again for every mention of a field
     msg = F.get(F.col("_nz_list"), F.lit(0))
     digest = F.md5(F.col(body).cast("binary"))
     ended = F.concat(F.lit("["), F.col(body), F.lit(',{"partition_id":"'), digest, F.lit('"}]'))
-    parsed = raw.withColumn(
-        "_nz_list", F.from_json(ended, T.ArrayType(REQUEST_SCHEMA), {"allowSingleQuotes": "false"}),
-    ).withColumns({
+    elements = F.from_json(ended, T.ArrayType(REQUEST_SCHEMA), {"allowSingleQuotes": "false"})
+    parsed = raw.select("*", F.explode(F.array(elements)).alias("_nz_list")).withColumns({
         "_nz_msg": msg,
         "_nz_obj": F.coalesce((F.size("_nz_list") == 2) & (F.get(F.col("_nz_list"), F.lit(1))["partition_id"] == digest)
                               & msg.isNotNull() & F.regexp_like(body, F.lit(r"^[ \t\r\n]*\{")), F.lit(False)),
