@@ -43,6 +43,8 @@ SLICE_SUFFIX = "_slice"
 #: the size of a plan and what the driver holds, never the number of requests.
 PATHS_PER_JOB = 32
 SLICES_PER_JOB = 1000
+#: Schema of a scan that takes nothing but row counts from the footers.
+NO_COLUMN = "_nz_none string"
 #: A requested slice: dataset path and raw key values.
 Slice = tuple[str, str, str]
 
@@ -190,7 +192,7 @@ def write_requested(spark: SparkSession, valid: DataFrame, write, root: str | No
 
     ``write(frame)`` writes reconciled entries with origin columns and returns its
     metrics.  Slices are written together in blocks of at most ``per_job`` datasets and
-    ``slices_per_job`` slices.  When a block cannot be planned or fails at run time
+    ``slices_per_job`` slices, without those whose files have no footer (``readable``).  When a block cannot be planned or fails at run time
     its halves are written instead, down to the slices at fault, so a damaged
     file costs the requests for its own slice and no others; all slices of a dataset
     that is not there fail at once.  Every slice has its own result
@@ -210,6 +212,29 @@ def write_requested(spark: SparkSession, valid: DataFrame, write, root: str | No
                 failed.extend(part)
         return frames
 
+    def readable(block: list[Slice]) -> list[Slice]:
+        """Slices whose files have a footer, by a count that reads no column; the others
+        fail before anything is written.  Halves are tried where a count fails."""
+        try:
+            for path, part in groupby(block, key=lambda s: s[0]):
+                url = resolve_path(path, root)
+                if path.startswith(TABLE_PREFIX) or not sliced_by(spark, url, spec):
+                    continue
+                there = existing_of(spark, url, [s[1:] for s in part], spec)
+                read_directories(spark, path, there, NO_COLUMN, spec, root).count()
+        except MissingDataset:
+            pass  # told by the plan
+        except Exception as exc:
+            if spark.sparkContext._jsc.sc().isStopped():
+                raise
+            if len(block) == 1:
+                log.error("slice %s cannot be read: %s", block[0], exc)
+                failed.extend(block)
+                return []
+            half = len(block) // 2
+            return readable(block[:half]) + readable(block[half:])
+        return block
+
     def attempt(block: list[Slice]) -> None:
         before = len(failed)
         try:
@@ -231,5 +256,7 @@ def write_requested(spark: SparkSession, valid: DataFrame, write, root: str | No
             attempt(block[half:])
 
     for block in slice_blocks(requested_slices(valid, spec), per_job, slices_per_job):
-        attempt(block)
+        block = readable(block)
+        if block:
+            attempt(block)
     return total, failed
