@@ -19,7 +19,7 @@ from ..functions import all_present
 from ..operators import (apply_contract, contract_schema, file_plan, normalize, order_entries, parse_requests, project,
                          reconcile, rejected_amounts, txn_summary, type_and_clean)
 from ..sources import (LEDGER_SCHEMA, blank_account_ledger_from_tables, ledger_from_tables, read_ledger, read_slices,
-                       requests_from_tables, scratch_path, spelled_ledger_from_tables, table, text_ledger_from_tables)
+                       requests_from_tables, scratch_path, spelled_ledger_from_tables, table, text_ledger_from_tables, written)
 from ..sources.slices import existing_slices, slice_directory
 from ..spec import ReconSpec, dataset_mappings, output_contracts
 from ..streaming import publish_requests, start_request_stream
@@ -36,6 +36,10 @@ URGENT_ACCOUNT = "1-URGENT"
 # Small file target so that the file plan differs from one file per slice at test scale.
 SMALL_FILE_ROWS = 500
 
+# Files of a derived inbox.  The stream takes some files at a time and reconciles the slices
+# that they name: with files by the row count, ever more batches would each do every slice.
+INBOX_FILES = 8
+
 # Buckets of the co-located ledger, few enough for the test tables.
 COLOCATED_BUCKETS = 16
 
@@ -220,9 +224,14 @@ def q_requested_spellings(spark, sf_dir):
     return out.drop(SOURCE)
 
 
+def parsed_requests(requests: DataFrame) -> DataFrame:
+    """Parsed requests, written: those who use them several times parse them once."""
+    return written(parse_requests(requests), "parsed")
+
+
 def q_request_source_errors(spark, sf_dir):
     """Requests for a dataset that does not exist become dead letters; the others are written."""
-    parsed = parse_requests(requests_from_tables(spark, sf_dir).unionByName(
+    parsed = parsed_requests(requests_from_tables(spark, sf_dir).unionByName(
         requests_from_tables(spark, sf_dir, "no/such/dataset")))
     _, failed = process_requests(spark, parsed, scratch_path(spark, "errors"),
                                  root=written_ledger(spark, sf_dir), schema=LEDGER_SCHEMA)
@@ -245,7 +254,7 @@ def damaged_ledger(spark: SparkSession, sf_dir: str) -> str:
 def run_damaged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list, str]:
     """Requests over the damaged ledger: (parsed requests, failed slices, result path)."""
     out = scratch_path(spark, "damaged")
-    parsed = parse_requests(requests_from_tables(spark, sf_dir))
+    parsed = parsed_requests(requests_from_tables(spark, sf_dir))
     _, failed = process_requests(spark, parsed, out, root=damaged_ledger(spark, sf_dir), schema=LEDGER_SCHEMA)
     return parsed, failed, out
 
@@ -264,7 +273,7 @@ def q_request_slice_results(spark, sf_dir):
 def q_request_counts(spark, sf_dir):
     """Result rows of the slice of every valid request, from the footers of the files written."""
     out = scratch_path(spark, "counts")
-    parsed = parse_requests(requests_from_tables(spark, sf_dir))
+    parsed = parsed_requests(requests_from_tables(spark, sf_dir))
     process_requests(spark, parsed, out, root=written_ledger(spark, sf_dir), schema=LEDGER_SCHEMA)
     return request_counts(spark, parsed, out)
 
@@ -415,7 +424,7 @@ def written_inbox(spark: SparkSession, sf_dir: str) -> str:
     """Folder of request messages (text, one JSON body per line) derived from
     the tables — the stream's input, written once per session and tables dir."""
     return _written_once(spark, sf_dir, "inbox", lambda path: (
-        requests_from_tables(spark, sf_dir).select("body").write.text(path)))
+        requests_from_tables(spark, sf_dir).select("body").repartition(INBOX_FILES).write.text(path)))
 
 
 def run_request_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -448,7 +457,7 @@ def q_stream_two_sources(spark, sf_dir):
 
     def inbox(path: str) -> None:
         for name in ("ledger", "copy"):
-            requests_from_tables(spark, sf_dir, name).select("body").coalesce(2).write.mode("append").text(path)
+            requests_from_tables(spark, sf_dir, name).select("body").repartition(2).write.mode("append").text(path)
 
     root = _written_once(spark, sf_dir, "two-sources", sources)
     base = scratch_path(spark, "stream2")
