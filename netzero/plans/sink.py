@@ -9,6 +9,8 @@ come out well sized, and replaces only the partitions it writes:
   in a single writer;
 * ``sortWithinPartitions`` on partition columns + contract order, so the
   writer needs no extra sort and each file is ordered by date;
+* with a fixed number of writing tasks, a large result is written in rounds of whole
+  directories (``directory_rounds``), so what a task sorts is bounded;
 * ``maxRecordsPerFile`` caps files at the target row count (128 MB / 40 B);
 * optionally, files in order among each other (a range exchange), and files sized
   by the bytes that rows take in earlier files;
@@ -22,6 +24,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +35,13 @@ from ..functions import spread_sort
 from ..operators.contract import apply_contract, contract_order
 from ..operators.files import rows_for_size
 from ..sources.ledger import TABLE_PREFIX
+from ..sources.paths import scratch_path
 from ..sources.slices import file_system
 from ..spec import DEFAULT_OUTPUT, ROWS_PER_FILE, OutputContract, ReconSpec
 
 PART_SUFFIX = "_part"
+#: Rows that a task of a fixed number of tasks sorts at a time.
+ROWS_PER_TASK = ROWS_PER_FILE
 METRICS = ("rows", "reconciled_rows", "pending_rows")
 
 
@@ -54,7 +61,7 @@ def run_metrics(df: DataFrame, spec: ReconSpec = ReconSpec()) -> list:
 def layout(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str] = (),
            num_partitions: int | None = None, coalesce: int | None = None, ranges: bool = False) -> DataFrame:
     """Distribute and order rows for a partitioned write: exactly
-    ``num_partitions`` tasks (a shuffle), at most ``coalesce`` tasks (none), an
+    ``num_partitions`` tasks (a shuffle), at most ``coalesce`` tasks (none here), an
     adaptive rebalance, or, with ``ranges``, a range of the order for each task.
     Writing tasks name their files by their number, so ranges put the files in order too;
     a key with very many rows is cut by the range bounds (see ``spread_sort``)."""
@@ -98,7 +105,8 @@ def write_result(
     directory name) and the directories are built from ``<key>_part`` copies;
     ``copy_partition_columns=False`` moves the keys into the directory names.
     ``num_partitions`` forces an exact write parallelism, ``coalesce`` an upper
-    bound without a shuffle, instead of the adaptive rebalance.  ``directories``
+    bound, instead of the adaptive rebalance; a result of more rows than these tasks
+    should sort at once is written in rounds of whole directories.  ``directories``
     names columns of ``df`` (outside the contract) to build the directories from
     instead.  An empty result writes nothing, also without partitions.
     ``ordered_files`` puts the files of a directory in the contract's order among each other:
@@ -125,13 +133,50 @@ def write_result(
         return dict.fromkeys(METRICS, 0)
     if target_bytes is not None and not path.startswith(TABLE_PREFIX):
         rows_per_file = measured_rows_per_file(df.sparkSession, path, target_bytes, rows_per_file)
-    out = layout(out, part_cols, contract_order(out, schema, contracts), num_partitions, coalesce, ordered_files)
+    if (num_partitions or coalesce) and part_cols and not ordered_files and not path.startswith(TABLE_PREFIX):
+        rounds = directory_rounds(out, part_cols, num_partitions or coalesce)
+    else:
+        rounds = [out]
+    order = contract_order(out, schema, contracts)
+    metrics = [_write(layout(part, part_cols, order, num_partitions, coalesce, ordered_files), path, part_cols,
+                      rows_per_file, compression, spec) for part in rounds]
+    return metrics[0] if len(metrics) == 1 else {k: sum(m[k] for m in metrics) for k in metrics[0]}
+
+
+def directory_rounds(df: DataFrame, part_cols: Sequence[str], tasks: int, per_task: int = ROWS_PER_TASK) -> list[DataFrame]:
+    """``df``, computed once by all tasks, in parts of whole directories that a fixed
+    number of tasks can sort: about ``per_task`` rows for each, or one directory.
+    Every part is written by itself, so a directory is still replaced as a whole."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "rounds")
+    names = [f"_nz_dir{i}" for i in range(len(part_cols))]
+    named = df.withColumns({n: F.col(c) for n, c in zip(names, part_cols)})
+    named.hint("rebalance", *names).write.partitionBy(*names).parquet(path)
+    counts = slice_counts(spark, path, names).collect()  # a row for each directory, as in a listing
+    groups: list[list] = []
+    rows = 0
+    for r in sorted(counts, key=lambda r: [(v is not None, v or "") for v in r[:-1]]):
+        if not groups or rows + r["rows"] > tasks * per_task:
+            groups.append([])
+            rows = 0
+        groups[-1].append(r)
+        rows += r["rows"]
+    if not groups:
+        return [df]
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.StringType()) for n in names]])
+    held = spark.read.schema(schema).parquet(path)
+    # a blank value and a null one share a directory here as in the result
+    one = lambda r: reduce(and_, [F.col(n).isNull() if r[n] is None else F.col(n) == F.lit(r[n]) for n in names])
+    return [held.where(reduce(or_, map(one, g))).drop(*names) if len(groups) > 1 else held.drop(*names) for g in groups]
+
+
+def _write(out: DataFrame, path: str, part_cols: Sequence[str], rows_per_file: int, compression: str, spec: ReconSpec) -> dict:
     # observed in the writing (result) stage: Spark applies its accumulator
     # updates once per partition even when map stages are re-run after a loss
     obs = Observation(f"netzero_write_{uuid.uuid4().hex[:12]}")  # unique per write
     out = out.observe(obs, *run_metrics(out, spec))
     table = path[len(TABLE_PREFIX):] if path.startswith(TABLE_PREFIX) else None
-    spark = df.sparkSession
+    spark = out.sparkSession
     if table is not None and spark.catalog.tableExists(table):
         out = out.select(*spark.table(table).columns)  # insertInto is by position
     writer = (
