@@ -347,12 +347,14 @@ def q_sink_versions(spark, sf_dir):
     """Slices replaced by versions: all of them, then the reconciled entries of one
     account, then a write that ends before its commit and so changes nothing."""
     out = scratch_path(spark, "versions")
-    result = reconcile(entries(spark, sf_dir))
+    parts = [c + PART_SUFFIX for c in PARTS]
     urgent = F.col("conta_contabil") == F.lit(URGENT_ACCOUNT)
-    write_version(result, out)
+    write_version(reconcile(entries(spark, sf_dir)), out)
+    # no write changes the first version: the later ones take their rows from it, netted once
+    result = read_current(spark, out, RESULT_SCHEMA, parts).select(*RESULT_SCHEMA.names)
     write_version(result.where(urgent & (F.col(SPEC.status) == F.lit(SPEC.reconciled_label))), out)
     write_result(result.where(~urgent & (F.col(SPEC.status) == F.lit(SPEC.pending_label))), f"{out}/data/version=lost")
-    return read_current(spark, out, RESULT_SCHEMA, [c + PART_SUFFIX for c in PARTS]).select(*RESULT_SCHEMA.names)
+    return read_current(spark, out, RESULT_SCHEMA, parts).select(*RESULT_SCHEMA.names)
 
 
 def q_sink_ordered(spark, sf_dir):

@@ -100,3 +100,22 @@ def test_inbox_has_a_fixed_number_of_files(spark, tables):
             spark.conf.set(k, v)
     assert len(glob.glob(os.path.join(inbox.removeprefix("file:"), "part-*"))) == catalog.INBOX_FILES
     assert spark.read.text(inbox).count() == 300
+
+
+def test_versions_net_the_ledger_once(spark, tables, monkeypatch):
+    """Later versions take their rows from the first one; the rows are those of netting each time."""
+    rows = [tuple(r) for r in catalog.q_reconcile(spark, tables).select(*catalog.RESULT_SCHEMA.names).collect()]
+    at = {c: catalog.RESULT_SCHEMA.names.index(c) for c in ("empresa", "conta_contabil", "reconciliation_status")}
+    done = [r for r in rows if r[at["reconciliation_status"]] == "CONCILIADO"]
+    replaced = {r[at["empresa"]] for r in done if r[at["conta_contabil"]] == "1-URGENT"}
+    want = [r for r in rows if r in done or not (r[at["conta_contabil"]] == "1-URGENT" and r[at["empresa"]] in replaced)]
+    joins = []
+    for name in ("write_version", "write_result"):
+        def kept(df, *args, _write=getattr(catalog, name), **options):
+            joins.append(plan(df).count("Join"))
+            return _write(df, *args, **options)
+        monkeypatch.setattr(catalog, name, kept)
+    got = [tuple(map(str, r)) for r in catalog.q_sink_versions(spark, tables).collect()]
+    assert sorted(got) == sorted(tuple(map(str, r)) for r in want)
+    assert replaced and len(want) < len(rows)
+    assert joins == [1, 0, 0]
