@@ -138,6 +138,8 @@ def write_result(
     else:
         rounds = [out]
     order = contract_order(out, schema, contracts)
+    if copy_partition_columns and not directories:  # a copy sorts as its column does
+        order = [c for c in order if c + PART_SUFFIX not in part_cols]
     metrics = [_write(layout(part, part_cols, order, num_partitions, coalesce, ordered_files), path, part_cols,
                       rows_per_file, compression, spec) for part in rounds]
     return metrics[0] if len(metrics) == 1 else {k: sum(m[k] for m in metrics) for k in metrics[0]}

@@ -11,7 +11,7 @@ from decimal import Decimal
 import pytest
 
 from netzero.operators import parse_requests, valid_requests
-from netzero.plans import catalog
+from netzero.plans import catalog, sink
 from netzero.plans.worker import write_requested
 from netzero.sources import ledger_from_tables, text_ledger_from_tables
 
@@ -119,3 +119,25 @@ def test_versions_net_the_ledger_once(spark, tables, monkeypatch):
     assert sorted(got) == sorted(tuple(map(str, r)) for r in want)
     assert replaced and len(want) < len(rows)
     assert joins == [1, 0, 0]
+
+
+def test_copies_of_the_keys_are_sorted_once(spark, scratch, monkeypatch):
+    orders = []
+
+    def layout(df, part_cols, order_by, *args, _layout=sink.layout):
+        orders.append([*part_cols, *order_by])
+        return _layout(df, part_cols, order_by, *args)
+
+    monkeypatch.setattr(sink, "layout", layout)
+    rows = [(e, c, f"2024-01-0{d}", "T", "1.00", "PENDENTE", None) for d in (3, 1, 2) for e in ("A", " ", None) for c in ("x", "y")]
+    names = catalog.RESULT_SCHEMA.names
+    assert names[:3] == ["empresa", "conta_contabil", "data_contabil"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    for copies in (True, False):
+        path = scratch("copies")
+        sink.write_result(df, path, copy_partition_columns=copies)
+        for f in glob.glob(f"{path.removeprefix('file:')}/*/*/*.parquet"):
+            got = [tuple(r) for r in spark.read.parquet(f).select("data_contabil").collect()]
+            assert len(got) >= 3 and got == sorted(got)
+    assert orders == [["empresa_part", "conta_contabil_part", "data_contabil"],
+                      ["empresa", "conta_contabil", "empresa", "conta_contabil", "data_contabil"]]
