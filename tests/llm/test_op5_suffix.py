@@ -7,6 +7,7 @@ import random
 import pytest
 
 from netzero.llm import op5_suffix as m
+from netzero.llm.common import ARROW_BYTES, small_batches
 
 from .common import edge_docs, edge_rows, empty_docs, read
 
@@ -83,3 +84,27 @@ def test_query_against_brute_force(spark):
     texts = {r.doc_id: r.text for r in read(spark, SF, "documents").collect()}
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in m.op5_suffix(spark, SF).collect()}
     assert got == dict(zip(texts, brute(list(texts.values()), 400)))
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    """Arrow batches are bounded by bytes: 40 texts of 100,000 bytes are not one batch."""
+    import pandas as pd
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 40, 1, 1).selectExpr("id AS doc_id", "repeat(substr(sha(cast(id AS string)), 1, 10), 10000) AS text")
+
+    def sizes(frames):
+        for f in frames:
+            yield pd.DataFrame({"n": [int(f["text"].str.len().sum())]})
+
+    try:
+        spark.conf.unset(name)
+        m.remove_repeats(docs)
+        seen = [r.n for r in docs.mapInPandas(sizes, "n long").collect()]
+        assert sum(seen) == 4_000_000 and max(seen) <= ARROW_BYTES + 100_000
+        for given, kept in (("64k", "64k"), ("3m", str(ARROW_BYTES)), ("1000000", "1000000"), ("1g", str(ARROW_BYTES))):
+            spark.conf.set(name, given)
+            small_batches(spark)
+            assert spark.conf.get(name) == kept
+    finally:
+        spark.conf.unset(name)
