@@ -67,7 +67,7 @@ def status_label(is_reconciled: Column, reconciled: str, pending: str) -> Column
 _TIEBREAK = "_nz_tiebreak"
 
 
-def spread_sort(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def spread_sort(df: DataFrame, cols: Sequence[str], tasks: int | None = None) -> DataFrame:
     """Global ascending sort on ``cols`` that a hot sort key cannot pin to one task.
 
     A range partitioner never splits equal keys, so a (company, account,
@@ -75,12 +75,16 @@ def spread_sort(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Rows are tie-broken by the index of the input partition they come from
     (the same on a task retry), so the sampled range bounds can cut through a
     hot key and no sort key carries more than one input split per task.  The
-    order on ``cols`` is unchanged.
+    order on ``cols`` is unchanged.  ``tasks`` sets the number of ranges, which AQE
+    then does not merge.
     """
     if not cols:
         return df
-    return (df.withColumn(_TIEBREAK, F.spark_partition_id())
-            .orderBy(*cols, _TIEBREAK).drop(_TIEBREAK))
+    tied = df.withColumn(_TIEBREAK, F.spark_partition_id())
+    if tasks:
+        ranges = tied.repartitionByRange(tasks, *cols, _TIEBREAK)
+        return ranges.sortWithinPartitions(*cols, _TIEBREAK).drop(_TIEBREAK)
+    return tied.orderBy(*cols, _TIEBREAK).drop(_TIEBREAK)
 
 
 def resolve(df: DataFrame, name: str) -> str | None:

@@ -12,8 +12,8 @@ come out well sized, and replaces only the partitions it writes:
 * with a fixed number of writing tasks, a large result is written in rounds of whole
   directories (``directory_rounds``), so what a task sorts is bounded;
 * ``maxRecordsPerFile`` caps files at the target row count (128 MB / 40 B);
-* optionally, files in order among each other (a range exchange), and files sized
-  by the bytes that rows take in earlier files;
+* optionally, files in order among each other (a range exchange over rows written
+  once), and files sized by the bytes that rows take in earlier files;
 * dynamic partition overwrite: partitions absent from the result keep their
   earlier files (an empty result writes nothing).
 
@@ -35,7 +35,7 @@ from ..functions import spread_sort
 from ..operators.contract import apply_contract, contract_order
 from ..operators.files import rows_for_size
 from ..sources.ledger import TABLE_PREFIX
-from ..sources.paths import scratch_path
+from ..sources.paths import scratch_path, written
 from ..sources.slices import file_system
 from ..spec import DEFAULT_OUTPUT, ROWS_PER_FILE, OutputContract, ReconSpec
 
@@ -59,16 +59,18 @@ def run_metrics(df: DataFrame, spec: ReconSpec = ReconSpec()) -> list:
 
 
 def layout(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str] = (),
-           num_partitions: int | None = None, coalesce: int | None = None, ranges: bool = False) -> DataFrame:
+           num_partitions: int | None = None, coalesce: int | None = None, ranges: bool = False,
+           range_tasks: int | None = None) -> DataFrame:
     """Distribute and order rows for a partitioned write: exactly
     ``num_partitions`` tasks (a shuffle), at most ``coalesce`` tasks (none here), an
     adaptive rebalance, or, with ``ranges``, a range of the order for each task.
     Writing tasks name their files by their number, so ranges put the files in order too;
-    a key with very many rows is cut by the range bounds (see ``spread_sort``)."""
+    a key with very many rows is cut by the range bounds (see ``spread_sort``);
+    ``range_tasks`` sets their number, else it is adaptive."""
     part_cols = list(partition_by)
     order = part_cols + [c for c in order_by if c not in part_cols]
     if ranges and order:
-        return spread_sort(df, order)
+        return spread_sort(df, order, range_tasks)
     if num_partitions:
         out = df.repartition(num_partitions)
     elif coalesce:
@@ -137,14 +139,28 @@ def write_result(
         rounds = directory_rounds(out, part_cols, num_partitions or coalesce)
     else:
         rounds = [out]
+    tasks = None
+    if ordered_files:
+        # range bounds are sampled: from written rows, not from a second run of the plan
+        rounds = [written(out, "ordered-rows")]
+        tasks = range_tasks(df.sparkSession, rounds[0].count(), rows_per_file)
     order = contract_order(out, schema, contracts)
     if copy_partition_columns and not directories:  # a copy sorts as its column does
         order = [c for c in order if c + PART_SUFFIX not in part_cols]
-    metrics = [_write(layout(part, part_cols, order, num_partitions, coalesce, ordered_files), path, part_cols,
+    metrics = [_write(layout(part, part_cols, order, num_partitions, coalesce, ordered_files, tasks), path, part_cols,
                       rows_per_file, compression, spec) for part in rounds]
     return metrics[0] if len(metrics) == 1 else {k: sum(m[k] for m in metrics) for k in metrics[0]}
 
 
+def range_tasks(spark: SparkSession, rows: int, rows_per_file: int) -> int | None:
+    """Writing tasks of an ordered result: all shuffle partitions where each has a file
+    or more to fill.  AQE would merge them into about as many as there are cores, by
+    bytes, and where files are small the last of these write thousands of files alone.
+    None, with fewer rows, leaves the number to AQE."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return tasks if rows >= tasks * rows_per_file else None
+
+
 def directory_rounds(df: DataFrame, part_cols: Sequence[str], tasks: int, per_task: int = ROWS_PER_TASK) -> list[DataFrame]:
     """``df``, computed once by all tasks, in parts of whole directories that a fixed
     number of tasks can sort: about ``per_task`` rows for each, or one directory.

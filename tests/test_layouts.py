@@ -101,6 +101,34 @@ def test_files_are_in_order(spark, scratch, entries):
         assert seen == sorted(seen)
 
 
+def test_ordered_small_files_are_written_by_all_tasks(spark, scratch):
+    """Files far smaller than a shuffle partition: no task is merged away; the rows are computed once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    rows = spark.range(0, 4000, 1, 4).selectExpr(
+        "'A' AS empresa", "'1' AS conta_contabil", "date_add(DATE'2024-01-01', cast(id * 7 % 900 AS int)) AS data_contabil",
+        "cast(id AS string) AS transactionID", "cast(1 AS decimal(18,2)) AS valor_net", "'PENDENTE' AS reconciliation_status",
+        "cast(null AS string) AS conciliation_id")
+    rows = rows.mapInPandas(count, rows.schema)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = scratch("ordered")
+    assert write_result(rows, out, partition_by=(), rows_per_file=20, ordered_files=True)["rows"] == 4000 == seen.value
+    names = sorted(os.path.basename(f) for f in glob.glob(f"{out}/*.parquet"))
+    assert len({n.split("-")[1] for n in names}) == tasks > 1 and len(names) <= 4000 // 20 + tasks
+    read = [r for n in names for r in spark.read.schema(RESULT_SCHEMA).parquet(f"{out}/{n}").collect()]
+    days = [r.data_contabil for r in read]
+    assert days == sorted(days) and sorted(int(r.transactionID) for r in read) == list(range(4000))
+
+    out = scratch("ordered")  # less than a file for each task: merged as before
+    write_result(rows, out, partition_by=(), rows_per_file=4000, ordered_files=True)
+    assert len(glob.glob(f"{out}/*.parquet")) < tasks
+
+
 @pytest.mark.parametrize("width", [1, 12])
 def test_files_are_sized_by_measured_bytes(spark, scratch, width):
     """Narrow and wide rows: files within 20 % of the target."""
