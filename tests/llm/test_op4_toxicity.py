@@ -3,8 +3,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
 
 from netzero.llm import op4_toxicity as m
+from netzero.llm.common import ARROW_BYTES
 
 from .common import edge_docs, edge_rows, empty_docs, read
 
@@ -53,3 +56,31 @@ def test_edge_cases(spark):
     assert {r.score for r in m.score(edge_docs(spark), none).collect()} == {0.0}
     assert m.drop_toxic(edge_docs(spark), none).count() == len(edge_rows())
     assert m.score(empty_docs(spark), labels).count() == 0
+
+
+def test_texts_reach_the_scorer_in_small_batches(spark):
+    """Arrow batches are bounded by bytes: 40 texts of 100,000 bytes are not one batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 40, 1, 1).selectExpr("id AS doc_id", "repeat(substr(sha(cast(id AS string)), 1, 10), 10000) AS text")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+
+    @F.pandas_udf("long")
+    def size(texts: pd.Series) -> pd.Series:
+        return pd.Series([int(texts.str.len().sum())] * len(texts))
+
+    try:
+        for run in (m.score, m.drop_toxic):
+            spark.conf.unset(name)
+            run(docs, labels).collect()
+            seen = [r.n for r in docs.select(size("text").alias("n")).collect()]
+            assert len(seen) == 40 and max(seen) <= ARROW_BYTES + 100_000
+    finally:
+        spark.conf.unset(name)
+
+
+def test_remembered_words_are_packed():
+    ids, value = m.features("Cat cat elephants")
+    crc = lambda x: zlib.crc32(x.encode()) & m._MASK
+    assert sorted(ids) == sorted(map(crc, ["cat", "elephants", "^elep", "^eleph", "^elepha", "^elephan"])) and value == 5.0
+    assert ids.dtype == np.int32 and m.features(None)[0].dtype == np.int32
+    assert len(m._CACHE["elephants"]) == 20 and isinstance(m._CACHE["elephants"], bytes)
