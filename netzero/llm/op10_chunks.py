@@ -28,7 +28,8 @@ Edge cases: null and empty texts have no chunks and stay as they are; rows
 with null doc_id are left alone and own nothing; rows repeating a doc_id are
 versions of one document and do not cut each other; extra columns are kept by
 ``cut_documents``; empty tables give empty results.  A text is cut whole; the
-chunk list of one document is the largest thing in a task.
+chunk list of one document is the largest thing in a task.  Texts reach Python in
+Arrow batches of ``ARROW_BYTES``, chunk lists as arrays of numbers, not of rows.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sized_chunks, stored, table
+from .common import sized_chunks, small_batches, stored, table
 from .op2_exact_dedup import bit_is_set, filter_bits
 from .op5_suffix import common
 
@@ -197,6 +198,7 @@ EDGES = ("start long, end long, k1 long, b1 long, b2 long, before binary, a1 lon
 
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, k1, spans): the spans to cut of every text (hash ``k1``) that has any."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
     found = stored(repeated_chunks(docs, text, doc_id).groupBy(F.col("doc_id").alias("_nz_id")).agg(
         F.collect_list(F.struct("d1", "d2", "owner")).alias("chunks")), "chunks-lists")
@@ -207,15 +209,15 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in sized_chunks(frames, "text", BATCH_CHARS):
             out = []
-            for i, k, t, owned in zip(f["doc_id"], f["k1"], f["text"], f["chunks"]):
-                runs, own = runs_of(_bytes(t), {(c["d1"], c["d2"]): c["owner"] for c in owned}, i)
+            for i, k, t, d1, d2, o in zip(f["doc_id"], f["k1"], f["text"], f["d1"], f["d2"], f["owner"]):
+                runs, own = runs_of(_bytes(t), dict(zip(zip(d1.tolist(), d2.tolist()), o.tolist())), i)
                 out += [(i, o, a, b, k, *d, x, *e, y) for a, b, o, d, x, e, y in runs]
                 out += [(i, None, None, None, k, *d, x, *d, y) for d, x, y in own]
             names = ["doc_id", "owner", "start", "end", "k1", "b1", "b2", "before", "a1", "a2", "after"]
             done = pd.DataFrame(out, columns=names)
             yield done.astype({"start": "Int64", "end": "Int64"})
 
-    edges = stored(rows.select("doc_id", "k1", "text", "chunks").mapInPandas(run, f"doc_id {kind}, owner {kind}, {EDGES}"), "chunks-edges")
+    edges = stored(rows.select("doc_id", "k1", "text", "chunks.d1", "chunks.d2", "chunks.owner").mapInPandas(run, f"doc_id {kind}, owner {kind}, {EDGES}"), "chunks-edges")
     own = edges.where("start IS NULL")
     # only of chunks at which a run begins or ends
     runs = edges.where("start IS NOT NULL")

@@ -3,7 +3,10 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pandas as pd
+
 from netzero.llm import op10_chunks as m
+from netzero.llm.common import ARROW_BYTES
 
 from .common import edge_docs, edge_rows, empty_docs, read, words
 
@@ -138,3 +141,33 @@ def test_edge_cases(spark):
     rows = out.collect()
     assert {r.doc_id for r in rows} <= {2, 8} and {r.doc_id for r in rows} >= {2, 8}
     assert m.cut_documents(empty_docs(spark)).count() == 0
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    """Arrow batches are bounded by bytes: 40 texts of 100,000 bytes are not one batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 40, 1, 1).selectExpr("id AS doc_id", "repeat(substr(sha(cast(id AS string)), 1, 10), 10000) AS text")
+
+    def sizes(frames):
+        for f in frames:
+            yield pd.DataFrame({"n": [int(f["text"].str.len().sum())]})
+
+    try:
+        spark.conf.unset(name)
+        m.cut_documents(docs)
+        seen = [r.n for r in docs.mapInPandas(sizes, "n long").collect()]
+        assert sum(seen) == 4_000_000 and max(seen) <= ARROW_BYTES + 100_000
+    finally:
+        spark.conf.unset(name)
+
+
+def test_ids_of_other_types(spark):
+    """Owners of any id type come back as they were."""
+    docs = [(i, words(40, 10 + i) + " " + words(60, 5) + " " + words(40, 60 + i)) for i in range(5)]
+    want = {r.doc_id: (r.text, r.spans) for r in m.cut_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert set(want) == {1, 2, 3, 4}
+    for kind in ("string", "int"):
+        rows = m.cut_documents(spark.createDataFrame(docs, "doc_id long, text string").selectExpr(f"cast(doc_id AS {kind}) AS doc_id", "text")).collect()
+        assert {int(r.doc_id): r.text for r in rows} == {i: t for i, (t, _) in want.items()}
+        assert all(int(s.first_doc_id) == x.first_doc_id and isinstance(s.first_doc_id, str if kind == "string" else int)
+                   for r in rows for s, x in zip(r.spans, want[int(r.doc_id)][1]))
